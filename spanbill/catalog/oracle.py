@@ -748,7 +748,7 @@ FINAL = {
     "date_to_term": """SELECT o_orderkey AS order_id, day AS at, (SELECT c.term FROM calendar c WHERE day >= c.term_begin AND day < c.next_begin) AS term FROM od""",
     "post_event_gpa": "SELECT person_id, seq, post_credits, post_points, course_rows_in_pass_term FROM later",
     "interval_by_term": "SELECT * FROM ivt",
-    "term_exit_adjust": "SELECT * FROM pexit WHERE program = 'GtC'",
+    "term_exit_adjust": "SELECT * EXCLUDE (student) FROM pexit WHERE program = 'GtC'",
     "person_term": f"SELECT {PTERM} FROM pterm WHERE program = 'GtC'",
     "running_level": """SELECT q.student, q.term, 1 AS esol_student, lv2.incoming_esol_level FROM (SELECT DISTINCT student, term FROM courses) q
   JOIN LATERAL (SELECT count(*) FILTER (WHERE upper(l.subject) = 'ESOL' AND l.term <= q.term) AS n, max(CASE WHEN l.term < q.term THEN l.lvl END) AS incoming_esol_level

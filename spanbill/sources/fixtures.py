@@ -268,7 +268,6 @@ class Domain:
             g_number(c).alias("g_number"),
             program.alias("program"),
             (F.year(d) * 100 + F.quarter(d)).alias("term"),
-            program_year(d).alias("program_year"),
             "start_date",
             "end_date",
             F.date_sub("start_date", (c % 60).cast("int")).alias("enrolled_date"),
@@ -312,7 +311,7 @@ class Domain:
                 F.when(F.col("program").contains("Attendance"), "Attendance").otherwise("Term").alias("billing_type"),
                 "start_date",
                 "term",
-                "program_year",
+                program_year(start).alias("program_year"),
             )
             .distinct()
             .select(

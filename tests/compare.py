@@ -70,7 +70,7 @@ if __name__ == "__main__":
     sf_dir = sys.argv[1]
     wanted = sys.argv[2:]
     spark = get_session(
-        "compare", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g"}
+        "compare", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "8g"}
     )
     spark.sparkContext.setLogLevel("ERROR")
     con, oracle, bad = connect(sf_dir), entry_point.oracle_sql(), 0
