@@ -150,7 +150,7 @@ STEPS = {
   CAST(l_linenumber AS DECIMAL(6,2)) AS credits,
   CASE l_partkey % 7 WHEN 0 THEN 'A' WHEN 1 THEN 'B' WHEN 2 THEN 'C' WHEN 3 THEN 'D' WHEN 4 THEN 'F' WHEN 5 THEN 'P' END AS grade,
   CASE WHEN l_partkey % 7 < 4 THEN 'Y' ELSE 'N' END AS passed FROM lineitem JOIN od ON l_orderkey = o_orderkey""",
-    "results": """SELECT student, term, round(CAST(sum(length(title)) AS DOUBLE) / count(*), 2) AS gpa,
+    "results": """SELECT student, term, CAST(round(CAST(CAST(sum(length(title)) AS DOUBLE) / count(*) AS DECIMAL(18,6)), 2) AS DOUBLE) AS gpa,
   CAST(sum(credits) AS DOUBLE) AS attempted, CAST(sum(CASE WHEN passed = 'Y' THEN credits END) AS DOUBLE) AS earned
   FROM courses GROUP BY student, term""",
     "gtc": """SELECT c_custkey AS person_id, CAST(c_custkey % 10 AS DECIMAL(6,2)) AS interview_score,
@@ -298,7 +298,7 @@ def _attendance_steps(tag: str, included: str, cap: str, hours: str, case: str)
 
 _HOURS = """CASE WHEN billed > max_days_month THEN
    CAST(CAST(max_days_month - 0.3497 * small_hours - 0.2387 * inter_hours - 0.1837 * large_hours AS DECIMAL(28,10)) AS DOUBLE) / 1.0167 END"""
-STEPS |= _attendance_steps("", "AND include_flag = 1", "coalesce(adjusted_days, max_days_month)", f"round({_HOURS}, 2)", "0.167")
+STEPS |= _attendance_steps("", "AND include_flag = 1", "coalesce(adjusted_days, max_days_month)", f"round(CAST({_HOURS} AS DECIMAL(28,10)), 2)", "0.167")
 STEPS |= _attendance_steps("17", "", "max_days_month", _HOURS, "0.0167")
 
 STEPS |= {
@@ -328,8 +328,8 @@ def _units(tag: str, source: str) -> dict[str, str]:
       ELSE credits_term END AS DECIMAL(18,4)) AS generated_units, max_credits, max_days_year
     FROM {source} y JOIN cycles c ON c.term = y.term AND c.billing_type = 'Term')""",
         f"unit{tag}": f"""SELECT bill_id, term, generated_units, generated_over_units,
-    CAST(round(CAST(generated_units AS DOUBLE) * 175 / 12, 4) AS DECIMAL(18,4)) AS generated_amount,
-    CAST(round(CAST(generated_over_units AS DOUBLE) * 175 / 12, 4) AS DECIMAL(18,4)) AS generated_over, max_credits, max_days_year FROM un{tag}""",
+    CAST(round(CAST(CAST(generated_units AS DOUBLE) * 175 / 12 AS DECIMAL(28,10)), 4) AS DECIMAL(18,4)) AS generated_amount,
+    CAST(round(CAST(CAST(generated_over_units AS DOUBLE) * 175 / 12 AS DECIMAL(28,10)), 4) AS DECIMAL(18,4)) AS generated_over, max_credits, max_days_year FROM un{tag}""",
         f"tbill{tag}": f"""SELECT b.* EXCLUDE (generated_amount, generated_over), u.generated_units, u.generated_over_units,
     CASE WHEN u.bill_id IS NOT NULL THEN u.generated_amount ELSE CAST(b.generated_amount AS DECIMAL(18,4)) END AS generated_amount,
     CASE WHEN u.bill_id IS NOT NULL THEN u.generated_over ELSE CAST(b.generated_over AS DECIMAL(18,4)) END AS generated_over
@@ -466,7 +466,7 @@ def _scored(name: str, source: str, begin: str, end: str, label: str, last: str)
         f"{name}_d": f"""SELECT *, CASE WHEN passed_code IS NULL THEN 'None' WHEN tested < {begin} THEN 'Prior{label}'
     WHEN tested BETWEEN {begin} AND {end} THEN 'During{label}' ELSE 'None' END AS completed_code,
     CASE WHEN tested < DATE '2017-07-01' THEN tested END AS last_test_date FROM {name}_s""",
-        f"{name}_g": f"""SELECT d.*, CAST(round(CAST(g.points AS DOUBLE) / nullif(CAST(g.credits AS DOUBLE), 0), 2) AS DOUBLE) AS post_gpa, g.post_terms FROM {name}_d d
+        f"{name}_g": f"""SELECT d.*, CAST(round(CAST(CAST(g.points AS DOUBLE) / nullif(CAST(g.credits AS DOUBLE), 0) AS DECIMAL(18,8)), 2) AS DOUBLE) AS post_gpa, g.post_terms FROM {name}_d d
     LEFT JOIN (SELECT q.student, q.last_test_date, q.{last}, count(DISTINCT k.term) AS post_terms,
       sum(CASE WHEN grade IN ('A','B','C','D','F') THEN k.credits ELSE 0 END) AS credits,
       sum(k.credits * CASE grade WHEN 'A' THEN 4 WHEN 'B' THEN 3 WHEN 'C' THEN 2 WHEN 'D' THEN 1 WHEN 'F' THEN 0 END) AS points

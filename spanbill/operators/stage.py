@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,7 +32,9 @@ def settle(df: DataFrame) -> DataFrame:
 
     Used where several branches read the same shuffled stage: the branches
     then share one computation, and a lost executor costs a re-read instead of
-    a re-run.
+    a re-run. The stage is a parquet table, so each branch reads only the
+    columns and rows it needs and its size is known to the planner.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/stage-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

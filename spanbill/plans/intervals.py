@@ -111,9 +111,8 @@ def timeline(status: DataFrame, contact: DataFrame, person: int | None = None) -
     kinds = (fixed.ENROLL, *fixed.EXITS, *fixed.DETAIL_ENROLLS)
     rows = select_events(status, kinds, False, test_people(contact), person)
     return (
-        rows.withColumn("role", role)
-        .filter((F.col("role") == "detail") | reports_under(F.col("program")))
-        .withColumn("side", (F.col("role") == "exit").cast("int"))
+        rows.filter(kind.isin(*fixed.DETAIL_ENROLLS) | reports_under(F.col("program")))
+        .withColumns({"role": role, "side": kind.isin(*fixed.EXITS).cast("int")})
         .select("person_id", "role", "side", "kind", "program", "status_date", "status_id", "notes")
     )
 
@@ -128,6 +127,9 @@ def spells(events: DataFrame, hot: HotKeys | None = None) -> DataFrame:
     A detailed enrolment ends at the earlier of its transition and its exit.
     On the same day the exit is taken, unless a later exit follows: then the
     transition (status 0) is the smallest pair.
+
+    One row per (person, role, kind, program, start) remains, with the
+    earliest exit and the earliest end; grouping needs no further shuffle.
     """
     is_exit, is_detail = F.col("role") == "exit", F.col("role") == "detail"
     end = F.struct(F.col("status_date").alias("date"), F.col("status_id").alias("id"), F.col("notes").alias("note"))
@@ -147,7 +149,8 @@ def spells(events: DataFrame, hot: HotKeys | None = None) -> DataFrame:
         .when((moved == first_out) & (F.col("last_exit") > moved), transition)
         .otherwise(F.col("exit"))
     )
-    return rows.select(
+    keys = ["person_id", "role", "kind", "program", "start_date"]
+    rows = rows.select(
         "person_id",
         "role",
         F.when(is_detail, F.col("kind")).alias("kind"),
@@ -158,36 +161,27 @@ def spells(events: DataFrame, hot: HotKeys | None = None) -> DataFrame:
         F.to_date(first_out).alias("exit_date"),
         closes.alias("close"),
     )
-
-
-def _closed() -> list[Column]:
-    return [
-        F.to_date("close.date").alias("end_date"),
-        F.col("close.id").alias("end_id"),
-        F.col("close.note").alias("end_note"),
-    ]
+    return (
+        rows.groupBy(*keys)
+        .agg(F.min("exit_date").alias("exit_date"), F.min("close").alias("_close"))
+        .select(
+            *keys,
+            "exit_date",
+            F.to_date("_close.date").alias("end_date"),
+            F.col("_close.id").alias("end_id"),
+            F.col("_close.note").alias("end_note"),
+        )
+    )
 
 
 def general_spells(rows: DataFrame) -> DataFrame:
     """One row per general (person, program, start)."""
-    keys = ["person_id", "program", "start_date"]
-    return (
-        rows.filter("role = 'general'")
-        .groupBy(*keys)
-        .agg(F.min("exit_date").alias("exit_date"), F.min("close").alias("close"))
-        .select(*keys, "exit_date", *_closed())
-    )
+    return rows.filter("role = 'general'").drop("role", "kind")
 
 
 def earliest_end(rows: DataFrame) -> DataFrame:
     """One row per detailed (person, kind, program, start) with its earliest end."""
-    keys = ["person_id", "kind", "program", "start_date"]
-    return (
-        rows.filter("role = 'detail'")
-        .groupBy(*keys)
-        .agg(F.min("exit_date").alias("exit_date"), F.min("close").alias("close"))
-        .select(*keys, "exit_date", *_closed())
-    )
+    return rows.filter("role = 'detail'").drop("role")
 
 
 def merge_intervals(general: DataFrame, detail: DataFrame, kinds: DataFrame) -> DataFrame:
@@ -197,8 +191,7 @@ def merge_intervals(general: DataFrame, detail: DataFrame, kinds: DataFrame) ->
     and the general one is of the second program. The earlier start and the
     detailed end win.
     """
-    texts = detail.join(kinds, "kind", "left")
-    g, d = general.alias("g"), texts.alias("d")
+    g, d, k = general.alias("g"), detail.alias("d"), kinds.alias("k")
     both_open = F.col("g.exit_date").isNull() & F.col("d.exit_date").isNull()
     pair = (
         (F.col("g.person_id") == F.col("d.person_id"))
@@ -208,9 +201,9 @@ def merge_intervals(general: DataFrame, detail: DataFrame, kinds: DataFrame) ->
         )
     )
     ended = F.col("d.end_date").isNotNull()
-    return g.join(d, pair, "left").select(
+    return g.join(d, pair, "left").join(k, F.col("d.kind") == F.col("k.kind"), "left").select(
         "g.person_id",
-        F.coalesce("d.kind_text", "g.program").alias("program_detail"),
+        F.coalesce("k.kind_text", "g.program").alias("program_detail"),
         "g.program",
         F.least("g.start_date", "d.start_date").alias("start_date"),
         F.coalesce("d.end_date", "g.end_date").alias("end_date"),
@@ -224,9 +217,9 @@ def unmatched_details(general: DataFrame, detail: DataFrame, kinds: DataFrame) -
     known = general.filter(
         F.col("exit_date").isNotNull() | same_text(F.col("program"), F.lit(fixed.PROGRAM_YTC))
     ).select("person_id", "exit_date").distinct().alias("g")
-    d = detail.join(kinds, "kind").alias("d")
+    d = detail.alias("d")
     same_exit = (F.col("d.person_id") == F.col("g.person_id")) & F.col("d.exit_date").eqNullSafe(F.col("g.exit_date"))
-    return d.join(known, same_exit, "left_anti").select(
+    return d.join(known, same_exit, "left_anti").join(kinds, "kind").select(
         "person_id",
         F.col("kind_text").alias("program_detail"),
         "program",
@@ -340,7 +333,10 @@ def build_intervals(
     """All enrolment intervals, or those of one person.
 
     One shuffle by person serves the whole scan of the log. The resulting
-    enrolments are settled once, because the merge reads them four times.
+    enrolments are settled once, because the merge reads them four times. Repair
+    and numbering share the next shuffle, attribution takes the last one by
+    person, and descriptive columns are joined on at the end, when the rows no
+    longer move by person.
     """
     log = status if person is None else status.filter(F.col("person_id") == person)
     events = timeline(log, contact)
@@ -348,9 +344,7 @@ def build_intervals(
     ended = settle(spells(events, hot))
     general, detail = general_spells(ended), earliest_end(ended)
     rows = append_unmatched(merge_intervals(general, detail, dims.kinds), general, detail, dims.kinds)
-    rows = exit_type(clip_to_next(order_intervals(rows, hot)))
-    rows = repair_same_start(attach_reason(rows, dims))
-    rows = rows.join(contact.select("person_id", "g_number"), "person_id")
+    rows = repair_same_start(exit_type(clip_to_next(order_intervals(rows, hot))))
     rows = rows.withColumns(
         {
             "next_program": F.col("following.program"),
@@ -358,8 +352,10 @@ def build_intervals(
             "previous_program": F.col("previous.program"),
             "previous_detail": F.col("previous.program_detail"),
         }
-    ).drop("following", "previous")
-    return attribute_as_of_end(rows, log, dims, hot).select(*INTERVAL_COLUMNS)
+    ).drop("following", "previous", "raw_end_date")
+    rows = rows.join(contact.select("person_id", "g_number"), "person_id")
+    rows = attribute_as_of_end(rows, log, dims, hot)
+    return attach_reason(rows, dims).select(*INTERVAL_COLUMNS)
 
 
 def current_state(intervals: DataFrame) -> DataFrame:

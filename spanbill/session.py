@@ -9,6 +9,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # call-site capture costs about a millisecond per column expression
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
