@@ -11,6 +11,7 @@ from pyspark.sql.types import DecimalType
 
 from spanbill.functions.exprs import grade_band, program_name, term_label
 from spanbill.operators.asof import next_after
+from spanbill.operators.ordered import HotKeys, find_hot_keys
 from spanbill.operators.periods import date_to_period
 from spanbill.operators.snapshots import changed_only
 from spanbill.operators.stage import settle
@@ -46,8 +47,12 @@ def query(job: Callable[[Domain], DataFrame]) -> Callable[[Domain], DataFrame]:
 # --- intervals, stage by stage --------------------------------------------------------
 
 
+def hot_people(d: Domain) -> HotKeys | None:
+    return find_hot_keys(d.status.filter("undone_by is null"), "person_id")
+
+
 def ended(d: Domain) -> tuple[DataFrame, DataFrame]:
-    rows = settle(I.spells(I.timeline(d.status, d.contact)))
+    rows = settle(I.spells(I.timeline(d.status, d.contact), hot_people(d)))
     return I.general_spells(rows), I.earliest_end(rows)
 
 
@@ -56,8 +61,12 @@ def merged(d: Domain) -> DataFrame:
     return I.append_unmatched(I.merge_intervals(general, detail, d.kinds), general, detail, d.kinds)
 
 
+def ordered(d: Domain) -> DataFrame:
+    return I.order_intervals(merged(d), hot_people(d))
+
+
 def typed(d: Domain) -> DataFrame:
-    return I.exit_type(I.clip_to_next(I.order_intervals(merged(d))))
+    return I.exit_type(I.clip_to_next(ordered(d)))
 
 
 def intervals(d: Domain) -> DataFrame:
@@ -77,22 +86,22 @@ def enroll_events_no_test(d):
 @query
 def next_exit_asof(d):
     enrolls, exits = I.enroll_events(d.status, d.contact), I.exit_events(d.status)
-    return next_after(enrolls, exits, "person_id", "status_date", "status_date", "status_id")
+    return next_after(enrolls, exits, "person_id", "status_date", "status_date", "status_id", hot_people(d))
 
 
 @query
 def detail_enroll_numbered(d):
-    return I.number_events(I.detail_events(d.status, d.contact))
+    return I.number_events(I.detail_events(d.status, d.contact), hot_people(d))
 
 
 @query
 def next_transition(d):
-    return I.next_transition(I.detail_events(d.status, d.contact))
+    return I.next_transition(I.detail_events(d.status, d.contact), hot_people(d))
 
 
 @query
 def earliest_end(d):
-    return I.earliest_end(I.spells(I.timeline(d.status, d.contact))).drop("end_note")
+    return I.earliest_end(I.spells(I.timeline(d.status, d.contact), hot_people(d))).drop("end_note")
 
 
 @query
@@ -107,12 +116,12 @@ def interval_unmatched_append(d):
 
 @query
 def interval_dedupe_number(d):
-    return I.order_intervals(merged(d)).drop("following", "previous", "end_note")
+    return ordered(d).drop("following", "previous", "end_note")
 
 
 @query
 def interval_clip(d):
-    return I.clip_to_next(I.order_intervals(merged(d))).select(
+    return I.clip_to_next(ordered(d)).select(
         "person_id", "seq", "start_date", "raw_end_date", "end_date"
     )
 

@@ -10,6 +10,11 @@ from pyspark.sql import functions as F
 from spanbill.functions import fixed
 
 
+def given(value) -> bool:
+    """Is an optional filter set? None, empty text, 0 and ``"0"`` mean no filter."""
+    return value not in (None, "", 0, "0")
+
+
 def any_of(conditions) -> Column:
     return reduce(lambda a, b: a | b, conditions)
 

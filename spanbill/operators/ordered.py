@@ -2,14 +2,16 @@
 
 A window partitioned by a key sends all rows of that key to one task, which
 breaks when one key owns a large part of the table. ``ordered_scan`` keeps the
-plain window for ordinary keys. Keys above a row limit are cut into date chunks
-of bounded size: the window runs per (key, chunk), one summary row per chunk
-carries what the neighbouring chunks know, and a join on (key, chunk) fills in
-the edges. Both ways give the same rows.
+plain window for ordinary keys. The rows of keys above a row limit are range
+partitioned on the whole order, ids included, so even one crowded day is cut
+into chunks of about that limit. The window then runs per (key, chunk), one
+summary row per chunk carries what the neighbouring chunks know, and a join on
+(key, chunk) fills in the edges. Both ways give the same rows.
 """
 
 from __future__ import annotations
 
+import math
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
@@ -19,7 +21,6 @@ from spanbill.operators.stage import settle
 
 HOT_ROWS_CONF = "spark.spanbill.hotKeyRows"
 HOT_ROWS_DEFAULT = 2_000_000
-FAR_PAST = "0001-01-01"
 
 
 class Take(NamedTuple):
@@ -39,8 +40,10 @@ class Take(NamedTuple):
 
 
 class HotKeys(NamedTuple):
+    """Keys with too many rows for one task, and how many chunks their rows need."""
+
     keys: DataFrame
-    limit: int
+    chunks: int
 
 
 def find_hot_keys(df: DataFrame, key: str, limit: int | None = None) -> HotKeys | None:
@@ -54,10 +57,11 @@ def find_hot_keys(df: DataFrame, key: str, limit: int | None = None) -> HotKeys
     if limit is None:
         limit = int(spark.conf.get(HOT_ROWS_CONF, str(HOT_ROWS_DEFAULT)))
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > limit)
-    rows = counts.select(key).collect()
+    rows = counts.collect()
     if not rows:
         return None
-    return HotKeys(spark.createDataFrame(rows, df.select(key).schema), limit)
+    keys = spark.createDataFrame([(r[key],) for r in rows], df.select(key).schema)
+    return HotKeys(keys, max(2, math.ceil(sum(r["n"] for r in rows) / limit)))
 
 
 def _windows(keys, order):
@@ -121,16 +125,11 @@ def _plain(df: DataFrame, keys, order, take: dict[str, Take]) -> DataFrame:
     return df.withColumns({name: _local(t, forward, backward) for name, t in take.items()})
 
 
-def _chunked(df: DataFrame, key: str, order, take: dict[str, Take], limit: int) -> DataFrame:
-    day = F.coalesce(F.to_date(F.col(order[0])), F.lit(FAR_PAST).cast("date"))
-    rows = settle(df.withColumn("_day", day))
-    # rows per day of a hot key, then a running total: a new chunk every `limit` rows
-    per_day = rows.groupBy(key, "_day").agg(F.count(F.lit(1)).alias("_n"))
-    so_far = Window.partitionBy(key).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
-    chunks = per_day.select(
-        key, "_day", F.floor(F.coalesce(F.sum("_n").over(so_far), F.lit(0)) / limit).alias("_chunk")
-    )
-    rows = settle(rows.join(chunks, [key, "_day"]).drop("_day"))
+def _chunked(df: DataFrame, key: str, order, take: dict[str, Take], chunks: int) -> DataFrame:
+    # the chunk number becomes data once the stage is written, so every branch
+    # below and every retry sees the same chunks
+    ranged = df.repartitionByRange(chunks, key, *order)
+    rows = settle(ranged.withColumn("_chunk", F.spark_partition_id()))
 
     scanned = _plain(rows, [key, "_chunk"], order, take)
     edges = rows.groupBy(key, "_chunk").agg(
@@ -151,12 +150,11 @@ def ordered_scan(
 ) -> DataFrame:
     """Add the results of ``take``, looking along ``order`` within ``key``.
 
-    ``order`` names columns that give a total order per key; the first is a
-    date or timestamp.
+    ``order`` names columns that give a total order per key.
     """
     if hot is None:
         return _plain(df, [key], order, take)
     small = F.broadcast(hot.keys)
     cold = _plain(df.join(small, key, "left_anti"), [key], order, take)
-    warm = _chunked(df.join(small, key, "left_semi"), key, order, take, hot.limit)
+    warm = _chunked(df.join(small, key, "left_semi"), key, order, take, hot.chunks)
     return cold.unionByName(warm.select(*cold.columns))

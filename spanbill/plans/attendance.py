@@ -9,11 +9,11 @@ from __future__ import annotations
 from datetime import date, datetime
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spanbill.functions import fixed
-from spanbill.functions.exprs import decimal, is_attendance
+from spanbill.functions.exprs import decimal, given, is_attendance
 from spanbill.operators.snapshots import apply_changes, changed_only
 from spanbill.plans.billing import (
     exit_group_date,
@@ -37,6 +37,16 @@ MONTHS = {
 }
 
 
+def in_scope(since: date | None = None, until: date | None = None, person: int | None = None) -> Column:
+    """Bills of a run: by start date from ``since`` to ``until``, or of one person."""
+    keep = F.lit(True)
+    if since is not None:
+        keep = keep & (F.col("start_date") >= F.lit(since))
+    if until is not None:
+        keep = keep & (F.col("start_date") <= F.lit(until))
+    return keep & (F.col("person_id") == person) if given(person) else keep
+
+
 def scenario_values(
     items: DataFrame, bills: DataFrame, course_scenarios: DataFrame, scenarios: DataFrame, districts: DataFrame
 ) -> DataFrame:
@@ -64,12 +74,19 @@ def refresh_scenario(items: DataFrame, values: DataFrame, now: datetime | None =
     return apply_changes(items, changes, "item_id", list(Scenario.COLUMNS), now, by)
 
 
-def month_cap(bills: DataFrame, cycles: DataFrame, included_only: bool = True) -> DataFrame:
+def month_cap(
+    bills: DataFrame,
+    cycles: DataFrame,
+    included_only: bool = True,
+    since: date | None = None,
+    until: date | None = None,
+    person: int | None = None,
+) -> DataFrame:
     """Set the period cap, and per person and month the month cap.
 
     The month cap is the sum of the month's period caps. It is placed on the
     bills of the last billing date of the month; the other bills keep what
-    they have.
+    they have, and so do bills and months out of scope.
     """
     attends = is_attendance(F.col("program"))
     caps = (
@@ -78,13 +95,21 @@ def month_cap(bills: DataFrame, cycles: DataFrame, included_only: bool = True) -
         .agg(F.min("max_days_period").alias("_cap"))
     )
     rows = bills.join(caps, "start_date", "left")
-    period = F.when(attends, F.coalesce("_cap", "max_days_period")).otherwise(F.col("max_days_period"))
+    scope = in_scope(since, until, person)
+    period = F.when(attends & scope, F.coalesce("_cap", "max_days_period")).otherwise(F.col("max_days_period"))
     rows = rows.withColumn("max_days_period", period).drop("_cap")
 
     counted = rows.filter(attends & (F.col("include_flag") == 1)) if included_only else rows.filter(attends)
     months = counted.groupBy("person_id", F.trunc("start_date", "month").alias("_month")).agg(
         F.max("start_date").alias("start_date"), F.sum("max_days_period").alias("_total")
     )
+    month = F.col("_month")
+    if since is not None:
+        months = months.filter(month >= F.trunc(F.lit(since), "month"))
+    if until is not None:
+        months = months.filter(month <= F.trunc(F.lit(until), "month"))
+    if given(person):
+        months = months.filter(F.col("person_id") == person)
     rows = rows.join(months.drop("_month"), ["person_id", "start_date"], "left")
     total = F.coalesce("_total", "max_days_month").cast("decimal(12,4)")
     return rows.withColumn("max_days_month", total).drop("_total")
@@ -168,15 +193,20 @@ def update_attendance_billing(
     scenarios: DataFrame,
     districts: DataFrame,
     legacy_2017: bool = False,
+    since: date | None = None,
+    until: date | None = None,
+    person: int | None = None,
 ) -> AttendanceRun:
-    """Scenarios, caps and amounts of every attendance bill.
+    """Scenarios, caps and amounts of every attendance bill in scope.
 
     ``legacy_2017`` ignores adjusted days and the include flag of the month
     cap, and does not round the adjusted hours.
     """
-    fresh = refresh_scenario(items, scenario_values(items, bills, course_scenarios, scenarios, districts))
-    capped = month_cap(bills, cycles, included_only=not legacy_2017)
-    amounts = billed_amount(fresh, capped, districts)
+    scope = in_scope(since, until, person)
+    values = scenario_values(items, bills.filter(scope), course_scenarios, scenarios, districts)
+    fresh = refresh_scenario(items, values)
+    capped = month_cap(bills, cycles, not legacy_2017, since, until, person)
+    amounts = billed_amount(fresh, capped.filter(scope), districts)
     values = apply_cap(amounts, use_adjusted=not legacy_2017, round_hours=not legacy_2017)
     return AttendanceRun(fresh, apply_changes(capped, values, "bill_id", CAP_COLUMNS))
 
@@ -280,11 +310,15 @@ def generate_attendance_billing(
 ) -> ReportRun:
     """Update, report and register one attendance billing run.
 
-    ``cycle`` gives cycle_id, start_date and program_year of the billing cycle
-    the run is for; in a split month pass the last one (see
-    ``split_month_cycles``).
+    ``cycle`` gives cycle_id, start_date, year_start and program_year of the
+    billing cycle the run is for; in a split month pass the last one (see
+    ``split_month_cycles``). The run recomputes the year up to the cycle; the
+    2017 form computes the cycle's own date only.
     """
-    done = update_attendance_billing(bills, items, cycles, course_scenarios, scenarios, districts, legacy_2017)
+    since = cycle["start_date"] if legacy_2017 else cycle["year_start"]
+    done = update_attendance_billing(
+        bills, items, cycles, course_scenarios, scenarios, districts, legacy_2017, since, cycle["start_date"]
+    )
     report = attendance_report(
         done.bills, profile, districts, calendar, cycle["program_year"], cycle["start_date"], legacy_2017
     )

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spanbill.functions import fixed
-from spanbill.functions.exprs import canonical_program, program_name, same_text
+from spanbill.functions.exprs import canonical_program, given, program_name, same_text
 from spanbill.operators.asof import latest_before
 from spanbill.operators.ordered import HotKeys, Take, find_hot_keys, ordered_scan
 from spanbill.operators.stage import settle
@@ -71,7 +71,7 @@ def select_events(
         rows = rows.filter(reports_under(F.col("program")))
     if exclude_people is not None:
         rows = rows.filter(F.col("person_id") != 0).join(exclude_people, "person_id", "left_anti")
-    return rows if person is None else rows.filter(F.col("person_id") == person)
+    return rows.filter(F.col("person_id") == person) if given(person) else rows
 
 
 def exit_events(status: DataFrame, person: int | None = None) -> DataFrame:
@@ -338,7 +338,7 @@ def build_intervals(
     person, and descriptive columns are joined on at the end, when the rows no
     longer move by person.
     """
-    log = status if person is None else status.filter(F.col("person_id") == person)
+    log = status.filter(F.col("person_id") == person) if given(person) else status
     events = timeline(log, contact)
     hot = find_hot_keys(log.filter(F.col("undone_by").isNull()), "person_id", hot_rows)
     ended = settle(spells(events, hot))

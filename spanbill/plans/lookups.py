@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spanbill.functions import fixed
+from spanbill.functions.exprs import given
 from spanbill.operators.asof import latest_per_key
 from spanbill.plans.intervals import current_state, reason_list, select_events
 
@@ -35,9 +36,9 @@ def current_exit(
 ) -> DataFrame:
     """The current interval of everyone, or of one person or G-number."""
     people = contact.select("person_id", "first_name", "last_name", "g_number")
-    if contact_id:
+    if given(contact_id):
         people = people.filter(F.col("person_id") == contact_id)
-    elif g_number:
+    elif given(g_number):
         people = people.filter(F.lower("g_number") == g_number.lower())
     now = current_state(intervals).select("person_id", "start_date", "end_date", "program_detail")
     return now.join(people, "person_id").select(
@@ -53,7 +54,7 @@ def students_to_bill(
         F.col("start_date") < F.lit(end)
     )
     people = contact.select("person_id", "last_name", "first_name", "g_number")
-    if g_number:
+    if given(g_number):
         people = people.filter(F.lower("g_number") == g_number.lower())
     numbers = bills.select("person_id", "pidm").distinct()
     return (

@@ -1,6 +1,6 @@
 """Reports over a date range.
 
-Optional filters are ``None`` when they do not apply. The chosen interval and
+Optional filters are ``None`` (or 0, or empty) when they do not apply. The chosen interval and
 the current one come out of one aggregate per person, so the intervals are read
 once and a person with many intervals combines map-side.
 """
@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spanbill.functions import fixed
-from spanbill.functions.exprs import iso, program_name, same_text
+from spanbill.functions.exprs import given, iso, program_name, same_text
 from spanbill.plans.intervals import select_events
 from spanbill.plans.lookups import district_before
 
@@ -32,13 +32,13 @@ PICKED = [
 
 def _choice(program, detail, district, coach=None) -> Column:
     keep = F.lit(True)
-    if program is not None:
+    if given(program):
         keep = keep & same_text(F.col("program"), F.lit(program))
-    if detail is not None:
+    if given(detail):
         keep = keep & same_text(F.col("program_detail"), F.lit(detail))
-    if district is not None:
+    if given(district):
         keep = keep & (F.col("district_id") == district)
-    if coach is not None:
+    if given(coach):
         keep = keep & (F.col("coach_id") == coach)
     return keep
 
@@ -158,7 +158,7 @@ def still_applicant(
         .join(gtc, "person_id")
         .join(district, "person_id", "left")
     )
-    if district_id is not None:
+    if given(district_id):
         rows = rows.filter(F.col("district_id") == district_id)
     writing = F.col("grammar_score") + F.col("essay_score")
     everything = writing + F.col("reading_score") + F.col("math_score")

@@ -109,13 +109,21 @@ def term_units(credits: DataFrame, cycles: DataFrame) -> DataFrame:
 
 def update_term_billing(
     bills: DataFrame, items: DataFrame, calendar: DataFrame, cycles: DataFrame, districts: DataFrame,
-    legacy_2017: bool = False,
+    legacy_2017: bool = False, year: str | None = None, until_term: int | None = None,
 ) -> DataFrame:
-    """Bill snapshot with the generated units and days of every term."""
+    """Bill snapshot with the generated units and days of every term in scope.
+
+    Scope is one program year and the terms up to one; both are open when not
+    given. The 2017 form updates ``until_term`` alone.
+    """
     if legacy_2017:
         credits = whole_year_credits(bills, items, calendar, districts)
     else:
         credits = ytd_credits(bills, items, calendar)
+    if year is not None:
+        credits = credits.filter(F.col("program_year") == year)
+    if until_term is not None:
+        credits = credits.filter(F.col("term") == until_term if legacy_2017 else F.col("term") <= until_term)
     missing = [c for c in UNIT_COLUMNS if c not in bills.columns]
     bills = bills.withColumns({c: F.lit(None).cast("decimal(18,4)") for c in missing})
     units = term_units(credits, cycles)
@@ -260,9 +268,11 @@ def generate_term_billing(
 ) -> ReportRun:
     """Update, report and register one term billing run.
 
-    ``cycle`` gives cycle_id and program_year of the billing cycle.
+    ``cycle`` gives cycle_id, term and program_year of the billing cycle.
     """
-    fresh = update_term_billing(bills, items, calendar, cycles, districts, legacy_2017)
+    fresh = update_term_billing(
+        bills, items, calendar, cycles, districts, legacy_2017, cycle["program_year"], cycle["term"]
+    )
     report = term_report(
         fresh, profile, districts, calendar, year_max_days(cycles), cycle["program_year"], legacy_2017
     )

@@ -76,6 +76,15 @@ def test_month_cap_goes_to_the_last_bill_of_the_month(spark):
     assert legacy[2] == (3, D(12))
 
 
+def test_scope_leaves_other_bills_alone(spark):
+    b = bills(spark, bill(1, "2014-04-01"), bill(2, "2014-05-01"), bill(3, "2014-05-01", person=2))
+    c = cycles(spark, (1, "Attendance", "2014-04-01", 1, "y", 10), (2, "Attendance", "2014-05-01", 1, "y", 7))
+    early = rows(A.month_cap(b, c, until=d("2014-04-30")), "bill_id", "max_days_month")
+    assert early == [(1, D(10)), (2, None), (3, None)]
+    late = rows(A.month_cap(b, c, since=d("2014-05-01"), person=2), "bill_id", "max_days_month")
+    assert late == [(1, None), (2, None), (3, D(7))]
+
+
 def test_amount_weights(spark):
     b = bills(spark, bill(1, "2014-04-01"))
     i = items(spark, (1, 1, 10, 1, 1, 0, 0, 0), (2, 1, 10, 1, 0, 1, 0, 0), (3, 1, 10, 1, 0, 0, 1, 0), (4, 1, 10, 1, None, 0, 0, 1))
@@ -258,7 +267,7 @@ def test_whole_runs_register_their_report(spark, sf_dir):
     from spanbill.sources.fixtures import Domain
 
     m = Domain(spark, sf_dir)
-    cycle = {"cycle_id": 20140401, "start_date": d("2014-04-01"), "program_year": "2013-2014"}
+    cycle = {"cycle_id": 20140401, "start_date": d("2014-04-01"), "year_start": d("2013-07-01"), "program_year": "2013-2014"}
     run = A.generate_attendance_billing(
         m.bills, m.items, m.cycles, m.course_scenarios, m.scenario_dim, m.districts, m.profile, m.calendar, cycle, 77, "clerk"
     )
@@ -266,8 +275,10 @@ def test_whole_runs_register_their_report(spark, sf_dir):
     assert run.cycles.filter("latest_report_id = 77").count() == 1
     report = run.report.agg(F.count("*").alias("n"), F.max("report_id").alias("id"), F.sum("may").alias("may")).first()
     assert report.n > 0 and report.id == 77 and report.may == 0
+    late = run.bills.filter("start_date > date'2014-04-01' or start_date < date'2013-07-01'")
+    assert late.filter("adjusted_ind_hours is not null or small_weight is not null").count() == 0
     billed = run.bills.filter("generated_amount > coalesce(adjusted_days, max_days_month)").filter("program like '%Attendance' and include_flag = 1")
     assert billed.filter("adjusted_ind_hours is not null").count() == 0
-    term = {"cycle_id": 201402, "start_date": d("2014-04-01"), "program_year": "2013-2014"}
+    term = {"cycle_id": 201402, "term": 201402, "program_year": "2013-2014"}
     run = T.generate_term_billing(m.bills, m.items, m.cycles, m.districts, m.profile, m.calendar, term, 78, "clerk")
     assert run.report.count() > 0 and rows(run.header)[0][0] == 78
