@@ -388,7 +388,7 @@ def exit_code_backfill(d):
 @query
 def exit_reconcile(d):
     spans, bills, since = exit_inputs(d)
-    bills = B.exit_code_backfill(B.exit_backfill(bills, spans, since), spans, d.reasons, since)
+    bills = B.backfill_exits(bills, spans, d.reasons, since)
     items = bills.select("bill_id", F.explode(F.array(F.lit(1), F.lit(2))).alias("n")).select(
         "bill_id", (F.floor(F.col("bill_id") / 100000) % 10 + 1.5).cast("double").alias("attendance")
     )
@@ -403,6 +403,10 @@ def profile(d: Domain) -> DataFrame:
     return P.contact_profile(d.contact, d.gtc, d.ytc, d.yes, d.sis_person, d.courses, d.calendar)
 
 
+def facts(d: Domain) -> DataFrame:
+    return P.term_facts(d.courses, d.calendar)
+
+
 def scores(d: Domain) -> DataFrame:
     return P.pass_rule(d.ytc, d.yes)
 
@@ -416,7 +420,7 @@ def interval_outcome(d):
 
 @query
 def term_bounds(d):
-    return P.term_bounds(intervals(d), d.calendar, d.courses)
+    return P.term_bounds(intervals(d), d.calendar, facts(d)).drop("_at_exit")
 
 
 @query
@@ -434,7 +438,7 @@ def age_at(d):
 @query
 def person_summary(d):
     spans = settle(intervals(d))
-    return P.person_summary(P.enroll_exit(spans, d.contact, profile(d), d.calendar, d.courses))
+    return P.person_summary(P.enroll_exit(spans, d.contact, profile(d), d.calendar, facts(d)))
 
 
 @query
@@ -450,9 +454,10 @@ def date_to_term(d):
 
 @query
 def post_event_gpa(d):
-    spans = settle(intervals(d))
-    wide = spans.join(P.term_bounds(spans, d.calendar, d.courses), ["person_id", "seq"], "left")
-    return P.post_event_gpa(wide, profile(d), d.courses)
+    spans, summary = settle(intervals(d)), facts(d)
+    wide = spans.join(P.term_bounds(spans, d.calendar, summary), ["person_id", "seq"], "left")
+    rows = P.post_event_gpa(wide, profile(d), summary).filter("course_rows_in_pass_term is not null")
+    return rows.select("person_id", "seq", "post_credits", "post_points", "course_rows_in_pass_term")
 
 
 @query
@@ -474,8 +479,8 @@ def person_term(d):
 
 @query
 def running_level(d):
-    rows = d.courses.select("student", "term", F.col("term").alias("before")).distinct()
-    return P.running_level(rows, d.courses, "term", "before").filter("esol_student = 1").drop("before")
+    rows = P.running_level(P.term_summary(d.courses)).filter("esol_student = 1")
+    return rows.select("student", "term", "esol_student", "incoming_esol_level")
 
 
 @query
@@ -498,7 +503,8 @@ def pass_rule(d):
 def post_pass_gpa(d):
     spans = settle(intervals(d))
     rows = P.person_term(spans, d.contact, d.calendar, d.courses, d.term_results, YTC, scores(d))
-    return P.post_pass_gpa(rows, d.calendar, d.courses, "term")
+    rows = rows.filter("post_terms is not null")
+    return rows.select("student", "last_test_date", "term", "post_gpa", "post_terms").distinct()
 
 
 @query

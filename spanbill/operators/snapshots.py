@@ -8,41 +8,56 @@ from pyspark.sql import functions as F
 from spanbill.functions.exprs import any_of, differs
 
 
+def _moved(old: str, new: str, cols: list[str], null_as):
+    def value(name):
+        column = F.col(name)
+        return column if null_as is None else F.coalesce(column, F.lit(null_as))
+
+    return any_of([differs(value(f"{old}.{c}"), value(f"{new}.{c}")) for c in cols])
+
+
 def changed_only(old: DataFrame, new: DataFrame, key: str, cols: list[str], null_as=None) -> DataFrame:
     """Rows of ``new`` whose value differs from ``old`` in any of ``cols``.
 
     ``null_as`` gives a value that counts as equal to NULL.
     """
-    def value(side, name):
-        column = F.col(f"{side}.{name}")
-        return column if null_as is None else F.coalesce(column, F.lit(null_as))
-
-    moved = any_of([differs(value("o", c), value("n", c)) for c in cols])
     before = old.select(key, *cols).alias("o")
     return (
         new.alias("n")
         .join(before, F.col(f"n.{key}") == F.col(f"o.{key}"))
-        .filter(moved)
+        .filter(_moved("o", "n", cols, null_as))
         .select("n.*")
     )
 
 
 def apply_changes(
-    old: DataFrame, changes: DataFrame, key: str, cols: list[str], changed_at=None, changed_by=None
+    old: DataFrame,
+    changes: DataFrame,
+    key: str,
+    cols: list[str],
+    changed_at=None,
+    changed_by=None,
+    only_changed: bool = False,
+    null_as=None,
 ) -> DataFrame:
     """``old`` with ``cols`` replaced for the keys in ``changes`` (one row per key).
 
     A changed row takes the new value even when that is NULL. With
-    ``changed_at`` / ``changed_by`` the rows written are stamped.
+    ``changed_at`` / ``changed_by`` the rows written are stamped. One join does
+    it all: with ``only_changed`` a row is written and stamped only when a
+    value differs (see ``changed_only``).
     """
+    missing = [c for c in cols if c not in old.columns]
+    types = dict(changes.dtypes)
+    base = old.withColumns({c: F.lit(None).cast(types[c]) for c in missing}) if missing else old
     fresh = changes.select(F.col(key).alias("_key"), F.struct(*cols).alias("_new"))
-    joined = old.join(fresh, F.col(key) == F.col("_key"), "left")
+    joined = base.withColumn("_old", F.struct(*cols)).join(fresh, F.col(key) == F.col("_key"), "left")
     hit = F.col("_new").isNotNull()
-    out = {}
-    for c in cols:
-        out[c] = F.when(hit, F.col(f"_new.{c}")).otherwise(F.col(c)) if c in old.columns else F.col(f"_new.{c}")
+    if only_changed:
+        hit = hit & _moved("_old", "_new", cols, null_as)
+    out = {c: F.when(hit, F.col(f"_new.{c}")).otherwise(F.col(c)) for c in cols}
     for name, value in (("updated_at", changed_at), ("updated_by", changed_by)):
         if value is not None:
             before = F.col(name) if name in old.columns else F.lit(None)
             out[name] = F.when(hit, F.lit(value)).otherwise(before)
-    return joined.withColumns(out).drop("_key", "_new")
+    return joined.withColumns(out).drop("_key", "_new", "_old")

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from spanbill.functions import fixed
 from spanbill.functions.exprs import decimal, given, is_attendance
-from spanbill.operators.snapshots import apply_changes, changed_only
+from spanbill.operators.snapshots import apply_changes
 from spanbill.plans.billing import (
     exit_group_date,
     first_set,
@@ -70,8 +70,7 @@ def scenario_values(
 
 def refresh_scenario(items: DataFrame, values: DataFrame, now: datetime | None = None, by: str | None = None):
     """Item snapshot with current scenarios; only changed items are stamped."""
-    changes = changed_only(items, values, "item_id", list(Scenario.COLUMNS))
-    return apply_changes(items, changes, "item_id", list(Scenario.COLUMNS), now, by)
+    return apply_changes(items, values, "item_id", list(Scenario.COLUMNS), now, by, only_changed=True)
 
 
 def month_cap(
@@ -115,45 +114,56 @@ def month_cap(
     return rows.withColumn("max_days_month", total).drop("_total")
 
 
-def billed_amount(items: DataFrame, bills: DataFrame, districts: DataFrame) -> DataFrame:
-    """Weighted hours per attendance bill.
+HOURS = ["ind_hours", "small_hours", "inter_hours", "large_hours"]
+
+
+def item_hours(items: DataFrame) -> DataFrame:
+    """Hours per bill and group size.
 
-    Items are summed per bill before the join, so the shuffle carries one row
+    Items are summed per bill before any join, so the shuffle carries one row
     per bill and task instead of every item.
     """
-    hours = {c.split("_")[0]: F.col("attendance") * F.coalesce(F.col(c), F.lit(0).cast("decimal(5,3)")) for c in Scenario.PERCENTS}
-    per_bill = (
-        items.filter("include_flag = 1")
-        .groupBy("bill_id")
-        .agg(*[F.sum(h).cast("decimal(20,6)").alias(f"{name}_hours") for name, h in hours.items()])
-    )
-    everything = F.col("ind_hours") + F.col("small_hours") + F.col("inter_hours") + F.col("large_hours")
+    none = F.lit(0).cast("decimal(5,3)")
+    sums = [
+        F.sum(F.col("attendance") * F.coalesce(F.col(percent), none)).cast("decimal(20,6)").alias(name)
+        for percent, name in zip(Scenario.PERCENTS, HOURS)
+    ]
+    return items.filter("include_flag = 1").groupBy("bill_id").agg(*sums)
+
+
+def weighted() -> Column:
+    """Billable amount of a row of hours."""
+    ind, small, inter, large = [F.col(h) for h in HOURS]
     amount = (
-        F.col("ind_hours")
-        + F.col("small_hours") * decimal(fixed.SMALL_WEIGHT)
-        + F.col("inter_hours") * decimal(fixed.INTER_WEIGHT)
-        + F.col("large_hours") * decimal(fixed.LARGE_WEIGHT)
-        + everything * (decimal(fixed.CASE_SHARE) * decimal(fixed.CASE_WEIGHT))
-    )
-    attended = bills.filter(is_attendance(F.col("program"))).join(
-        districts.select("district_id"), "district_id", "left_semi"
-    )
-    return (
-        per_bill.join(attended.select("bill_id", "max_days_month", "adjusted_days"), "bill_id")
-        .withColumn("billed", amount.cast("decimal(28,10)"))
-        .select("bill_id", "billed", "small_hours", "inter_hours", "large_hours", "max_days_month", "adjusted_days")
+        ind
+        + small * decimal(fixed.SMALL_WEIGHT)
+        + inter * decimal(fixed.INTER_WEIGHT)
+        + large * decimal(fixed.LARGE_WEIGHT)
+        + (ind + small + inter + large) * (decimal(fixed.CASE_SHARE) * decimal(fixed.CASE_WEIGHT))
     )
+    return amount.cast("decimal(28,10)")
 
 
-def apply_cap(amounts: DataFrame, use_adjusted: bool = True, round_hours: bool = True) -> DataFrame:
-    """Split the amount into a billed and an overage part.
+def billable(bills: DataFrame, districts: DataFrame) -> DataFrame:
+    """Attendance bills of a known district."""
+    attended = bills.filter(is_attendance(F.col("program")))
+    return attended.join(districts.select("district_id"), "district_id", "left_semi")
+
+
+def billed_amount(items: DataFrame, bills: DataFrame, districts: DataFrame) -> DataFrame:
+    """Weighted hours per attendance bill."""
+    caps = billable(bills, districts).select("bill_id", "max_days_month", "adjusted_days")
+    return item_hours(items).join(caps, "bill_id").withColumn("billed", weighted()).drop("ind_hours")
+
+
+def cap_columns(use_adjusted: bool = True, round_hours: bool = True) -> dict[str, Column]:
+    """The billed and the overage part of ``billed``, and the weights used.
 
     Without a cap everything is billed. The individual hours that would exactly
     fill the month cap are derived only when the amount exceeds it.
     """
     cap = F.coalesce("adjusted_days", "max_days_month") if use_adjusted else F.col("max_days_month")
-    billed, nothing = F.col("billed"), F.lit(0)
-    month = F.col("max_days_month")
+    billed, month = F.col("billed"), F.col("max_days_month")
     taught = (
         decimal(fixed.HOURS_SMALL) * F.col("small_hours")
         + decimal(fixed.HOURS_INTER) * F.col("inter_hours")
@@ -161,23 +171,22 @@ def apply_cap(amounts: DataFrame, use_adjusted: bool = True, round_hours: bool =
     )
     hours = F.when(billed > month, (month - taught).cast("decimal(28,10)") / decimal(fixed.HOURS_DIVISOR))
     hours = F.round(hours, 2).cast("decimal(20,2)") if round_hours else hours.cast("decimal(28,10)")
-    over = F.when(billed > cap, billed - cap).otherwise(nothing)
-    return amounts.select(
-        "bill_id",
-        F.round(F.when(billed > cap, cap).otherwise(billed), 2).cast("decimal(20,2)").alias("generated_amount"),
-        F.round(over, 2).cast("decimal(20,2)").alias("generated_over"),
-        decimal(fixed.SMALL_WEIGHT).alias("small_weight"),
-        decimal(fixed.INTER_WEIGHT).alias("inter_weight"),
-        decimal(fixed.LARGE_WEIGHT).alias("large_weight"),
-        decimal(fixed.CASE_WEIGHT if use_adjusted else fixed.CASE_WEIGHT_2017).alias("case_weight"),
-        hours.alias("adjusted_ind_hours"),
-    )
+    over = F.when(billed > cap, billed - cap).otherwise(F.lit(0))
+    return {
+        "generated_amount": F.round(F.when(billed > cap, cap).otherwise(billed), 2).cast("decimal(20,2)"),
+        "generated_over": F.round(over, 2).cast("decimal(20,2)"),
+        "small_weight": decimal(fixed.SMALL_WEIGHT),
+        "inter_weight": decimal(fixed.INTER_WEIGHT),
+        "large_weight": decimal(fixed.LARGE_WEIGHT),
+        "case_weight": decimal(fixed.CASE_WEIGHT if use_adjusted else fixed.CASE_WEIGHT_2017),
+        "adjusted_ind_hours": hours,
+    }
 
 
-CAP_COLUMNS = [
-    "generated_amount", "generated_over", "small_weight", "inter_weight", "large_weight", "case_weight",
-    "adjusted_ind_hours",
-]
+def apply_cap(amounts: DataFrame, use_adjusted: bool = True, round_hours: bool = True) -> DataFrame:
+    """Cap the amounts of ``billed_amount``."""
+    columns = cap_columns(use_adjusted, round_hours)
+    return amounts.select("bill_id", *[c.alias(name) for name, c in columns.items()])
 
 
 class AttendanceRun(NamedTuple):
@@ -206,9 +215,18 @@ def update_attendance_billing(
     values = scenario_values(items, bills.filter(scope), course_scenarios, scenarios, districts)
     fresh = refresh_scenario(items, values)
     capped = month_cap(bills, cycles, not legacy_2017, since, until, person)
-    amounts = billed_amount(fresh, capped.filter(scope), districts)
-    values = apply_cap(amounts, use_adjusted=not legacy_2017, round_hours=not legacy_2017)
-    return AttendanceRun(fresh, apply_changes(capped, values, "bill_id", CAP_COLUMNS))
+    # hours and the district check join onto the bills, which are read once
+    known = districts.select("district_id", F.lit(True).alias("_known"))
+    rows = (
+        capped.join(item_hours(fresh), "bill_id", "left")
+        .join(known, "district_id", "left")
+        .withColumn("billed", weighted())
+    )
+    hit = is_attendance(F.col("program")) & scope & F.col("_known") & F.col("billed").isNotNull()
+    new = cap_columns(use_adjusted=not legacy_2017, round_hours=not legacy_2017)
+    stored = {c: F.col(c) if c in bills.columns else F.lit(None) for c in new}
+    rows = rows.withColumns({c: F.when(hit, value).otherwise(stored[c]) for c, value in new.items()})
+    return AttendanceRun(fresh, rows.drop(*HOURS, "billed", "_known"))
 
 
 def split_month_cycles(cycles: DataFrame) -> DataFrame:

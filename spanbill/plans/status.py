@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from spanbill.functions import fixed
 from spanbill.functions.exprs import is_attendance, iso
-from spanbill.operators.snapshots import apply_changes
 from spanbill.plans.intervals import current_state
 
 
@@ -68,37 +67,50 @@ def _matched(bills: DataFrame, intervals: DataFrame, since: Column, legacy_month
     )
     rows = bills.filter(F.col("start_date") >= since).select(
         "bill_id", "person_id", "enrolled_date", "program", "start_date", F.col("end_date").alias("bill_end"),
-        "exit_date", "exit_code", F.lower("program").alias("_program"),
+        F.lower("program").alias("_program"),
     )
     return rows.join(spans, ["person_id", "enrolled_date", "_program"]).filter(_fits(legacy_month_only))
 
 
 def exit_backfill(bills: DataFrame, intervals: DataFrame, since: Column, legacy_month_only: bool = False) -> DataFrame:
     """Fill missing bill exits from the matching interval (the earliest of several)."""
-    found = (
-        _matched(bills, intervals, since, legacy_month_only)
-        .filter(F.col("exit_date").isNull() & F.col("i_end").isNotNull())
-        .groupBy("bill_id")
-        .agg(F.min("i_end").alias("exit_date"))
+    found = _matched(bills, intervals, since, legacy_month_only).groupBy("bill_id").agg(F.min("i_end").alias("i_end"))
+    return (
+        bills.join(found, "bill_id", "left")
+        .withColumn("exit_date", F.coalesce("exit_date", "i_end"))
+        .drop("i_end")
     )
-    return apply_changes(bills, found, "bill_id", ["exit_date"])
 
 
 def exit_code_backfill(
     bills: DataFrame, intervals: DataFrame, reasons: DataFrame, since: Column, legacy_month_only: bool = False
 ) -> DataFrame:
     """Fill missing exit codes with a billable reason number (the smallest of several)."""
+    return backfill_exits(bills, intervals, reasons, since, legacy_month_only, dates=False)
+
+
+def backfill_exits(
+    bills: DataFrame,
+    intervals: DataFrame,
+    reasons: DataFrame,
+    since: Column,
+    legacy_month_only: bool = False,
+    dates: bool = True,
+) -> DataFrame:
+    """Exit dates and exit codes in one pass over the matching intervals."""
     numbers = reasons.filter(F.col("reason_num").isin(*fixed.BILL_EXIT_REASONS)).select(
         F.col("reason_id").alias("i_reason"), "reason_num"
     )
     found = (
         _matched(bills, intervals, since, legacy_month_only)
-        .filter(F.col("exit_code").isNull())
-        .join(numbers, "i_reason")
+        .join(numbers, "i_reason", "left")
         .groupBy("bill_id")
-        .agg(F.min("reason_num").alias("exit_code"))
+        .agg(F.min("i_end").alias("_end"), F.min("reason_num").alias("_code"))
     )
-    return apply_changes(bills, found, "bill_id", ["exit_code"])
+    rows = bills.join(found, "bill_id", "left").withColumn("exit_code", F.coalesce("exit_code", "_code"))
+    if dates:
+        rows = rows.withColumn("exit_date", F.coalesce("exit_date", "_end"))
+    return rows.drop("_end", "_code")
 
 
 def exit_reconcile(
@@ -116,7 +128,13 @@ def exit_reconcile(
 
     An empty exit note gives way to the latest comment by id.
     """
-    last = bills.filter("include_flag = 1").groupBy("person_id").agg(F.max("bill_id").alias("bill_id"))
+    rest = [c for c in bills.columns if c not in ("person_id", "bill_id")]
+    last = (
+        bills.filter("include_flag = 1")
+        .groupBy("person_id")
+        .agg(F.max(F.struct("bill_id", *rest)).alias("_last"))
+        .select("person_id", "_last.*")
+    )
     hours = items.groupBy("bill_id").agg(F.sum("attendance").alias("attendance"))
     talk = comments.groupBy("person_id").agg(F.max_by("comment_text", "comment_id").alias("_comment"))
     now = current_state(intervals).select(
@@ -131,8 +149,7 @@ def exit_reconcile(
     )
     note = F.when(F.length("_note") == 0, F.col("_comment")).otherwise(F.col("_note"))
     return (
-        bills.filter(F.col("start_date") >= since)
-        .join(last, ["person_id", "bill_id"], "left_semi")
+        last.filter(F.col("start_date") >= since)
         .join(profile, "person_id")
         .join(now, "person_id")
         .join(hours, "bill_id")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spanbill.functions.exprs import is_attendance
-from spanbill.operators.snapshots import apply_changes, changed_only
+from spanbill.operators.snapshots import apply_changes
 from spanbill.plans.attendance import ReportRun
 from spanbill.plans.billing import (
     exit_group_date,
@@ -127,8 +127,7 @@ def update_term_billing(
     missing = [c for c in UNIT_COLUMNS if c not in bills.columns]
     bills = bills.withColumns({c: F.lit(None).cast("decimal(18,4)") for c in missing})
     units = term_units(credits, cycles)
-    changes = units if legacy_2017 else changed_only(bills, units, "bill_id", UNIT_COLUMNS, null_as=0)
-    return apply_changes(bills, changes, "bill_id", UNIT_COLUMNS)
+    return apply_changes(bills, units, "bill_id", UNIT_COLUMNS, only_changed=not legacy_2017, null_as=0)
 
 
 def _amounts(bills: DataFrame, legacy_2017: bool) -> DataFrame:

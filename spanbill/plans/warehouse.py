@@ -127,13 +127,68 @@ def term_summary(courses: DataFrame) -> DataFrame:
         F.max(level).alias("max_esol_level"),
         F.min(level).alias("min_esol_level"),
         F.max(F.when(F.upper("passed") == "Y", level)).alias("max_esol_level_passed"),
-        F.sum(F.when(graded, F.col("credits"))).alias("graded_credits"),
-        F.sum(grade_points(F.col("grade"), F.col("credits"))).alias("points"),
+        F.count(F.when(graded, 1)).alias("graded_count"),
+        F.coalesce(F.sum(F.when(graded, F.col("credits"))), F.lit(0)).alias("graded_credits"),
+        F.coalesce(F.sum(grade_points(F.col("grade"), F.col("credits"))), F.lit(0)).alias("points"),
     )
 
 
-def term_bounds(intervals: DataFrame, calendar: DataFrame, courses: DataFrame, grace_days: int = 15) -> DataFrame:
-    """First and last term with courses per interval; a start may come late by some days."""
+def running_level(summary: DataFrame) -> DataFrame:
+    """Add whether a student was in ESOL up to a term, and the highest level before it.
+
+    ``summary`` has one row per student and term, so a window group is at most
+    as long as the calendar.
+    """
+    terms = Window.partitionBy("student").orderBy("term")
+    upto = terms.rowsBetween(Window.unboundedPreceding, 0)
+    before = terms.rowsBetween(Window.unboundedPreceding, -1)
+    return summary.withColumns(
+        {
+            "esol_student": F.max(F.when(F.col("has_esol"), 1)).over(upto),
+            "incoming_esol_level": F.max("max_esol_level").over(before),
+        }
+    )
+
+
+TO_DATE = {"to_date_terms": "1", "to_date_count": "graded_count", "to_date_credits": "graded_credits", "to_date_points": "points"}
+
+
+def term_facts(courses: DataFrame, calendar: DataFrame) -> DataFrame:
+    """Course summary per student and term with running results.
+
+    ``to_date_*`` add up the calendar terms up to and including the row's, so
+    results between two terms are a difference of two rows and need no range
+    join. Terms the calendar lacks keep their row but add nothing.
+    """
+    rows = running_level(term_summary(courses)).join(calendar.select("term", "term_begin", "program_year"), "term", "left")
+    upto = Window.partitionBy("student").orderBy("term").rowsBetween(Window.unboundedPreceding, 0)
+    counted = F.col("term_begin").isNotNull()
+    return rows.withColumns(
+        {name: F.sum(F.when(counted, F.expr(value)).otherwise(0)).over(upto) for name, value in TO_DATE.items()}
+    )
+
+
+def results_until(facts: DataFrame, dates: DataFrame, columns: list[str]) -> DataFrame:
+    """Results of the terms that begin before each of some dates of a student.
+
+    ``dates`` has one row per student. The facts are reduced to one row per
+    student: a struct of terms, credits and points per date column.
+    """
+    joined = facts.filter(F.col("term_begin").isNotNull()).join(dates, "student")
+
+    def before(column: str) -> Column:
+        early = F.col("term_begin") < F.col(column)
+        parts = {"terms": F.lit(1), "credits": F.col("graded_credits"), "points": F.col("points")}
+        return F.struct(*[F.sum(F.when(early, v).otherwise(0)).alias(k) for k, v in parts.items()])
+
+    return joined.groupBy("student").agg(*[before(c).alias(f"_{c}") for c in columns])
+
+
+def term_bounds(intervals: DataFrame, calendar: DataFrame, facts: DataFrame, grace_days: int = 15) -> DataFrame:
+    """First and last term with courses per interval; a start may come late by some days.
+
+    ``facts`` is ``term_facts``; the results up to the last term come along.
+    """
     grace = F.date_add("term_begin", grace_days)
     terms = calendar.select("term", "term_begin", F.date_sub(grace, 1).alias("_late"))
     inside = (F.col("start_date") <= F.col("_late")) & (
@@ -142,13 +197,14 @@ def term_bounds(intervals: DataFrame, calendar: DataFrame, courses: DataFrame, g
     spans = intervals.select("person_id", "seq", F.col("g_number").alias("student"), "start_date", "end_date")
     taken = overlap_join(spans, terms, "start_date", "end_date", "term_begin", "_late", inside)
     return (
-        taken.join(term_summary(courses), ["student", "term"])
+        taken.join(facts.drop("term_begin", "program_year"), ["student", "term"])
         .groupBy("person_id", "seq")
         .agg(
             F.min("term").alias("term_enrolled"),
             F.max("term").alias("term_exit"),
             F.max("esl_yn").alias("esl_class_yn"),
             F.max(F.when(F.col("credit_esol"), F.col("term"))).alias("esol_last_term"),
+            F.max_by(F.struct(*TO_DATE), "term").alias("_at_exit"),
         )
     )
 
@@ -222,37 +278,50 @@ def contact_profile(
     )
 
 
-def post_event_gpa(bounded: DataFrame, profile: DataFrame, courses: DataFrame) -> DataFrame:
-    """Credits and points after the pass term, up to each interval's last term.
+def post_event_gpa(bounded: DataFrame, profile: DataFrame, facts: DataFrame) -> DataFrame:
+    """Add credits and points after the pass term, up to each interval's last term.
 
     ``course_rows_in_pass_term`` counts course rows in the pass term itself.
-    ``bounded`` carries ``term_exit`` per interval. A person's intervals meet
-    one summary row per term.
+    ``bounded`` carries the columns of ``term_bounds``. The results up to the
+    pass term are one row per person, and those up to the last term are already
+    on the interval, so no interval meets a course.
     """
+    term, passed, last = F.col("term"), F.col("passed_term"), F.col("term_exit")
     marks = profile.select("person_id", F.col("g_number").alias("student"), "passed_term")
-    spans = bounded.select("person_id", "seq", "term_exit").join(marks, "person_id")
-    rows = spans.join(
-        term_summary(courses).select("student", "term", "graded_credits", "points", "course_count"), "student"
+    early = term <= passed
+    person = (
+        facts.join(marks, "student")
+        .groupBy("person_id", "passed_term")
+        .agg(
+            F.sum(F.when(early, F.col("graded_count")).otherwise(0)).alias("_count"),
+            F.sum(F.when(early, F.col("graded_credits")).otherwise(0)).alias("_credits"),
+            F.sum(F.when(early, F.col("points")).otherwise(0)).alias("_points"),
+            F.sum(F.when(term == passed, F.col("course_count")).otherwise(0)).alias("_in_pass"),
+        )
     )
-    term, passed, last = F.col("term"), F.col("passed_term"), F.col("term_exit")
-    after = (passed < term) & (term <= last)
-    in_pass = (term == passed) & (last.isNull() | (term <= last))
-    return rows.groupBy("person_id", "seq").agg(
-        F.sum(F.when(after, F.col("graded_credits"))).alias("post_credits"),
-        F.sum(F.when(after, F.col("points"))).alias("post_points"),
-        F.sum(F.when(in_pass, F.col("course_count")).otherwise(0)).alias("course_rows_in_pass_term"),
+    some = (passed < last) & (F.col("_at_exit.to_date_count") > F.col("_count"))
+    in_pass = F.when(last.isNull() | (passed <= last), F.col("_in_pass")).otherwise(0)
+    return (
+        bounded.join(person, "person_id", "left")
+        .withColumns(
+            {
+                "post_credits": F.when(some, F.col("_at_exit.to_date_credits") - F.col("_credits")),
+                "post_points": F.when(some, F.col("_at_exit.to_date_points") - F.col("_points")),
+                "course_rows_in_pass_term": F.when(F.col("_in_pass").isNotNull(), in_pass),
+            }
+        )
+        .drop("passed_term", "_count", "_credits", "_points", "_in_pass", "_at_exit")
     )
 
 
 def enroll_exit(
-    intervals: DataFrame, contact: DataFrame, profile: DataFrame, calendar: DataFrame, courses: DataFrame
+    intervals: DataFrame, contact: DataFrame, profile: DataFrame, calendar: DataFrame, facts: DataFrame
 ) -> DataFrame:
     """One wide row per interval: outcome, terms, flags, ages and later results."""
     rows = interval_outcome(intervals, profile)
-    rows = rows.join(term_bounds(intervals, calendar, courses), ["person_id", "seq"], "left")
+    rows = rows.join(term_bounds(intervals, calendar, facts), ["person_id", "seq"], "left")
     rows = age_at(first_enroll_drop(rows), contact)
-    later = post_event_gpa(rows, profile, courses)
-    return rows.join(later, ["person_id", "seq"], "left")
+    return post_event_gpa(rows, profile, facts)
 
 
 def person_summary(wide: DataFrame) -> DataFrame:
@@ -358,28 +427,6 @@ def period_exit(
     )
 
 
-def running_level(rows: DataFrame, courses: DataFrame, upto: str, before: str) -> DataFrame:
-    """Was the student ever in ESOL up to a term, and the highest level before one.
-
-    ``rows`` has distinct (student, ``upto``, ``before``). A student has at most
-    one ESOL summary row per term.
-    """
-    level = esol_level(F.col("subject"), F.col("title"))
-    esol = (
-        courses.filter(is_esol(F.col("subject")))
-        .groupBy("student", F.col("term").alias("_term"))
-        .agg(F.max(level).alias("_level"))
-    )
-    return (
-        rows.join(esol, "student")
-        .groupBy("student", upto, before)
-        .agg(
-            F.max(F.when(F.col("_term") <= F.col(upto), 1)).alias("esol_student"),
-            F.max(F.when(F.col("_term") < F.col(before), F.col("_level"))).alias("incoming_esol_level"),
-        )
-    )
-
-
 def first_term(intervals: DataFrame, calendar: DataFrame, courses: DataFrame) -> DataFrame:
     """First calendar term with any courses that a person's intervals overlap."""
     taught = calendar.join(courses.select("term").distinct(), "term", "left_semi")
@@ -388,29 +435,22 @@ def first_term(intervals: DataFrame, calendar: DataFrame, courses: DataFrame) ->
     )
 
 
-def post_pass_gpa(rows: DataFrame, calendar: DataFrame, courses: DataFrame, last_term: str) -> DataFrame:
-    """Grade average and number of terms from the pass date up to a row's term.
+def post_pass_gpa(rows: DataFrame) -> DataFrame:
+    """Add grade average and number of terms from the pass date up to a row's term.
 
-    ``rows`` has student, last_test_date and ``last_term``; rows that share
-    them share the result. A row meets at most one summary row per term.
+    ``rows`` carries the results up to its term (``to_date_*``) and, for the
+    test date in use, the results of the terms that began earlier (``_before``).
     """
-    wanted = rows.filter(F.col("last_test_date").isNotNull()).select("student", "last_test_date", last_term).distinct()
-    terms = term_summary(courses).join(calendar.select("term", "term_begin"), "term").select(
-        "student", F.col("term").alias("_term"), "term_begin", "graded_credits", "points"
-    )
-    after = (F.col("term_begin") >= F.col("last_test_date")) & (F.col("_term") <= F.col(last_term))
-    sums = (
-        wanted.join(terms, "student")
-        .filter(after)
-        .groupBy("student", "last_test_date", last_term)
-        .agg(
-            F.sum("points").alias("_points"),
-            F.sum("graded_credits").alias("_credits"),
-            F.count_distinct("_term").alias("post_terms"),
-        )
-    )
-    gpa = F.round(F.try_divide("_points", "_credits"), 2).cast("decimal(10,2)")
-    return sums.withColumn("post_gpa", gpa).drop("_points", "_credits")
+    terms = F.col("to_date_terms") - F.col("_before.terms")
+    credits = F.col("to_date_credits") - F.col("_before.credits")
+    points = F.col("to_date_points") - F.col("_before.points")
+    some = F.col("last_test_date").isNotNull() & (terms > 0)
+    return rows.withColumns(
+        {
+            "post_terms": F.when(some, terms),
+            "post_gpa": F.when(some, F.round(F.try_divide(points, credits), 2).cast("decimal(10,2)")),
+        }
+    ).drop("_before", *TO_DATE)
 
 
 LEVELS = ["max_esol_level", "min_esol_level", "max_esol_level_passed"]
@@ -431,8 +471,17 @@ def _entry(intervals: DataFrame, contact: DataFrame) -> DataFrame:
     )
 
 
+TEST_DATES = ["ytc_test_date", "yes_test_date"]
+
+
+def score_results(scores: DataFrame, contact: DataFrame, facts: DataFrame) -> DataFrame:
+    """Scores with the student's results of the terms before each test date."""
+    named = scores.join(contact.select("person_id", F.col("g_number").alias("student")), "person_id")
+    return named.join(results_until(facts, named.select("student", *TEST_DATES), TEST_DATES), "student", "left").drop("student")
+
+
 def _scored(rows: DataFrame, scores: DataFrame, begin: str, end: str, label: str) -> DataFrame:
-    """Scores known by the end of the period, and when the pass happened."""
+    """Scores known by the end of the period, when the pass happened, and results since."""
     tests = ["social", "science", "math", "literature", "writing", "language"]
     finish = F.col(end)
     first_known = F.col("ytc_test_date") <= finish
@@ -450,8 +499,9 @@ def _scored(rows: DataFrame, scores: DataFrame, begin: str, end: str, label: str
         .withColumns({"passed_code": passed, "_tested": tested})
         .withColumn("completed_code", when_passed)
         .withColumn("last_test_date", F.when(F.col("_tested") < day(fixed.LAST_KNOWN_TEST), F.col("_tested")))
+        .withColumn("_before", F.when(first_known, F.col("_ytc_test_date")).otherwise(F.col("_yes_test_date")))
         .withColumns({f"{t}_score": F.when(first_known, F.col(f"{t}_score")) for t in tests})
-        .drop("_tested", "ytc_test_date", "yes_test_date", "ytc_passed", "yes_passed")
+        .drop("_tested", "ytc_passed", "yes_passed", *TEST_DATES, *[f"_{c}" for c in TEST_DATES])
     )
 
 
@@ -472,20 +522,16 @@ def person_term(
     """
     by_term = interval_by_term(intervals, calendar, program)
     exits = period_exit(by_term, intervals, calendar, term_results).drop("program")
+    facts = term_facts(courses, calendar)
+    wanted = ["student", "term", *LEVELS, "esol_student", "incoming_esol_level"]
     rows = (
         exits.join(_entry(intervals, contact), ["person_id", "first_seq"])
-        .join(term_summary(courses).select("student", "term", *LEVELS), ["student", "term"])
+        .join(facts.select(*wanted, *([] if scores is None else TO_DATE)), ["student", "term"])
         .join(term_results, ["student", "term"])
     )
-    rows = rows.join(
-        running_level(rows.select("student", "term", F.col("term").alias("_before")).distinct(), courses, "term", "_before").drop("_before"),
-        ["student", "term"],
-        "left",
-    )
     if scores is not None:
-        rows = _scored(rows, scores, "term_begin", "term_end", "Term")
-        later = post_pass_gpa(rows, calendar, courses, "term")
-        rows = rows.join(later, ["student", "last_test_date", "term"], "left")
+        known = score_results(scores, contact, facts)
+        rows = post_pass_gpa(_scored(rows, known, "term_begin", "term_end", "Term"))
     start = first_term(intervals, calendar, courses)
     return (
         rows.join(start, "person_id", "left")
@@ -546,28 +592,32 @@ def person_year(
 ) -> DataFrame:
     """One row per person and program year with courses, with scores and demographics."""
     rows = interval_by_year(intervals, calendar, program).drop("program")
+    facts = term_facts(courses, calendar)
+    # a student has a handful of terms in a year, so the list of results stays short
+    results = F.struct("term", *TO_DATE)
+    first = {"to_date_terms": F.lit(1), "to_date_count": F.col("graded_count"),
+             "to_date_credits": F.col("graded_credits"), "to_date_points": F.col("points")}
+    earlier = F.struct(F.lit(0).alias("term"), *[(F.col(c) - own).alias(c) for c, own in first.items()])
     in_year = (
-        term_summary(courses)
-        .join(calendar.select("term", "program_year"), "term")
+        facts.filter(F.col("program_year").isNotNull())
         .groupBy("student", "program_year")
         .agg(
-            F.max("max_esol_level").alias("max_esol_level"),
-            F.min("min_esol_level").alias("min_esol_level"),
-            F.max("max_esol_level_passed").alias("max_esol_level_passed"),
+            *[(F.min if c.startswith("min") else F.max)(c).alias(c) for c in LEVELS],
+            F.max("esol_student").alias("esol_student"),
+            F.min_by("incoming_esol_level", "term").alias("incoming_esol_level"),
+            F.collect_list(results).alias("_results"),
+            F.min_by(earlier, "term").alias("_earlier"),
         )
     )
     rows = rows.join(_entry(intervals, contact), ["person_id", "first_seq"]).join(in_year, ["student", "program_year"])
-    span = ["year_last_term", "year_first_term"]
-    rows = rows.join(
-        running_level(rows.select("student", *span).distinct(), courses, *span), ["student", *span], "left"
-    )
-    rows = _scored(rows, scores, "year_begin", "year_end", "ProgramYear")
-    later = post_pass_gpa(rows, calendar, courses, "max_term")
+    reached = F.array_max(F.filter("_results", lambda r: r["term"] <= F.col("max_term")))
+    rows = rows.withColumn("_reached", F.coalesce(reached, F.col("_earlier")))
+    rows = rows.withColumns({c: F.col(f"_reached.{c}") for c in TO_DATE}).drop("_results", "_earlier", "_reached")
+    known = score_results(scores, contact, facts)
+    rows = post_pass_gpa(_scored(rows, known, "year_begin", "year_end", "ProgramYear"))
     people = sis_person.groupBy("student").agg(*[F.min(c).alias(c) for c in DEMOGRAPHICS])
-    return (
-        rows.join(later, ["student", "last_test_date", "max_term"], "left")
-        .join(people, "student", "left")
-        .drop("first_seq", "last_seq", "year_begin", "year_end", *span)
+    return rows.join(people, "student", "left").drop(
+        "first_seq", "last_seq", "year_begin", "year_end", "year_first_term", "year_last_term"
     )
 
 
@@ -626,7 +676,7 @@ def course_fact(results: DataFrame, awards: DataFrame, courses: DataFrame) -> Da
 
 def rebuild(intervals: DataFrame, contact, profile, calendar, courses) -> tuple[DataFrame, DataFrame]:
     """The interval table and the person table of the reporting rebuild."""
-    wide = enroll_exit(intervals, contact, profile, calendar, courses)
+    wide = enroll_exit(intervals, contact, profile, calendar, term_facts(courses, calendar))
     return wide, person_summary(wide)
 
 
