@@ -60,12 +60,56 @@ def test_post_pass_gpa(spark):
         ("G1", 201403, "M", "x", 4, "P", "Y"),
         ("G2", 201402, "M", "x", 4, "P", "Y"),
     )
-    wanted = spark.createDataFrame(
-        [("G1", d("2014-02-01"), 201402), ("G1", d("2014-02-01"), 201403), ("G2", d("2014-02-01"), 201402), ("G2", d("2014-08-01"), 201404), ("G1", None, 201404)],
-        "student string, last_test_date date, term int",
+    facts = P.term_facts(c, calendar(spark))
+    dates = spark.createDataFrame([("G1", d("2014-02-01")), ("G2", d("2014-02-01")), ("G3", None)], "student string, t date")
+    before = P.results_until(facts, dates, ["t"]).withColumnRenamed("_t", "_before")
+    rows_ = facts.select("student", "term", *P.TO_DATE).join(before, "student").join(dates, "student")
+    rows_ = rows_.withColumnRenamed("t", "last_test_date")
+    got = rows(P.post_pass_gpa(rows_), "student", "term", "post_gpa", "post_terms")
+    assert got == [
+        ("G1", 201401, None, None),
+        ("G1", 201402, D("3.75"), 1),
+        ("G1", 201403, D("3.75"), 2),
+        ("G2", 201402, None, 1),
+    ]
+
+
+def test_terms_outside_the_calendar_add_nothing(spark):
+    c = courses(spark, ("G1", 199901, "M", "x", 3, "A", "Y"), ("G1", 201401, "M", "x", 2, "B", "Y"))
+    got = rows(P.term_facts(c, calendar(spark)), "term", "to_date_terms", "to_date_credits", "to_date_points")
+    assert got == [(199901, 0, D(0), D(0)), (201401, 1, D(2), D(6))]
+
+
+def test_later_results_per_interval(spark):
+    c = courses(
+        spark,
+        ("G1", 201401, "M", "x", 3, "A", "Y"),
+        ("G1", 201402, "M", "x", 2, "B", "Y"),
+        ("G1", 201402, "M", "x", 5, "P", "Y"),
+        ("G1", 201403, "M", "x", 1, "F", "Y"),
+        ("G2", 201401, "M", "x", 1, "F", "Y"),
     )
-    got = rows(P.post_pass_gpa(wanted, calendar(spark), c, "term"), "student", "term", "post_gpa", "post_terms")
-    assert got == [("G1", 201402, D("3.75"), 1), ("G1", 201403, D("3.75"), 2), ("G2", 201402, None, 1)]
+    s = spans(
+        spark,
+        (1, 1, "GtC", "2014-01-05", "2014-02-15", None),
+        (1, 2, "GtC", "2014-02-15", "2014-05-15", None),
+        (1, 3, "GtC", "2014-05-15", None, None),
+        (1, 4, "GtC", "2018-12-30", None, None),
+        (2, 1, "GtC", "2014-01-05", None, None),
+        (3, 1, "GtC", "2014-01-05", None, None),
+    )
+    facts = P.term_facts(c, calendar(spark))
+    profile = spark.createDataFrame([(1, "G1", 201401), (2, "G2", None), (3, "G3", 201401)], "person_id long, g_number string, passed_term int")
+    wide = s.join(P.term_bounds(s, calendar(spark), facts), ["person_id", "seq"], "left")
+    got = rows(P.post_event_gpa(wide, profile, facts), "person_id", "seq", "post_credits", "post_points", "course_rows_in_pass_term")
+    assert got == [
+        (1, 1, None, None, 1),
+        (1, 2, D(2), D(6), 1),
+        (1, 3, D(3), D(6), 1),
+        (1, 4, None, None, 1),
+        (2, 1, None, None, 0),
+        (3, 1, None, None, None),
+    ]
 
 
 def test_running_level_is_strictly_before(spark):
@@ -76,9 +120,8 @@ def test_running_level_is_strictly_before(spark):
         ("G1", 201402, "ESOL", "Other", 3, "A", "N"),
         ("G2", 201402, "M", "Level 5 Academic Reading", 3, "A", "N"),
     )
-    q = spark.createDataFrame([("G1", 201401, 201401), ("G1", 201402, 201402), ("G2", 201402, 201402)], "student string, term int, before int")
-    got = rows(P.running_level(q, c, "term", "before"), "student", "term", "esol_student", "incoming_esol_level")
-    assert got == [("G1", 201401, 1, None), ("G1", 201402, 1, "3")]
+    got = rows(P.running_level(P.term_summary(c)), "student", "term", "esol_student", "incoming_esol_level")
+    assert got == [("G1", 201401, 1, None), ("G1", 201402, 1, "3"), ("G2", 201402, None, None)]
     summary = rows(P.term_summary(c).filter("student = 'G1'"), "term", "max_esol_level", "max_esol_level_passed")
     assert summary == [(201401, "3", "3"), (201402, "5", None)]
 
@@ -123,7 +166,7 @@ def test_term_bounds_grace(spark):
         (1, 3, "GtC", "2013-12-01", "2014-01-01", None),
     )
     c = courses(spark, ("G1", 201401, "ESOL", "x", 3, "A", "Y"), ("G1", 201304, "M", "x", 3, "A", "Y"))
-    got = rows(P.term_bounds(s, calendar(spark), c), "seq", "term_enrolled", "term_exit", "esl_class_yn", "esol_last_term")
+    got = rows(P.term_bounds(s, calendar(spark), P.term_facts(c, calendar(spark))), "seq", "term_enrolled", "term_exit", "esl_class_yn", "esol_last_term")
     # a 16 January start misses the grace; an end on the first day of a term does not reach it
     assert got == [(1, 201401, 201401, "Y", 201401)]
 
