@@ -52,6 +52,7 @@ def hot_people(d: Domain) -> HotKeys | None:
 
 
 def ended(d: Domain) -> tuple[DataFrame, DataFrame]:
+    d.store("status")
     rows = settle(I.spells(I.timeline(d.status, d.contact), hot_people(d)))
     return I.general_spells(rows), I.earliest_end(rows)
 
@@ -70,6 +71,7 @@ def typed(d: Domain) -> DataFrame:
 
 
 def intervals(d: Domain) -> DataFrame:
+    d.store("status")
     return I.build_intervals(d.status, d.contact, d.dims)
 
 
@@ -223,6 +225,7 @@ def still_applicant(d):
 
 
 def attended(d: Domain, legacy: bool = False) -> A.AttendanceRun:
+    d.store("bills")
     return A.update_attendance_billing(
         d.bills, d.items, d.cycles, d.course_scenarios, d.scenario_dim, d.districts, legacy
     )
@@ -293,6 +296,7 @@ QUERIES["exit_group_date"] = QUERIES.pop("exit_group")
 
 
 def term_bills(d: Domain, legacy: bool = False) -> DataFrame:
+    d.store("bills")
     return T.update_term_billing(d.bills, d.items, d.calendar, d.cycles, d.districts, legacy)
 
 

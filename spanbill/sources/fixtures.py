@@ -77,10 +77,19 @@ class Domain:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
+        self.stored: set[str] = set()
 
     def raw(self, name: str) -> DataFrame:
         return self.spark.read.schema(RAW[name]).parquet(f"{self.sf_dir}/{name}.parquet")
 
+    def store(self, *names: str) -> Domain:
+        """Write tables as a stage once, for jobs that read them several times."""
+        for name in names:
+            if name not in self.stored:
+                self.__dict__[name] = settle(getattr(self, name))
+                self.stored.add(name)
+        return self
+
     # --- people and their status log ------------------------------------------
 
     @cached_property
