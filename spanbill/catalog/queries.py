@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,15 +33,15 @@ QUERIES: dict[str, Query] = {}
 GTC, YTC = "GtC", "YtC"
 
 
-def query(job: Callable[[Domain], DataFrame]) -> Callable[[Domain], DataFrame]:
-    """Register a job under its name; decimals leave as doubles."""
+def query(job: Callable[[Domain], DataFrame], name: str | None = None) -> Callable[[Domain], DataFrame]:
+    """Register a job, by default under its own name; decimals leave as doubles."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         df = job(Domain(spark, sf_dir))
         exact = [f.name for f in df.schema.fields if isinstance(f.dataType, DecimalType)]
         return df.withColumns({c: F.col(c).cast("double") for c in exact}) if exact else df
 
-    QUERIES[job.__name__] = run
+    QUERIES[name or job.__name__] = run
     return job
 
 
@@ -284,13 +285,11 @@ def attendance_report_2017(d):
     return A.attendance_report(attended(d, True).bills, d.profile, d.districts, d.calendar, legacy_2017=True)
 
 
-@query
+@partial(query, name="exit_group_date")
 def exit_group(d):
     return exit_group_date(d.bills).select("bill_id", "g_number", "start_date", "exit_group_date")
 
 
-QUERIES["exit_group_date"] = QUERIES.pop("exit_group")
-
 
 # --- term billing ----------------------------------------------------------------------------
 
@@ -315,14 +314,12 @@ def term_units_2017(d):
     return T.term_units(T.whole_year_credits(d.bills, d.items, d.calendar, d.districts), d.cycles)
 
 
-@query
+@partial(query, name="changed_only")
 def changed_units(d):
     units = T.term_units(T.ytd_credits(d.bills, d.items, d.calendar), d.cycles)
     return changed_only(d.bills, units, "bill_id", ["generated_amount", "generated_over"], null_as=0)
 
 
-QUERIES["changed_only"] = QUERIES.pop("changed_units")
-
 
 @query
 def other_program_days(d):
@@ -602,22 +599,18 @@ def audit_items(d):
 # --- scalar rules over whole tables -------------------------------------------------------------------
 
 
-@query
+@partial(query, name="grade_band")
 def grade_bands(d):
     return d.contact.select("person_id", "dob", grade_band(F.col("dob"), 2016).alias("grade"))
 
 
-QUERIES["grade_band"] = QUERIES.pop("grade_bands")
-
 
 @query
 def program_map(d):
     return d.status.select("status_id", "program", program_name(F.col("program")).alias("program_name"))
 
 
-@query
+@partial(query, name="term_label")
 def term_labels(d):
     return d.bills.select("bill_id", "term", term_label(F.col("term")).alias("label"))
 
-
-QUERIES["term_label"] = QUERIES.pop("term_labels")

@@ -7,8 +7,6 @@ of the calendar.
 
 from __future__ import annotations
 
-from datetime import date
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,7 +23,6 @@ from spanbill.functions.exprs import (
     whole_years,
 )
 from spanbill.operators.periods import date_to_period, overlap_join
-from spanbill.plans.intervals import current_state
 
 
 def day(text: str) -> Column:
@@ -678,6 +675,3 @@ def rebuild(intervals: DataFrame, contact, profile, calendar, courses) -> tuple[
     """The interval table and the person table of the reporting rebuild."""
     wide = enroll_exit(intervals, contact, profile, calendar, term_facts(courses, calendar))
     return wide, person_summary(wide)
-
-
-__all__ = [name for name in globals() if not name.startswith("_")]

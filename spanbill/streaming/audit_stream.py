@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql.streaming.query import StreamingQuery
 
-from spanbill.plans.audit import STAMPS, audit_rows, audited_columns
+from spanbill.plans.audit import STAMPS, audit_rows
 
 
 def audit_stream(
@@ -33,6 +33,3 @@ def write_audit(rows: DataFrame, path: str, checkpoint: str, **trigger) -> Strea
     """Append audit rows to parquet files; ``trigger`` as for ``DataStreamWriter.trigger``."""
     writer = rows.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
     return writer.trigger(**trigger).start(path) if trigger else writer.start(path)
-
-
-__all__ = ["audit_stream", "audited_columns", "write_audit"]
