@@ -4,10 +4,10 @@ A document's set is its distinct shingles of `words` words. Rows with equal sets
 once: a shingle's hash gives its bin and its value, a bin keeps the least value, and an empty bin borrows from
 the first filled bin in an order drawn for it (optimal densification). Bands of bins make bucket keys. In a bucket the
 smallest node is the centre of a star: one candidate edge for each other member. Candidates are confirmed
-on the full sets. Buckets whose members are not yet in one component get further centres, four
-times as many each round, until each pair from different components of a bucket has had one of its ends as a centre; so
-no bucket is cut, and pairs inside a component are not compared again. Components come from
-label propagation with jumps.
+on the full sets. Where a bucket's members then still lie in several components, pairs from different
+components are sought among their differences from a common centre, of which a link must share a stated number; this
+is exact, so no bucket is cut, and pairs inside a component are not compared again. Components
+come from label propagation with jumps.
 
 Two documents of similarity 0.8 share no bucket with a probability of about 5 in a million (40 bands of 6).
 Documents without words (null, empty) have an empty set and are linked with nothing. Rows with the same id are rows
@@ -22,7 +22,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spanbill.llm.common import bounded, mix64, text_hash
@@ -170,41 +170,42 @@ class Buckets:
         self.tried, self.links = empty, empty
 
     def links_found(self) -> DataFrame:
-        """All links (a, b)."""
+        """All links (a, b): those found by the stars, then those between different components of a bucket."""
         firsts = self.members.groupBy("key").agg(F.min("node").alias("a"))
         stars = self.members.join(firsts, "key").where("a <> node")
         self._test(stars.select("a", F.col("node").alias("b")).distinct())
-        centres = 1
-        while True:
-            outside = self._outside(components(self.links))
-            most = outside.groupBy("key").count().agg(F.max("count").alias("n")).first()["n"]
-            if most is None:
-                return self.links
-            centres = min(4 * centres, most)
-            edges = settle(self._edges(outside, centres))
-            if not edges.isEmpty():
-                self._test(edges)
-            if centres == most:
-                return self.links
-
-    def _outside(self, labels: DataFrame) -> DataFrame:
-        """Members (key, node, comp) outside their bucket's largest component; none where a bucket is in one component."""
-        self.known = settle(self.members.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node")))
-        shares = self.known.groupBy("key", "comp").count()
-        main = shares.groupBy("key").agg(F.max_by("comp", "count").alias("main"), F.count("*").alias("comps")).where("comps > 1")
-        return settle(self.known.join(main, "key").where("comp <> main").select("key", "node", "comp"))
-
-    def _edges(self, outside: DataFrame, centres: int) -> DataFrame:
-        """Untried edges (a, b) from the first centres of each bucket, in the order of nodes, to members in other components.
-
-        A pair from two components has an end outside the main one, so once all nodes outside have been
-        centres, all pairs that matter have been tried.
+        self._test(self._across(components(self.links)))
+        return self.links
+
+    def _across(self, labels: DataFrame) -> DataFrame:
+        """Untried edges (a, b) that may link different components which share a bucket.
+
+        Such a bucket is put down to its largest component, whose label is a node, c. A pair needs one end x outside it, and x is either
+        linked to c (an edge for each x) or not. Then, with D(x) what tells x from c, added shingles first, a
+        link of x and y takes t = (|D(x)| + |D(y)| - most) / 2 common members of D(x) and D(y), t >= 1, where `most`
+        is the number of shingles in which documents of these sizes may differ; so their first common member stands
+        among the first |D| - t + 1 of either. Copies with changes of their own share no such member.
         """
-        ranked = Window.partitionBy("key").orderBy("node")
-        heads = outside.withColumn("r", F.row_number().over(ranked)).where(F.col("r") <= centres)
-        heads = heads.select("key", F.col("node").alias("x"), F.col("comp").alias("xc"))
-        pairs = self.known.join(heads, "key").where("comp <> xc")
-        edges = pairs.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
+        p = self.like.percent
+        known = settle(self.members.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node")))
+        shares = known.groupBy("key", "comp").count().groupBy("key")
+        main = shares.agg(F.max(F.struct("count", "comp")).alias("m"), F.count("*").alias("comps")).where("comps > 1")
+        held = known.join(main.select("key", F.col("m.comp").alias("c")), "key").select("c", "node", "comp").distinct()
+        sized = held.where("c <> node").join(self.sets, "node")
+        centre = self.sets.select(F.col("node").alias("c"), F.col("shingles").alias("cs"))
+        told = F.concat(F.sort_array(F.array_except("shingles", "cs")), F.sort_array(F.array_except("cs", "shingles")))
+        apart = sized.join(centre, "c").select("c", "node", "comp", F.size("shingles").alias("n"), told.alias("d"))
+        reach = (F.col("n") * (100 - p) / p).cast("int") + 1
+        first = settle(apart.select("c", "node", "comp", "n", F.size("d").alias("dn"), F.posexplode(F.slice("d", F.lit(1), reach)).alias("at", "e")))
+        x = first.where("comp <> c").select("c", "e", *[F.col(k).alias(f"x_{k}") for k in ("node", "comp", "n", "dn", "at")])
+        y = first.select("c", "e", *[F.col(k).alias(f"y_{k}") for k in ("node", "comp", "n", "dn", "at")])
+        most = F.floor((F.col("x_n") + F.col("y_n")) * (100 - p) / (100 + p))
+        t = F.ceil((F.col("x_dn") + F.col("y_dn") - most) / 2)
+        fits = (F.col("x_at") <= F.col("x_dn") - t) & (F.col("y_at") <= F.col("y_dn") - t)
+        sizes = 100 * F.least("x_n", "y_n") >= p * F.greatest("x_n", "y_n")
+        met = x.alias("x").join(y.alias("y"), (F.col("x.c") == F.col("y.c")) & (F.col("x.e") == F.col("y.e")) & (F.col("x_comp") != F.col("y_comp")) & fits & sizes)
+        pairs = met.select(F.col("x_node").alias("x"), F.col("y_node").alias("y")).union(held.where("comp <> c").select(F.col("node").alias("x"), F.col("c").alias("y")))
+        edges = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
         return edges.join(self.tried, ["a", "b"], "left_anti")
 
     def _test(self, edges: DataFrame) -> None:
