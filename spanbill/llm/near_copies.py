@@ -156,29 +156,47 @@ class Buckets:
     def __init__(self, docs: DataFrame, rows: DataFrame, like: Likeness):
         self.docs, self.like = docs, like
         named = rows.where("node is not null")
-        keys = named.select(F.explode("bands").alias("key"), "node")
+        keys = named.select(F.explode("bands").alias("key"), "node", F.col("n_shingles").alias("n"))
         short = F.xxhash64("node")
         ends = keys.groupBy("key").agg(F.min(short).alias("lo"), F.max(short).alias("hi")).where("lo <> hi").select("key")
         crowded = settle(ends)
         self.members = settle(keys.join(bounded(crowded, F.lit(8)), "key").distinct())
         nodes = self.members.select("node").distinct()
-        held = named.select("node", "doc_id", "n_shingles").join(nodes, "node", "left_semi")
-        held = settle(held.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n")))
-        self.size = held.select("node", "n")
+        held = named.select("node", "doc_id").join(nodes, "node", "left_semi")
+        held = settle(held.groupBy("node").agg(F.min("doc_id").alias("doc_id")))
         self.sets = settle(shingle_sets(docs, like, held).join(nodes, "node", "left_semi").dropDuplicates(["node"]))
         empty = self.members.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
         self.tried, self.links = empty, empty
 
     def links_found(self) -> DataFrame:
-        """All links (a, b): those found by the stars, then those between different components of a bucket."""
-        firsts = self.members.groupBy("key").agg(F.min("node").alias("a"))
-        stars = self.members.join(firsts, "key").where("a <> node")
-        self._test(stars.select("a", F.col("node").alias("b")).distinct())
-        self._test(self._across(components(self.links)))
+        """All links (a, b): by the stars, by edges to a larger component of a bucket, and by differences from its label."""
+        self._test(self._stars())
+        self._test(self._edges(self._outside(components(self.links))))
+        held = settle(self._outside(components(self.links)))
+        self._test(self._edges(held).union(self._across(held)))
         return self.links
 
-    def _across(self, labels: DataFrame) -> DataFrame:
-        """Untried edges (a, b) that may link different components which share a bucket.
+    def _stars(self) -> DataFrame:
+        """An edge (x, y) from each node to the centre, the smallest node, of the largest bucket that holds it."""
+        stars = self.members.groupBy("key").agg(F.count("*").alias("many"), F.min(F.struct("node", "n")).alias("y"))
+        own = self.members.join(stars, "key").groupBy("node", "n").agg(F.max(F.struct("many", "y")).alias("s"))
+        return own.where("s.y.node <> node").select(F.struct("node", "n").alias("x"), "s.y")
+
+    def _outside(self, labels: DataFrame) -> DataFrame:
+        """(c, c_n, node, n, comp): members of the buckets that hold several components; c is the label of the bucket's largest."""
+        known = settle(self.members.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node")))
+        shares = known.groupBy("key", "comp").count().groupBy("key")
+        main = shares.agg(F.max(F.struct("count", "comp")).alias("m"), F.count("*").alias("comps")).where("comps > 1")
+        held = known.join(main.select("key", F.col("m.comp").alias("c")), "key").select("c", "node", "n", "comp").distinct()
+        sizes = self.members.select(F.col("node").alias("c"), F.col("n").alias("c_n")).distinct()
+        return held.join(sizes, "c")
+
+    def _edges(self, held: DataFrame) -> DataFrame:
+        """An edge (x, y) from each node outside the largest component of a bucket to that component's label."""
+        return held.where("comp <> c").select(F.struct("node", "n").alias("x"), F.struct(F.col("c").alias("node"), F.col("c_n").alias("n")).alias("y"))
+
+    def _across(self, held: DataFrame) -> DataFrame:
+        """Edges (x, y) that may link different components which share a bucket.
 
         Such a bucket is put down to its largest component, whose label is a node, c. A pair needs one end x outside it, and x is either
         linked to c (an edge for each x) or not. Then, with D(x) what tells x from c, added shingles first, a
@@ -187,14 +205,10 @@ class Buckets:
         among the first |D| - t + 1 of either. Copies with changes of their own share no such member.
         """
         p = self.like.percent
-        known = settle(self.members.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node")))
-        shares = known.groupBy("key", "comp").count().groupBy("key")
-        main = shares.agg(F.max(F.struct("count", "comp")).alias("m"), F.count("*").alias("comps")).where("comps > 1")
-        held = known.join(main.select("key", F.col("m.comp").alias("c")), "key").select("c", "node", "comp").distinct()
         sized = held.where("c <> node").join(self.sets, "node")
         centre = self.sets.select(F.col("node").alias("c"), F.col("shingles").alias("cs"))
         told = F.concat(F.sort_array(F.array_except("shingles", "cs")), F.sort_array(F.array_except("cs", "shingles")))
-        apart = sized.join(centre, "c").select("c", "node", "comp", F.size("shingles").alias("n"), told.alias("d"))
+        apart = sized.join(centre, "c").select("c", "node", "comp", "n", told.alias("d"))
         reach = (F.col("n") * (100 - p) / p).cast("int") + 1
         first = settle(apart.select("c", "node", "comp", "n", F.size("d").alias("dn"), F.posexplode(F.slice("d", F.lit(1), reach)).alias("at", "e")))
         x = first.where("comp <> c").select("c", "e", *[F.col(k).alias(f"x_{k}") for k in ("node", "comp", "n", "dn", "at")])
@@ -204,22 +218,21 @@ class Buckets:
         fits = (F.col("x_at") <= F.col("x_dn") - t) & (F.col("y_at") <= F.col("y_dn") - t)
         sizes = 100 * F.least("x_n", "y_n") >= p * F.greatest("x_n", "y_n")
         met = x.alias("x").join(y.alias("y"), (F.col("x.c") == F.col("y.c")) & (F.col("x.e") == F.col("y.e")) & (F.col("x_comp") != F.col("y_comp")) & fits & sizes)
-        pairs = met.select(F.col("x_node").alias("x"), F.col("y_node").alias("y")).union(held.where("comp <> c").select(F.col("node").alias("x"), F.col("c").alias("y")))
-        edges = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-        return edges.join(self.tried, ["a", "b"], "left_anti")
+        return met.select(*[F.struct(F.col(f"{k}_node").alias("node"), F.col(f"{k}_n").alias("n")).alias(k) for k in "xy"])
 
     def _test(self, edges: DataFrame) -> None:
-        """Confirms edges on the full sets; sets too different in size can't be alike and aren't fetched."""
+        """Confirms untried edges on the full sets; sets too different in size can't be alike and aren't fetched."""
         p = self.like.percent
-        sized = edges.join(self.size.select(F.col("node").alias("a"), F.col("n").alias("na")), "a")
-        sized = settle(sized.join(self.size.select(F.col("node").alias("b"), F.col("n").alias("nb")), "b"))
-        close = sized.where(100 * F.least("na", "nb") >= p * F.greatest("na", "nb"))
+        ends = edges.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
+        ends = ends.select(F.col("x.node").alias("a"), F.col("x.n").alias("na"), F.col("y.node").alias("b"), F.col("y.n").alias("nb"))
+        close = ends.where(100 * F.least("na", "nb") >= p * F.greatest("na", "nb"))
+        close = settle(close.join(self.tried, ["a", "b"], "left_anti"))
         pairs = close.join(self.sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b")
         pairs = pairs.join(self.sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a")
         shared = F.size(F.array_intersect("sa", "sb"))
         found = pairs.select("a", "b", "na", "nb", shared.alias("both"))
         linked = settle(found.where(100 * F.col("both") >= p * (F.col("na") + F.col("nb") - F.col("both"))).select("a", "b"))
-        self.tried = self.tried.union(sized.select("a", "b"))
+        self.tried = self.tried.union(close.select("a", "b"))
         self.links = self.links.union(linked)
 
 
