@@ -110,7 +110,8 @@ def find_personal(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     rows = found_pieces(docs)
     candidate = len(BASE)
     rows = rows.withColumn("holds", base_holds(F.col("kind"), F.col("hit")))
-    rows = rows.where(F.col("kind").isNull() | F.col("holds") | (F.col("kind") == candidate))
+    # a match that fails becomes a row without a kind, so that its document stays
+    rows = rows.withColumn("kind", F.when(F.col("holds") | (F.col("kind") == candidate), F.col("kind")))
     base_end, base_start = F.when(F.col("kind") < candidate, F.col("end")), F.when(F.col("kind") < candidate, F.col("start"))
     order = Window.partitionBy("row").orderBy("start", "kind", "end")
     before = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -118,7 +119,8 @@ def find_personal(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     rows = rows.withColumn("reach", F.max(base_end).over(before)).withColumn("next", F.min(base_start).over(after))
     # a match that starts where the candidate starts sorts before it
     clash = (F.col("kind") == candidate) & (F.coalesce(F.col("reach") > F.col("start"), F.lit(False)) | F.coalesce(F.col("next") < F.col("end"), F.lit(False)))
-    rows = settle(rows.where(F.col("kind").isNull() | ~clash).select("row", "doc_id", "kind", "start", "end", F.col("hit").alias("value"), "ctx", shape(F.col("hit")).alias("shape")))
+    rows = rows.withColumn("kind", F.when(~clash, F.col("kind")))
+    rows = settle(rows.select("row", "doc_id", "kind", "start", "end", F.col("hit").alias("value"), "ctx", shape(F.col("hit")).alias("shape")))
     seen = rows.where(F.col("kind").isNotNull() & (F.col("ctx") != ""))
     edges = seen.groupBy("ctx", "shape", "value").agg(F.count("*").alias("n"), F.max(F.col("kind") < candidate).alias("seed"))
     # a pattern needs so many instances, so words with fewer can't give one
