@@ -22,7 +22,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from spanbill.llm.common import bounded, mix64, text_hash
@@ -169,7 +169,7 @@ class Buckets:
         self.tried, self.links = empty, empty
 
     def links_found(self) -> DataFrame:
-        """All links (a, b): by the stars, by edges to a larger component of a bucket, and by differences from its label."""
+        """All links (a, b): by the stars, by edges to the hub of a bucket's largest component, and by differences from the hub."""
         self._test(self._stars())
         self._test(self._edges(self._outside(components(self.links))))
         held = settle(self._outside(components(self.links)))
@@ -183,23 +183,26 @@ class Buckets:
         return own.where("s.y.node <> node").select(F.struct("node", "n").alias("x"), "s.y")
 
     def _outside(self, labels: DataFrame) -> DataFrame:
-        """(c, c_n, node, n, comp): members of the buckets that hold several components; c is the label of the bucket's largest."""
+        """(c, c_n, node, n, comp, main): members of the buckets that hold several components. c is the hub of the bucket's
+        largest component, the node with most links so far: a text near to many is a short way from each."""
         known = settle(self.members.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node")))
         shares = known.groupBy("key", "comp").count().groupBy("key")
         main = shares.agg(F.max(F.struct("count", "comp")).alias("m"), F.count("*").alias("comps")).where("comps > 1")
-        held = known.join(main.select("key", F.col("m.comp").alias("c")), "key").select("c", "node", "n", "comp").distinct()
-        sizes = self.members.select(F.col("node").alias("c"), F.col("n").alias("c_n")).distinct()
-        return held.join(sizes, "c")
+        held = known.join(main.select("key", F.col("m.comp").alias("main")), "key").select("main", "node", "n", "comp").distinct()
+        ends = self.links.select(F.col("a").alias("node")).union(self.links.select(F.col("b").alias("node")))
+        degree = known.select("node", "n", "comp").distinct().join(ends.groupBy("node").agg(F.count("*").alias("many")), "node", "left")
+        hubs = degree.groupBy(F.col("comp").alias("main")).agg(F.max(F.struct(F.coalesce("many", F.lit(0)).alias("many"), "node", "n")).alias("h"))
+        return held.join(hubs, "main").select(F.col("h.node").alias("c"), F.col("h.n").alias("c_n"), "node", "n", "comp", "main")
 
     def _edges(self, held: DataFrame) -> DataFrame:
-        """An edge (x, y) from each node outside the largest component of a bucket to that component's label."""
-        return held.where("comp <> c").select(F.struct("node", "n").alias("x"), F.struct(F.col("c").alias("node"), F.col("c_n").alias("n")).alias("y"))
+        """An edge (x, y) from each node outside the largest component of a bucket to that component's hub."""
+        return held.where("comp <> main").select(F.struct("node", "n").alias("x"), F.struct(F.col("c").alias("node"), F.col("c_n").alias("n")).alias("y"))
 
     def _across(self, held: DataFrame) -> DataFrame:
         """Edges (x, y) that may link different components which share a bucket.
 
-        Such a bucket is put down to its largest component, whose label is a node, c. A pair needs one end x outside it, and x is either
-        linked to c (an edge for each x) or not. Then, with D(x) what tells x from c, added shingles first, a
+        Such a bucket is put down to its largest component, whose hub is a node, c. A pair needs one end x outside it, and x is either
+        linked to c (an edge for each x) or not. Then, with D(x) what tells x from c, the rare first, a
         link of x and y takes t = (|D(x)| + |D(y)| - most) / 2 common members of D(x) and D(y), t >= 1, where `most`
         is the number of shingles in which documents of these sizes may differ; so their first common member stands
         among the first |D| - t + 1 of either. Copies with changes of their own share no such member.
@@ -207,11 +210,16 @@ class Buckets:
         p = self.like.percent
         sized = held.where("c <> node").join(self.sets, "node")
         centre = self.sets.select(F.col("node").alias("c"), F.col("shingles").alias("cs"))
-        told = F.concat(F.sort_array(F.array_except("shingles", "cs")), F.sort_array(F.array_except("cs", "shingles")))
-        apart = sized.join(centre, "c").select("c", "node", "comp", "n", told.alias("d"))
-        reach = (F.col("n") * (100 - p) / p).cast("int") + 1
-        first = settle(apart.select("c", "node", "comp", "n", F.size("d").alias("dn"), F.posexplode(F.slice("d", F.lit(1), reach)).alias("at", "e")))
-        x = first.where("comp <> c").select("c", "e", *[F.col(k).alias(f"x_{k}") for k in ("node", "comp", "n", "dn", "at")])
+        told = F.concat(F.array_except("shingles", "cs"), F.array_except("cs", "shingles"))
+        apart = sized.join(centre, "c").select(F.xxhash64("c").alias("c"), "node", (F.col("comp") != F.col("main")).alias("out"), "comp", "n", told.alias("d"))
+        told = settle(apart.select("c", "node", "out", "comp", "n", F.size("d").alias("dn"), F.explode("d").alias("e")))
+        # members of one D alone come first and meet nothing; of the others, the rare ones come first
+        common = told.groupBy("c", "e").agg(F.count("*").alias("many")).where("many > 1")
+        own = Window.partitionBy("c", "node")
+        rare = own.orderBy("many", "e")
+        first = told.join(common, ["c", "e"]).withColumn("at", F.col("dn") - F.count("*").over(own) + F.row_number().over(rare) - 1)
+        first = settle(first.where(F.col("at") <= F.col("n") * (100 - p) / p))
+        x = first.where("out").select("c", "e", *[F.col(k).alias(f"x_{k}") for k in ("node", "comp", "n", "dn", "at")])
         y = first.select("c", "e", *[F.col(k).alias(f"y_{k}") for k in ("node", "comp", "n", "dn", "at")])
         most = F.floor((F.col("x_n") + F.col("y_n")) * (100 - p) / (100 + p))
         t = F.ceil((F.col("x_dn") + F.col("y_dn") - most) / 2)
