@@ -150,6 +150,20 @@ def components(links: DataFrame) -> DataFrame:
         labels = new.select("node", "comp")
 
 
+def merged(labels: DataFrame | None, links: DataFrame) -> DataFrame:
+    """(node, comp) after more links. Only the components that they join take part, each pair once, however many links it has."""
+    if labels is None:
+        return components(links)
+    at = [labels.select(F.col("node").alias(k), F.col("comp").alias(f"{k}_comp")) for k in "ab"]
+    ends = links.join(at[0], "a", "left").join(at[1], "b", "left")
+    ends = ends.select("a", "b", F.coalesce("a_comp", "a").alias("ca"), F.coalesce("b_comp", "b").alias("cb"))
+    ends = settle(ends.select(*["a", "b", F.least("ca", "cb").alias("ca"), F.greatest("ca", "cb").alias("cb")]).where("ca <> cb"))
+    joined = components(ends.select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct())
+    fresh = joined.select(F.col("node").alias("comp"), F.col("comp").alias("to"))
+    every = labels.union(joined.select("node", F.col("node").alias("comp"))).groupBy("node").agg(F.min("comp").alias("comp"))
+    return settle(every.join(fresh, "comp", "left").select("node", F.coalesce("to", "comp").alias("comp")))
+
+
 class Buckets:
     """Members of the buckets that hold two nodes or more, and the search for links in them."""
 
@@ -166,15 +180,15 @@ class Buckets:
         held = settle(held.groupBy("node").agg(F.min("doc_id").alias("doc_id")))
         self.sets = settle(shingle_sets(docs, like, held).join(nodes, "node", "left_semi").dropDuplicates(["node"]))
         empty = self.members.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
-        self.tried, self.links = empty, empty
+        self.tried, self.links, self.labels = empty, empty, None
 
-    def links_found(self) -> DataFrame:
-        """All links (a, b): by the stars, by edges to the hub of a bucket's largest component, and by differences from the hub."""
+    def linked(self) -> DataFrame:
+        """(node, comp) of all nodes with a link. Links come by the stars, by edges to the hub of a bucket's largest component, and by differences from the hub."""
         self._test(self._stars())
-        self._test(self._edges(self._outside(components(self.links))))
-        held = settle(self._outside(components(self.links)))
+        self._test(self._edges(self._outside(self.labels)))
+        held = settle(self._outside(self.labels))
         self._test(self._edges(held).union(self._across(held)))
-        return self.links
+        return self.labels
 
     def _stars(self) -> DataFrame:
         """An edge (x, y) from each node to the centre, the smallest node, of the largest bucket that holds it."""
@@ -242,13 +256,14 @@ class Buckets:
         linked = settle(found.where(100 * F.col("both") >= p * (F.col("na") + F.col("nb") - F.col("both"))).select("a", "b"))
         self.tried = self.tried.union(close.select("a", "b"))
         self.links = self.links.union(linked)
+        self.labels = merged(self.labels, linked)
 
 
 def near_copies(docs: DataFrame, like: Likeness = Likeness()) -> DataFrame:  # noqa: B008
     """doc_id, n_shingles, node, component_id and kept for every row."""
     docs = docs.select("doc_id", "text")
     rows = settle(sketch(docs, like))
-    labels = components(Buckets(docs, rows, like).links_found())
+    labels = Buckets(docs, rows, like).linked()
     nodes = rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least"))
     named = nodes.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     named = settle(named.select("node", "comp", "least"))
