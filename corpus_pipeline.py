@@ -25,16 +25,22 @@ def _sized(docs: DataFrame, columns: list[str]) -> DataFrame:
     return docs.withColumn("n_chars", F.length("text").cast("long")).select(*columns)
 
 
+def _whole(docs: DataFrame) -> DataFrame:
+    """doc_id, text, and the row itself, so that no column of it can clash with an operator's."""
+    return docs.select("doc_id", "text", F.struct(*docs.columns).alias("_row"))
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects go."""
     model = pu_quality.fit(docs, read(spark, sf_dir, "labels"))
-    return pu_quality.score(docs, model, docs.columns).where("predicted = 1").select(*docs.columns)
+    return pu_quality.score(_whole(docs), model, ["_row"]).where("predicted = 1").select("_row.*")
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Long lines found in many documents stay in one of them; documents stay, even if no line does."""
-    kept = line_runs.drop_lines(docs)
-    return _sized(kept.withColumn("text", F.when(F.col("n_dropped") > 0, F.col("kept_text")).otherwise(F.col("text"))), docs.columns)
+    kept = line_runs.drop_lines(_whole(docs))
+    text = F.when(F.col("n_dropped") > 0, F.col("kept_text")).otherwise(F.col("text"))
+    return _sized(kept.select("_row.*", text.alias("_text")).withColumn("text", F.col("_text")), docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -155,7 +155,7 @@ def encode_documents(docs: DataFrame, path: str, long_chars: int = LONG_CHARS, l
                 yield pa.RecordBatch.from_arrays([some.column("doc_id"), *columns([encoder(x.as_py()) for x in some.column("text")])], names=["doc_id", *names])
 
     def leaf(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok, ints = tokenizer(path), pa.list_(pa.int64())
+        tok, ints = tokenizer(path), pa.list_(pa.int32())
         for batch in batches:
             for at in range(0, batch.num_rows, 64):
                 some = batch.slice(at, 64)
@@ -179,6 +179,6 @@ def encode_documents(docs: DataFrame, path: str, long_chars: int = LONG_CHARS, l
     starts = F.explode(F.sequence(F.lit(0), F.length("text") - 1, F.lit(leaf_chars)))
     pieces = rows.where(is_long).withColumn("row", F.monotonically_increasing_id()).select("doc_id", "row", starts.alias("start"), "text")
     pieces = pieces.select("doc_id", "row", F.col("start").cast("long").alias("start"), F.substring("text", F.col("start") + 1, F.lit(leaf_chars)).alias("piece"))
-    leaf_type = f"doc_id {id_type}, row bigint, start bigint, piece string, ids array<bigint>, starts array<bigint>, ends array<bigint>"
+    leaf_type = f"doc_id {id_type}, row bigint, start bigint, piece string, ids array<int>, starts array<int>, ends array<int>"
     leaves = pieces.repartition("row", "start").mapInArrow(leaf, leaf_type)
     return brief.unionByName(leaves.groupBy("row").applyInPandas(tree, schema))

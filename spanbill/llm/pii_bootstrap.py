@@ -130,7 +130,7 @@ def find_personal(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     cover = places.join(bounded(words, F.octet_length("ctx")), "ctx").groupBy("ctx").agg(F.count("*").alias("places"))
     strong = score_patterns(edges, cover, rounds).withColumn("strong", F.lit(True))
     spans = rows.join(bounded(strong, F.octet_length("ctx") + F.octet_length("shape")), ["ctx", "shape"], "left")
-    kept = F.when((F.col("kind") < candidate) | F.col("strong"), F.struct("start", "kind", "end"))
+    kept = F.when(F.col("kind").isNotNull() & ((F.col("kind") < candidate) | F.col("strong")), F.struct("start", "kind", "end"))
     told = spans.groupBy("row").agg(F.min("doc_id").alias("doc_id"), F.collect_list(kept).alias("all"))
     base = F.filter("all", lambda s: s["kind"] < candidate)
     count = [kind_count(F.col("all"), i).alias(f"n_{k}") for i, k in enumerate(BASE)]

@@ -1,0 +1,223 @@
+"""Each operator against its plain version, over nulls, empty and long texts, ties, repeated rows and clashing columns."""
+
+from __future__ import annotations
+
+import random
+import zlib
+from collections import Counter
+
+import brute
+import numpy as np
+import public_tokenizers
+import pytest
+
+from spanbill.llm import boilerplate, bpe_tree, decontaminate, line_runs, near_copies, pii_bootstrap, pu_quality, quality_rules, secrets_ledger, sharding
+from spanbill.llm.queries import PAIRS, VOCABULARY
+
+PATH = public_tokenizers.path(VOCABULARY)
+
+
+def got(df, *columns):
+    return Counter(tuple(r) for r in df.select(*columns).collect())
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 39, 40, 41, 1000, 4097])
+def test_permutation(n):
+    rows = np.arange(n)
+    placed = sharding.permute(rows, n, 5)
+    assert sorted(placed) == list(rows)
+    assert (sharding.permute(placed, n, 5, back=True) == rows).all()
+    shard, slot = sharding.locate(n - 1, n, 7, 5)
+    assert sharding.row_at(shard, slot, n, 7, 5) == n - 1
+
+
+def test_shards(docs, rows):
+    out = sharding.shard_documents(docs, shards=4, seed=3).collect()
+    assert Counter((r.doc_id, r.size, r.text_crc32) for r in out) == Counter((i, len((t or "").encode()) + 16, zlib.crc32((t or "").encode())) for i, t in rows)
+    slots = {s: sorted(r.slot for r in out if r.shard == s) for s in range(4)}
+    assert all(v == list(range(len(v))) for v in slots.values()) and max(map(len, slots.values())) - min(map(len, slots.values())) <= 1
+    assert all(sharding.locate(r.row_no, len(rows), 4, 3) == (r.shard, r.slot) for r in out)
+    again = sharding.shard_documents(docs.repartition(5), shards=4, seed=3)
+    assert got(again, "doc_id", "size", "shard", "slot") == Counter((r.doc_id, r.size, r.shard, r.slot) for r in out)
+
+
+def test_rules(docs, rows, labels):
+    trees = quality_rules.fit_trees(docs, labels)
+    out = quality_rules.apply_rules(docs, trees)
+    stats = Counter((i, *brute.rule_stats(t)) for i, t in rows)
+    assert got(out, "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words") == stats
+    for r in out.collect():
+        assert r.base_failed == (r.n_words < 50 or 100 * r.n_repeat_words > 50 * r.n_words)
+        assert not (r.base_failed and r.kept)
+
+
+def test_trees_are_monotonic():
+    rng = np.random.default_rng(0)
+    x = rng.random((600, 3))
+    y = (x[:, 0] + 0.3 * rng.random(600) < 0.6).astype(float)
+    y[::17] = 1 - y[::17]
+    trees = quality_rules.Booster().fit(x, y, [-1, 0, 0])
+    for other in rng.random((20, 2)):
+        line = np.column_stack([np.linspace(0, 1, 50), np.full(50, other[0]), np.full(50, other[1])])
+        assert (np.diff(trees.score(line)) <= 1e-12).all()
+    assert ((trees.score(x) > 0.5) == y).mean() > 0.85
+
+
+def test_lines(docs, rows):
+    for options in ({}, {"batches": 1}, {"batches": 7, "fanout": 2}):
+        out = line_runs.drop_lines(docs, **options).selectExpr("doc_id", "n_lines", "n_dropped", "sha2(kept_text, 256) as h")
+        assert got(out, "doc_id", "n_lines", "n_dropped", "h") == brute.line_dedup(rows)
+
+
+def test_secrets(docs, rows):
+    out = secrets_ledger.scan_documents(docs)
+    assert got(out, "doc_id", "n_assign", "n_access", "n_hex", "base_sha256") == Counter((i, *brute.secrets(t)) for i, t in rows)
+
+
+def test_ledger_scans_only_what_is_new(spark, docs, rows):
+    ledger = secrets_ledger.SecretLedger(spark)
+    ledger.add(docs, secrets_ledger.BASE_RULES[:2])
+    blobs = len({t or "" for _, t in rows})
+    assert ledger.scanned.count() == 2 * blobs
+    more = spark.createDataFrame([(99, "token=abcdefgh"), (100, "token=abcdefgh"), (1, "one")], "doc_id long, text string")
+    ledger.add(more, secrets_ledger.BASE_RULES[:2])
+    assert ledger.scanned.count() == 2 * blobs + 2
+    ledger.add(docs, secrets_ledger.BASE_RULES)
+    assert ledger.scanned.count() == 3 * blobs + 2
+    assert ledger.scanned.distinct().count() == ledger.scanned.count()
+    spans = {r.doc_id: r.spans for r in ledger.by_path(more, secrets_ledger.BASE_RULES).collect()}
+    assert [tuple(s) for s in spans[99]] == [(0, 0, 14)] == [tuple(s) for s in spans[100]] and spans[1] is None
+
+
+@pytest.mark.parametrize("block", [100_000, 3])
+def test_benchmark_words(docs, rows, benchmark, block):
+    out = decontaminate.contamination(docs, benchmark, block=block).selectExpr("*", "sha2(array_join(items, ','), 256) as h")
+    windows = brute.windows_of([tuple(r) for r in benchmark.where("item_id is not null").collect()])
+    for w in brute.windows_of([("", "w1 w2 w3 w4 w5 w6 w7 w8 w9 w10")]):
+        windows.setdefault(w, set())
+    want = Counter()
+    for i, t in rows:
+        n, _, items, sha, _ = brute.contaminated(t, {w: v for w, v in windows.items() if v})
+        _, hit, _, _, flag = brute.contaminated(t, {w: v or {"-"} for w, v in windows.items()})
+        want[i, n, hit, items, sha, flag] += 1
+    assert got(out, "doc_id", "n_words", "n_hit", "n_items", "h", "contaminated") == want
+
+
+def test_spans_are_removed(docs, benchmark):
+    out = {r.doc_id: r.text for r in decontaminate.remove_spans(docs, benchmark).collect() if r.doc_id}
+    assert out[26] == "mu " and out[1] == "one" and out[2] is None and out[25] == ""
+    assert "kept end" in out[10]
+
+
+def test_scores(docs, labels, rows):
+    model = pu_quality.fit(docs, labels)
+    out = pu_quality.score(docs, model, ["doc_id"]).collect()
+    assert len(out) == len(rows) and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in out)
+    assert all(r.held_out == (r.doc_id is not None and zlib.crc32(str(r.doc_id).encode()) % 3 == 1) for r in out)
+
+
+def test_held_out_accuracy(spark, sf_dir):
+    docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
+    out = pu_quality.score(docs, pu_quality.fit(docs, labels), ["doc_id"]).where("held_out").join(labels, "doc_id").collect()
+    assert np.mean([r.predicted == r.quality for r in out]) > 0.9
+
+
+def test_tokens(docs, rows):
+    tok = bpe_tree.tokenizer(PATH)
+    want = Counter()
+    for i, t in rows:
+        ids = tok.encode(t or "", add_special_tokens=False).ids
+        want[i, len(ids), brute.sha(" ".join(map(str, ids))), brute.sha(tok.decode(ids, skip_special_tokens=False))] += 1
+    for long_chars, leaf in ((32_768, 16_384), (500, 100)):
+        out = bpe_tree.encode_documents(docs, PATH, long_chars, leaf)
+        assert got(out, "doc_id", "n_tokens", "ids_sha256", "decoded_sha256") == want
+
+
+def test_halves_join_exactly():
+    tok, rng = bpe_tree.tokenizer(PATH), random.Random(1)
+    alphabets = ["ab", "aA", "the ", "!'s ", "'ll're", "é́e ", "0 1a", "<|endoftext|> x", "hello world, it's\n", "日本語 ", "ﬁİß "]
+    for k in range(150):
+        text = "".join(rng.choice(alphabets[k % len(alphabets)]) for _ in range(rng.randrange(2, 900)))
+        cuts = sorted({0, len(text), *(rng.randrange(len(text)) for _ in range(4))})
+        leaves = [(a, b, bpe_tree.spans(tok, text[a:b], a)) for a, b in zip(cuts, cuts[1:], strict=False)]
+        ids = bpe_tree.join_leaves(leaves, lambda a, b, t=text: bpe_tree.spans(tok, t[a:b], a))[0]
+        assert ids.tolist() == tok.encode(text, add_special_tokens=False).ids, text
+
+
+PAGE = """<!doctype html><html><head><title>T</title><style>p{}</style></head><body><nav><a>Menu</a></nav><div class="ad">Buy</div>
+<article><h1>Head &amp; line</h1><p><b>First   para<br><p>Second &lt;x&gt;</p><aside>Side</aside><form>Go <input></form><script>var a="</p>";</script>
+<section class="comments"><p>Me too</p></section></article><footer>&copy; me</footer></body></html>"""
+
+
+def test_article():
+    assert boilerplate.parse(PAGE)[0] == ["Head & line", "First para", "Second <x>"]
+
+
+def test_pages(spark):
+    shared = "<div><p>one two three four five six seven eight</p></div>"
+    plain = [(i, "http://h.example/x", f"<html><body>{shared}<p>unique{i} text of page {i}</p></body></html>") for i in range(3)]
+    pages = [(10, "http://h.example/a", PAGE), (11, None, None), (12, "u", ""), (13, "http://other.example", plain[0][2]), *plain, (14, "u", "a < b &amp; <p>c"), (10, "http://h.example/a", PAGE)]
+    out = boilerplate.main_text(spark.createDataFrame(pages, "page_id long, url string, html string"))
+    found = Counter((r.page_id, r.text) for r in out.collect())
+    first = "one two three four five six seven eight\nunique0 text of page 0"
+    assert found == Counter(
+        [(10, "Head & line\nFirst para\nSecond <x>")] * 2 + [(11, ""), (12, ""), (13, first), (14, "a < b &\nc")] + [(i, f"unique{i} text of page {i}") for i in range(3)]
+    )
+
+
+@pytest.mark.parametrize("words", [2, 5])
+def test_near_copies(docs, rows, words):
+    out = near_copies.near_copies(docs, near_copies.Likeness(words, 80))
+    # rows with a null id and words of their own: their component is named by the smallest id in it
+    assert got(out, "doc_id", "n_shingles", "component_id", "kept") == Counter(brute.near(rows, words))
+
+
+def test_group_of_edited_copies(spark):
+    """Copies at all distances from a text that is not there itself, and from each other."""
+    rng, base = random.Random(4), [f"v{i}" for i in range(90)]
+    rows = []
+    for i in range(260):
+        words = list(base)
+        for p in rng.sample(range(90), rng.randrange(1, 16)):
+            words[p] = rng.choice(["the", "of", f"u{rng.randrange(400)}"])
+        rows.append((i, " ".join(words)))
+    out = near_copies.near_copies(spark.createDataFrame(rows, "doc_id long, text string"), PAIRS)
+    assert got(out, "doc_id", "n_shingles", "component_id", "kept") == Counter(brute.near(rows))
+
+
+def test_one_row_of_a_group_stays(docs):
+    out = near_copies.keep_one(docs)
+    assert out.columns == docs.columns
+    kept = Counter(r.doc_id for r in out.collect())
+    assert kept[4] == 1 and kept[5] == 0 and kept[6] == 0 and kept[2] == 1 and kept[23] == 1 and kept[24] == 0
+
+
+def test_personal(docs, rows):
+    out = pii_bootstrap.find_personal(docs)
+    assert got(out, "doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256") == Counter((i, *brute.personal(t)) for i, t in rows)
+
+
+def test_patterns_find_unseen_identifiers(spark):
+    seeds = [(i, f"some words and card: 41111111111111{x} here") for i, x in enumerate(["11", "29", "37", "45", "52"])]
+    valid = [t for _, t in seeds if brute.personal(t)[2]]
+    texts = [*valid, *[f"pay by card: 4{k}00123412341239 now" for k in range(1, 5)], "unseen card: 4999999999999999 stands", "year 1999123 is no card", "the 12345678 end"]
+    texts += [f"card: {n} too" for n in ("4012888888881881", "4222222222222220", "5555555555554444", "5105105105105100", "6011111111111117")]
+    rows = list(enumerate(texts))
+    out = {r.doc_id: r.spans for r in pii_bootstrap.find_personal(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    unseen = texts.index("unseen card: 4999999999999999 stands")
+    assert out[unseen] == "context:13:29"
+    assert out[texts.index("the 12345678 end")] == "" and out[texts.index("year 1999123 is no card")] == ""
+
+
+def test_empty_tables(spark, none, labels, benchmark):
+    no_labels, no_items = labels.limit(0), benchmark.limit(0)
+    assert sharding.shard_documents(none).count() == 0
+    assert quality_rules.apply_rules(none, quality_rules.fit_trees(none, no_labels)).count() == 0
+    assert line_runs.drop_lines(none).count() == 0
+    assert secrets_ledger.scan_documents(none).count() == 0
+    assert decontaminate.contamination(none, no_items).count() == 0
+    assert pu_quality.score(none, pu_quality.fit(none, labels), ["doc_id"]).count() == 0
+    assert bpe_tree.encode_documents(none, PATH).count() == 0
+    assert boilerplate.main_text(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+    assert near_copies.near_copies(none).count() == 0 and near_copies.keep_one(none).count() == 0
+    assert pii_bootstrap.find_personal(none).count() == 0
