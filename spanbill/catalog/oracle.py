@@ -21,7 +21,7 @@ def canon(c: str) -> str:
 
 
 def gnum(c: str) -> str:
-    return f"'G' || lpad(CAST({c} AS VARCHAR), 8, '0')"
+    return f"'G' || repeat('0', greatest(8 - length(CAST({c} AS VARCHAR)), 0)) || CAST({c} AS VARCHAR)"
 
 
 def pyear(c: str) -> str:
@@ -53,7 +53,7 @@ def amt(every: int, value: str) -> str:
 
 
 STEPS = {
-    "ev": "SELECT event_id, user_id, event_type, ts, CAST(regexp_extract(props, '([0-9]+)', 1) AS INTEGER) AS k FROM events",
+    "ev": "SELECT event_id, user_id, event_type, ts, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events",
     "status": """SELECT event_id AS status_id, user_id AS person_id,
   CAST(CASE event_type WHEN 'signup' THEN 2
     WHEN 'error' THEN CASE WHEN event_id % 3 = 0 THEN 12 ELSE 3 END

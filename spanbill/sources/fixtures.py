@@ -45,7 +45,9 @@ def quarter_start(date: Column) -> Column:
 
 
 def g_number(person: Column) -> Column:
-    return F.concat(F.lit("G"), F.lpad(person.cast("string"), 8, "0"))
+    """Eight digits at least; longer ids stay whole."""
+    digits = person.cast("string")
+    return F.concat(F.lit("G"), F.when(F.length(digits) < 8, F.lpad(digits, 8, "0")).otherwise(digits))
 
 
 PERCENTS = {  # share of individual, small, inter and large group teaching per part type
@@ -99,7 +101,7 @@ class Domain:
             F.col("user_id"),
             F.col("event_type"),
             F.col("ts"),
-            F.substring_index(F.substring("props", 7, 20), "}", 1).cast("int").alias("k"),
+            F.get_json_object("props", "$.k").cast("int").alias("k"),
         )
 
     @cached_property
