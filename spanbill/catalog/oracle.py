@@ -132,15 +132,16 @@ STEPS = {
     start_date, term, {pyear('start_date')} AS program_year FROM bills)""",
     "scen": f"""SELECT p_partkey AS crn, p_type AS scenario_name, {pct('1','0','0','0','0.5','NULL')} AS ind_percent,
   {pct('0','1','0','0','0.5','0')} AS small_percent, {pct('0','0','1','0','0','0.25')} AS inter_percent,
-  {pct('0','0','0','1','0','0.75')} AS large_percent, ascii(p_type) * 100 + length(p_type) AS scenario_id FROM part""",
+  {pct('0','0','0','1','0','0.75')} AS large_percent, p_type AS scenario_id FROM part""",
     "items": f"""SELECT item_id, bill_id, i.crn, attendance, credits, include_flag,
-  CASE item_id % 4 WHEN 1 THEN s.scenario_name WHEN 2 THEN 'old' END AS scenario_name,
-  {', '.join(f'CASE WHEN item_id % 4 = 1 THEN s.{p} END AS {p}' for p in PCTS)}
-  FROM (SELECT l_orderkey * 10 + l_linenumber AS item_id, l_orderkey AS bill_id, min(l_partkey) AS crn,
-    CAST(CAST(sum(l_quantity) AS DECIMAL(12,2)) * 0.1 AS DECIMAL(12,3)) AS attendance,
-    CAST(l_linenumber AS DECIMAL(6,2)) AS credits,
-    CASE WHEN max(l_returnflag) = 'A' THEN 0 ELSE 1 END AS include_flag
-    FROM lineitem GROUP BY l_orderkey, l_linenumber) i JOIN scen s ON s.crn = i.crn""",
+  CASE state WHEN 1 THEN s.scenario_name WHEN 2 THEN 'old' END AS scenario_name,
+  {', '.join(f'CASE WHEN state = 1 THEN s.{p} END AS {p}' for p in PCTS)}
+  FROM (SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) || '-' || CAST(n AS VARCHAR) AS item_id,
+    (l_orderkey * 10 + l_linenumber + n - 1) % 4 AS state, l_orderkey AS bill_id, l_partkey AS crn,
+    CAST(CAST(l_quantity AS DECIMAL(12,2)) * 0.1 AS DECIMAL(12,3)) AS attendance, CAST(l_linenumber AS DECIMAL(6,2)) AS credits,
+    CASE WHEN l_returnflag = 'A' THEN 0 ELSE 1 END AS include_flag
+    FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey, l_quantity,
+      l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) AS n FROM lineitem)) i JOIN scen s ON s.crn = i.crn""",
     # --- courses and scores
     "courses": f"""SELECT {gnum('o_custkey')} AS student, year(day) * 100 + quarter(day) AS term, l_partkey AS crn,
   CASE l_partkey % 6 WHEN 0 THEN 'ESOL' WHEN 1 THEN 'ESL' WHEN 2 THEN 'MTH' WHEN 3 THEN 'WR' WHEN 4 THEN 'esol' ELSE 'RD' END AS subject,
@@ -216,7 +217,7 @@ STEPS = {
     "unmatched": """SELECT d.person_id, k.kind_text AS program_detail, d.program, d.start_date, d.exit_date AS end_date, d.end_id
   FROM det d JOIN kinds k ON k.kind = d.kind WHERE NOT EXISTS (SELECT 1 FROM gen g WHERE g.person_id = d.person_id
     AND (g.exit_date = d.exit_date OR (g.exit_date IS NULL AND d.exit_date IS NULL AND g.program = 'YtC')))""",
-    "ordered": """SELECT *, CAST(row_number() OVER (PARTITION BY person_id ORDER BY start_date, coalesce(end_date, DATE '3000-12-31'),
+    "ordered": """SELECT *, CAST(row_number() OVER (PARTITION BY person_id ORDER BY start_date, end_date NULLS LAST,
     program_detail, program, end_id NULLS FIRST) AS INTEGER) AS seq FROM (
   SELECT DISTINCT person_id, program_detail, program, start_date, end_date, nullif(end_id, 0) AS end_id
   FROM (SELECT * FROM merged UNION ALL SELECT * FROM unmatched))""",
@@ -299,7 +300,7 @@ def _attendance_steps(tag: str, included: str, cap: str, hours: str, case: str)
 _HOURS = """CASE WHEN billed > max_days_month THEN
    CAST(CAST(max_days_month - 0.3497 * small_hours - 0.2387 * inter_hours - 0.1837 * large_hours AS DECIMAL(28,10)) AS DOUBLE) / 1.0167 END"""
 STEPS |= _attendance_steps("", "AND include_flag = 1", "coalesce(adjusted_days, max_days_month)", f"round(CAST({_HOURS} AS DECIMAL(28,10)), 2)", "0.167")
-STEPS |= _attendance_steps("17", "", "max_days_month", _HOURS, "0.0167")
+STEPS |= _attendance_steps("17", "", "max_days_month", f"CAST({_HOURS} AS DECIMAL(28,10))", "0.0167")
 
 STEPS |= {
     # --- term billing
@@ -354,13 +355,11 @@ STEPS |= {
     AND b.district_id = a.district_id AND b.program_year = a.program_year AND b.program <> a.program) AS other_days
   FROM (SELECT DISTINCT person_id, district_id, program_year, program FROM ta17) a""",
     # --- exits on bills
-    "xb": """SELECT bill_id, person_id, g_number, program, enrolled_date, start_date, CAST(last_day(start_date + to_months(seq % 3)) AS DATE) AS end_date,
-  CASE WHEN seq % 2 = 0 THEN last_day(start_date) END AS exit_date, CASE WHEN seq % 3 = 0 THEN 7 END AS exit_code,
-  district_id, include_flag, adjusted_days FROM (
-  SELECT person_id * 100000 + seq AS bill_id, person_id, seq, g_number, program_detail AS program, start_date AS enrolled_date,
-    CAST(date_trunc('month', coalesce(end_date, start_date)) - to_months(CASE WHEN seq % 4 = 0 THEN 1 ELSE 0 END) AS DATE) AS start_date,
-    coalesce(district_id, 0) AS district_id, CASE WHEN seq % 5 = 0 THEN 0 ELSE 1 END AS include_flag,
-    CASE WHEN seq % 7 = 0 THEN CAST(seq AS DOUBLE) END AS adjusted_days FROM iv)""",
+    "xb": """SELECT b.bill_id, b.person_id, b.g_number, e.program_detail AS program, e.start_date AS enrolled_date, b.start_date, b.end_date, b.exit_date,
+  CASE WHEN b.bill_id % 3 = 1 THEN 7 END AS exit_code, CASE WHEN b.bill_id % 4 = 0 THEN b.bill_id % 20 + 1 END AS exit_status_reason_id,
+  b.district_id, b.include_flag, CAST(b.adjusted_days AS DOUBLE) AS adjusted_days FROM bills b
+  JOIN (SELECT b.bill_id, i.start_date, i.program_detail FROM bills b JOIN iv i ON i.person_id = b.person_id AND i.start_date < b.end_date
+    QUALIFY row_number() OVER (PARTITION BY b.bill_id ORDER BY i.start_date DESC, i.seq DESC) = 1) e ON e.bill_id = b.bill_id""",
     "since": """SELECT min(term_begin) AS since FROM calendar WHERE program_year =
   (SELECT max(program_year) FROM calendar WHERE term_begin <= DATE '2014-02-15')""",
     "fit": """SELECT b.bill_id, b.exit_date, b.exit_code, i.end_date AS i_end, i.exit_reason_id AS i_reason FROM xb b
@@ -691,7 +690,7 @@ FINAL = {
     "cap_overage": f"""SELECT bill_id, CAST(generated_amount AS DOUBLE) AS generated_amount, CAST(generated_over AS DOUBLE) AS generated_over, {CAPS},
   CAST(adjusted_ind_hours AS DOUBLE) AS adjusted_ind_hours FROM cg""",
     "cap_overage_2017": f"""SELECT bill_id, CAST(generated_amount AS DOUBLE) AS generated_amount, CAST(generated_over AS DOUBLE) AS generated_over, {CAPS},
-  round(CAST(adjusted_ind_hours AS DOUBLE), 5) AS adjusted_ind_hours FROM cg17""",
+  CAST(adjusted_ind_hours AS DOUBLE) AS adjusted_ind_hours FROM cg17""",
     "split_month_cycles": """SELECT c.cycle_id, c.billing_type, c.start_date, c.program_year,
   CASE WHEN f.n > 1 AND c.start_date = f.lo THEN f.hi_id END AS ending_cycle_id, CASE WHEN f.n > 1 AND c.start_date = f.hi THEN f.lo_id END AS starting_cycle_id,
   CASE WHEN f.n > 1 THEN f.hi_id ELSE c.cycle_id END AS bill_on_cycle_id
@@ -720,13 +719,14 @@ FINAL = {
     "exit_backfill": "SELECT bill_id, person_id, program, start_date, exit_date FROM xb_date",
     "exit_code_backfill": "SELECT bill_id, person_id, program, start_date, exit_code FROM xb_code",
     "exit_reconcile": """SELECT b.bill_id, strftime(b.start_date, '%Y-%m-%d') AS start_date, strftime(b.end_date, '%Y-%m-%d') AS end_date,
-  strftime(b.exit_date, '%Y-%m-%d') AS exit_date, b.exit_code, x.reason_text AS exit_code_text, b.adjusted_days,
+  strftime(b.exit_date, '%Y-%m-%d') AS exit_date, b.exit_code, x.reason_text AS exit_code_text, b.exit_status_reason_id, b.adjusted_days,
   strftime(CASE WHEN c.end_date < (SELECT since FROM since) THEN NULL ELSE c.end_date END, '%Y-%m-%d') AS current_end,
   c.exit_reason_id AS current_reason_id, c.exit_reason AS current_reason, c.secondary_reason AS current_secondary_reason,
   CASE WHEN length(c.exit_note) = 0 THEN (SELECT m.comment_text FROM comments m WHERE m.person_id = b.person_id ORDER BY m.comment_id DESC LIMIT 1)
-    ELSE c.exit_note END AS current_note, CAST(b.person_id % 10 + 1.5 AS DOUBLE) * 2 AS attendance, b.program, d.district_name,
+    ELSE c.exit_note END AS current_note, h.attendance, b.program, d.district_name,
   p.first_name, p.last_name, b.g_number, b.person_id
   FROM xb_code b JOIN contact p ON p.person_id = b.person_id JOIN cur c ON c.person_id = b.person_id JOIN districts d ON d.district_id = b.district_id
+  JOIN (SELECT bill_id, CAST(sum(attendance) AS DOUBLE) AS attendance FROM items GROUP BY bill_id) h ON h.bill_id = b.bill_id
   LEFT JOIN reasons x ON x.reason_num = b.exit_code
   WHERE b.start_date >= (SELECT since FROM since) AND b.bill_id = (SELECT max(z.bill_id) FROM xb z WHERE z.person_id = b.person_id AND z.include_flag = 1)""",
     "interval_outcome": "SELECT person_id, seq, program, next_program, next_detail, previous_program, previous_detail, outcome, basic_outcome FROM outcome",
@@ -746,18 +746,18 @@ FINAL = {
   FROM cur c""",
     "contact_profile": "SELECT * FROM prof",
     "date_to_term": """SELECT o_orderkey AS order_id, day AS at, (SELECT c.term FROM calendar c WHERE day >= c.term_begin AND day < c.next_begin) AS term FROM od""",
-    "post_event_gpa": "SELECT person_id, seq, post_credits, post_points, course_rows_in_pass_term FROM later",
+    "post_event_gpa": "SELECT i.person_id, i.seq, post_credits, post_points, course_rows_in_pass_term FROM iv i LEFT JOIN later l ON l.person_id = i.person_id AND l.seq = i.seq",
     "interval_by_term": "SELECT * FROM ivt",
-    "term_exit_adjust": "SELECT * EXCLUDE (student) FROM pexit WHERE program = 'GtC'",
+    "term_exit_adjust": "SELECT * EXCLUDE (student) FROM pexit",
     "person_term": f"SELECT {PTERM} FROM pterm WHERE program = 'GtC'",
-    "running_level": """SELECT q.student, q.term, 1 AS esol_student, lv2.incoming_esol_level FROM (SELECT DISTINCT student, term FROM courses) q
+    "running_level": """SELECT q.student, q.term, CASE WHEN lv2.n > 0 THEN 1 END AS esol_student, lv2.incoming_esol_level FROM (SELECT DISTINCT student, term FROM courses) q
   JOIN LATERAL (SELECT count(*) FILTER (WHERE upper(l.subject) = 'ESOL' AND l.term <= q.term) AS n, max(CASE WHEN l.term < q.term THEN l.lvl END) AS incoming_esol_level
-    FROM lv l WHERE l.student = q.student) lv2 ON true WHERE lv2.n > 0""",
+    FROM lv l WHERE l.student = q.student) lv2 ON true""",
     "first_term": "SELECT person_id, first_term, first_term_begin FROM first_t",
     "person_term_scores": f"""SELECT {PTERM}, social_score, science_score, math_score, literature_score, writing_score, language_score, passed_code, completed_code,
   last_test_date, post_gpa, post_terms FROM pt_g""",
     "pass_rule": "SELECT * FROM scores",
-    "post_pass_gpa": "SELECT DISTINCT student, last_test_date, term, post_gpa, post_terms FROM pt_g WHERE post_terms IS NOT NULL",
+    "post_pass_gpa": "SELECT person_id, student, last_test_date, term, post_gpa, post_terms FROM pt_g",
     "year_bounds": "SELECT program_year, year_begin, year_end, year_first_term, year_last_term FROM yb",
     "interval_by_year": "SELECT * FROM ivy",
     "person_year": """SELECT g.* EXCLUDE (first_seq, last_seq, year_begin, year_end, year_first_term, year_last_term, tested),

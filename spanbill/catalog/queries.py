@@ -263,8 +263,7 @@ def cap_overage(d):
 
 @query
 def cap_overage_2017(d):
-    values = A.apply_cap(amounts(d, True), use_adjusted=False, round_hours=False)
-    return values.withColumn("adjusted_ind_hours", F.round(F.col("adjusted_ind_hours").cast("double"), 5))
+    return A.apply_cap(amounts(d, True), use_adjusted=False, round_hours=False)
 
 
 @query
@@ -345,31 +344,10 @@ def billing_status(d):
     return B.billing_status(d.bills, d.cycles, d.items)
 
 
-def interval_bills(spans: DataFrame) -> DataFrame:
-    """One bill per interval, so that exits can be matched with bills."""
-    seq = F.col("seq")
-    month = F.trunc(F.coalesce("end_date", "start_date"), "month")
-    start = F.when(seq % 4 == 0, F.add_months(month, -1)).otherwise(month)
-    return spans.select(
-        (F.col("person_id") * 100000 + seq).alias("bill_id"),
-        "person_id",
-        "g_number",
-        F.col("program_detail").alias("program"),
-        F.col("start_date").alias("enrolled_date"),
-        start.alias("start_date"),
-        F.last_day(F.add_months(start, seq % 3)).alias("end_date"),
-        F.when(seq % 2 == 0, F.last_day(start)).alias("exit_date"),
-        F.when(seq % 3 == 0, 7).alias("exit_code"),
-        F.coalesce("district_id", F.lit(0)).alias("district_id"),
-        F.when(seq % 5 == 0, 0).otherwise(1).alias("include_flag"),
-        F.when(seq % 7 == 0, seq.cast("double")).alias("adjusted_days"),
-    )
-
-
 def exit_inputs(d: Domain):
     spans = settle(intervals(d))
     since = B.year_start(d.calendar, date(2014, 2, 15))
-    return spans, interval_bills(spans), since
+    return spans, d.enrolled_bills(spans), since
 
 
 @query
@@ -390,11 +368,8 @@ def exit_code_backfill(d):
 def exit_reconcile(d):
     spans, bills, since = exit_inputs(d)
     bills = B.backfill_exits(bills, spans, d.reasons, since)
-    items = bills.select("bill_id", F.explode(F.array(F.lit(1), F.lit(2))).alias("n")).select(
-        "bill_id", (F.floor(F.col("bill_id") / 100000) % 10 + 1.5).cast("double").alias("attendance")
-    )
     codes = d.reasons.select(F.col("reason_num").alias("exit_code"), F.col("reason_text").alias("exit_code_text"))
-    return B.exit_reconcile(bills, spans, items, d.comments, d.profile, d.districts, d.reasons, codes, since)
+    return B.exit_reconcile(bills, spans, d.items, d.comments, d.profile, d.districts, d.reasons, codes, since)
 
 
 # --- reporting tables ---------------------------------------------------------------------------
@@ -457,7 +432,7 @@ def date_to_term(d):
 def post_event_gpa(d):
     spans, summary = settle(intervals(d)), facts(d)
     wide = spans.join(P.term_bounds(spans, d.calendar, summary), ["person_id", "seq"], "left")
-    rows = P.post_event_gpa(wide, profile(d), summary).filter("course_rows_in_pass_term is not null")
+    rows = P.post_event_gpa(wide, profile(d), summary)
     return rows.select("person_id", "seq", "post_credits", "post_points", "course_rows_in_pass_term")
 
 
@@ -469,7 +444,7 @@ def interval_by_term(d):
 @query
 def term_exit_adjust(d):
     spans = settle(intervals(d))
-    return P.period_exit(P.interval_by_term(spans, d.calendar, GTC), spans, d.calendar, d.term_results)
+    return P.period_exit(P.interval_by_term(spans, d.calendar), spans, d.calendar, d.term_results)
 
 
 @query
@@ -480,7 +455,7 @@ def person_term(d):
 
 @query
 def running_level(d):
-    rows = P.running_level(P.term_summary(d.courses)).filter("esol_student = 1")
+    rows = P.running_level(P.term_summary(d.courses))
     return rows.select("student", "term", "esol_student", "incoming_esol_level")
 
 
@@ -504,8 +479,7 @@ def pass_rule(d):
 def post_pass_gpa(d):
     spans = settle(intervals(d))
     rows = P.person_term(spans, d.contact, d.calendar, d.courses, d.term_results, YTC, scores(d))
-    rows = rows.filter("post_terms is not null")
-    return rows.select("student", "last_test_date", "term", "post_gpa", "post_terms").distinct()
+    return rows.select("person_id", "student", "last_test_date", "term", "post_gpa", "post_terms")
 
 
 @query

@@ -25,7 +25,6 @@ TEST_FIRST_NAMES = ("test",)
 TEST_LAST_NAMES = ("test", "testsd")
 
 # --- fixed values: labels ---------------------------------------------------
-OPEN_END = "3000-12-31"
 EXIT_LEFT = "Left PCC Links"
 EXIT_MOVED = "Transitioned"
 EXIT_NONE = "None"

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spanbill.functions import fixed
 from spanbill.operators.ordered import HotKeys, Take, ordered_scan
 
 
@@ -56,17 +55,18 @@ def latest_before(
     NULL for events which do not count, so one pass can look up several
     attributes. A NULL bound takes the latest event of all.
     """
-    far = F.lit(fixed.OPEN_END).cast("date")
     id_type = events.schema[event_id].dataType
     rows = left.select(
         key,
-        F.coalesce(F.col(bound), far).alias("_at"),
+        F.col(bound).isNull().alias("_open"),
+        F.col(bound).alias("_at"),
         F.lit(0).alias("_side"),
         F.lit(None).cast(id_type).alias("_id"),
         F.struct(*left.columns).alias("_row"),
     ).unionByName(
         events.select(
             key,
+            F.lit(False).alias("_open"),
             F.col(event_date).alias("_at"),
             F.lit(1).alias("_side"),
             F.col(event_id).alias("_id"),
@@ -74,9 +74,9 @@ def latest_before(
         ),
         allowMissingColumns=True,
     )
-    # side 0 sorts first on a shared date, so events of that date come later
+    # open bounds sort behind every event; side 0 sorts first on a shared date, so events of that date come later
     take = {f"_{name}": Take("last", F.col(name)) for name in values}
-    scanned = ordered_scan(rows, key, ["_at", "_side", "_id"], take, hot)
+    scanned = ordered_scan(rows, key, ["_open", "_at", "_side", "_id"], take, hot)
     return scanned.filter(F.col("_side") == 0).select(
         "_row.*", *[F.col(f"_{name}").alias(name) for name in values]
     )

@@ -241,11 +241,11 @@ def order_intervals(rows: DataFrame, hot: HotKeys | None = None) -> DataFrame:
     """
     known = F.col("end_id") != 0
     rows = rows.withColumns({c: F.when(known, F.col(c)) for c in ("end_note", "end_id")}).distinct()
-    rows = rows.withColumn("_open_last", F.coalesce("end_date", F.lit(fixed.OPEN_END).cast("date")))
+    rows = rows.withColumn("_open", F.col("end_date").isNull())
     near = F.struct("start_date", "end_date", "program", "program_detail")
-    order = ["start_date", "_open_last", "program_detail", "program", "end_id"]
+    order = ["start_date", "_open", "end_date", "program_detail", "program", "end_id"]
     take = {"seq": Take("number"), "following": Take("lead", near), "previous": Take("lag", near)}
-    return ordered_scan(rows, "person_id", order, take, hot).drop("_open_last")
+    return ordered_scan(rows, "person_id", order, take, hot).drop("_open")
 
 
 def clip_to_next(rows: DataFrame) -> DataFrame:

@@ -164,6 +164,7 @@ def exit_reconcile(
             iso(F.col("exit_date")).alias("exit_date"),
             "exit_code",
             "exit_code_text",
+            "exit_status_reason_id",
             "adjusted_days",
             iso(F.when(F.col("_current_end") >= since, F.col("_current_end"))).alias("current_end"),
             "current_reason_id",

@@ -11,9 +11,10 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from spanbill.operators.asof import latest_before
 from spanbill.operators.stage import settle
 from spanbill.plans.attendance import Scenario
 from spanbill.plans.intervals import Dims
@@ -325,6 +326,25 @@ class Domain:
         )
         return rows.join(where, "person_id")
 
+    def enrolled_bills(self, spans: DataFrame) -> DataFrame:
+        """Bills with the enrolment they were made for: the person's last one that began before the bill's end."""
+        o = F.col("bill_id")
+        bills = self.bills.select(
+            "bill_id", "person_id", "g_number", "start_date", "end_date", "exit_date", "district_id", "include_flag", "adjusted_days"
+        )
+        starts = spans.filter("start_date is not null")
+        made_for = {"_span": F.struct("start_date", "program_detail")}
+        rows = latest_before(bills, starts, "person_id", "end_date", "start_date", "seq", made_for)
+        return settle(
+            rows.filter("_span is not null").select(
+                *bills.columns,
+                F.col("_span.program_detail").alias("program"),
+                F.col("_span.start_date").alias("enrolled_date"),
+                F.when(o % 3 == 1, 7).alias("exit_code"),
+                F.when(o % 4 == 0, o % 20 + 1).alias("exit_status_reason_id"),
+            )
+        )
+
     @cached_property
     def profile(self) -> DataFrame:
         return self.contact.select("person_id", "first_name", "last_name")
@@ -357,24 +377,21 @@ class Domain:
 
     @cached_property
     def items(self) -> DataFrame:
-        keyed = (
-            self.raw("lineitem")
-            .groupBy("l_orderkey", "l_linenumber")
-            .agg(
-                F.sum("l_quantity").alias("quantity"),
-                F.min("l_partkey").alias("crn"),
-                F.max("l_returnflag").alias("flag"),
-            )
-        )
-        rows = keyed.select(
-            (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("item_id"),
+        """One item per line. Lines of one order may share a number, so the id also counts them."""
+        raw = self.raw("lineitem")
+        number = ["l_orderkey", "l_linenumber"]
+        same = Window.partitionBy(*number).orderBy(*[c for c in raw.columns if c not in number])
+        part = F.col("l_orderkey") * 10 + F.col("l_linenumber") + F.col("n") - 1
+        rows = raw.withColumn("n", F.row_number().over(same)).select(
+            F.concat_ws("-", *number, "n").alias("item_id"),
             F.col("l_orderkey").alias("bill_id"),
-            "crn",
-            dec(dec(F.col("quantity")) / 10, 12, 3).alias("attendance"),
+            F.col("l_partkey").alias("crn"),
+            dec(dec(F.col("l_quantity")) / 10, 12, 3).alias("attendance"),
             dec(F.col("l_linenumber"), 6).alias("credits"),
-            F.when(F.col("flag") == "A", 0).otherwise(1).alias("include_flag"),
+            F.when(F.col("l_returnflag") == "A", 0).otherwise(1).alias("include_flag"),
+            (part % 4).alias("_state"),
         )
-        kept = F.col("item_id") % 4 == 1
+        kept = F.col("_state") == 1
         parts = self.scenarios.select(
             F.col("crn"),
             *[F.col(c).alias(f"p_{c}") for c in Scenario.PERCENTS],
@@ -382,8 +399,8 @@ class Domain:
         )
         return settle(
             rows.join(parts, "crn").select(
-                *rows.columns,
-                F.when(kept, F.col("p_name")).when(F.col("item_id") % 4 == 2, "old").alias("scenario_name"),
+                *[c for c in rows.columns if c != "_state"],
+                F.when(kept, F.col("p_name")).when(F.col("_state") == 2, "old").alias("scenario_name"),
                 *[F.when(kept, F.col(f"p_{c}")).alias(c) for c in Scenario.PERCENTS],
             )
         )
@@ -407,7 +424,7 @@ class Domain:
 
     @cached_property
     def scenario_dim(self) -> DataFrame:
-        return self.scenarios.drop("crn").distinct().withColumn("scenario_id", F.ascii(F.col("scenario_name")) * 100 + F.length("scenario_name"))
+        return self.scenarios.drop("crn").distinct().withColumn("scenario_id", F.col("scenario_name"))
 
     @cached_property
     def course_scenarios(self) -> DataFrame:

@@ -39,11 +39,11 @@ SCHEMAS = {
     f"corrected_units {MONEY}, corrected_over_units {MONEY}, corrected_amount {MONEY}, corrected_over {MONEY}, "
     f"final_units {MONEY}, final_over_units {MONEY}, final_amount {MONEY}, final_over {MONEY}, "
     f"post_amount {MONEY}, post_over {MONEY}, updated_at timestamp, updated_by string",
-    "items": "item_id long, bill_id long, crn long, attendance decimal(12,3), credits decimal(6,2), "
+    "items": "item_id string, bill_id long, crn long, attendance decimal(12,3), credits decimal(6,2), "
     "include_flag int, scenario_name string, ind_percent decimal(5,3), small_percent decimal(5,3), "
     "inter_percent decimal(5,3), large_percent decimal(5,3), updated_at timestamp, updated_by string",
-    "course_scenarios": "crn long, term int, scenario_id int",
-    "scenarios": "scenario_id int, scenario_name string, ind_percent decimal(5,3), small_percent decimal(5,3), "
+    "course_scenarios": "crn long, term int, scenario_id string",
+    "scenarios": "scenario_id string, scenario_name string, ind_percent decimal(5,3), small_percent decimal(5,3), "
     "inter_percent decimal(5,3), large_percent decimal(5,3)",
     "courses": "student string, term int, crn long, subject string, course_number string, course_level string, "
     "title string, credits decimal(6,2), grade string, passed string",

@@ -102,6 +102,22 @@ def test_same_timestamp_ids_compare_as_numbers(spark):
     assert rows(got, "got") == [(10,)]
 
 
+def test_open_bound_takes_every_event(spark):
+    left = spark.createDataFrame([(1, 1, None), (2, 1, date(2999, 1, 1))], "left_id int, person_id long, end date")
+    right = spark.createDataFrame([(1, date(2014, 1, 1), 5), (1, date(3001, 5, 1), 6)], "person_id long, at date, id long")
+    got = latest_before(left, right, "person_id", "end", "at", "id", {"got": F.col("id")})
+    assert rows(got, "left_id", "got") == [(1, 6), (2, 5)]
+
+
+def test_every_line_is_an_item(spark, sf_dir):
+    d = Domain(spark, sf_dir)
+    lines, items = d.raw("lineitem"), d.items
+    assert items.count() == lines.count() == items.select("item_id").distinct().count()
+    want = lines.groupBy("l_orderkey", "l_partkey").count().collect()
+    got = items.groupBy("bill_id", "crn").count().collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want))
+
+
 def test_overlap_join_against_brute_force(spark):
     rng = random.Random(3)
     base = date(2011, 6, 1)
