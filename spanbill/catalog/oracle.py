@@ -691,6 +691,13 @@ FINAL = {
   CAST(adjusted_ind_hours AS DOUBLE) AS adjusted_ind_hours FROM cg""",
     "cap_overage_2017": f"""SELECT bill_id, CAST(generated_amount AS DOUBLE) AS generated_amount, CAST(generated_over AS DOUBLE) AS generated_over, {CAPS},
   CAST(adjusted_ind_hours AS DOUBLE) AS adjusted_ind_hours FROM cg17""",
+    "attendance_update": """SELECT c.bill_id, CAST(c.max_days_period AS DOUBLE) AS max_days_period, CAST(c.max_days_month AS DOUBLE) AS max_days_month,
+  CAST(CASE WHEN g.bill_id IS NOT NULL THEN g.generated_amount WHEN c.bill_id % 3 = 0 THEN coalesce(b.generated_amount, 0) + 1
+    ELSE b.generated_amount END AS DOUBLE) AS generated_amount,
+  CAST(CASE WHEN g.bill_id IS NOT NULL THEN g.generated_over ELSE b.generated_over END AS DOUBLE) AS generated_over,
+  CASE WHEN g.bill_id IS NOT NULL AND c.bill_id % 3 = 0 THEN 'again' WHEN g.bill_id IS NOT NULL
+    OR c.max_days_period IS DISTINCT FROM b.max_days_period OR c.max_days_month IS DISTINCT FROM b.max_days_month THEN 'first' END AS updated_by
+  FROM capd c JOIN bills b ON b.bill_id = c.bill_id LEFT JOIN cg g ON g.bill_id = c.bill_id""",
     "split_month_cycles": """SELECT c.cycle_id, c.billing_type, c.start_date, c.program_year,
   CASE WHEN f.n > 1 AND c.start_date = f.lo THEN f.hi_id END AS ending_cycle_id, CASE WHEN f.n > 1 AND c.start_date = f.hi THEN f.lo_id END AS starting_cycle_id,
   CASE WHEN f.n > 1 THEN f.hi_id ELSE c.cycle_id END AS bill_on_cycle_id
@@ -705,6 +712,13 @@ FINAL = {
   CAST(credits_to_date AS DOUBLE) AS credits_to_date, bill_id FROM ytd""",
     "term_units": f"SELECT bill_id, term, {UNITS} FROM unit",
     "term_units_2017": f"SELECT bill_id, term, {UNITS} FROM unit17",
+    "term_update": """SELECT b.bill_id, CAST(u.generated_units AS DOUBLE) AS generated_units, CAST(u.generated_over_units AS DOUBLE) AS generated_over_units,
+  CAST(CASE WHEN u.bill_id IS NOT NULL THEN u.generated_amount WHEN b.bill_id % 3 = 0 THEN coalesce(b.generated_amount, 0) + 1
+    ELSE b.generated_amount END AS DOUBLE) AS generated_amount,
+  CAST(CASE WHEN u.bill_id IS NOT NULL THEN u.generated_over ELSE b.generated_over END AS DOUBLE) AS generated_over,
+  CAST(u.max_credits AS DOUBLE) AS max_credits, CAST(u.max_days_year AS DOUBLE) AS max_days_year,
+  CASE WHEN u.bill_id IS NOT NULL AND b.bill_id % 3 = 0 THEN 'again' WHEN u.bill_id IS NOT NULL THEN 'first' END AS updated_by
+  FROM bills b LEFT JOIN unit u ON u.bill_id = b.bill_id""",
     "changed_only": f"""SELECT u.bill_id, u.term, {UNITS.replace('CAST(gen', 'CAST(u.gen').replace('CAST(max', 'CAST(u.max')} FROM unit u JOIN bills b ON b.bill_id = u.bill_id
   WHERE coalesce(u.generated_over, 0) <> coalesce(b.generated_over, 0) OR coalesce(u.generated_amount, 0) <> coalesce(b.generated_amount, 0)""",
     "other_program_days": "SELECT person_id, district_id, program_year, program, CAST(other_days AS DOUBLE) AS other_days FROM oth",

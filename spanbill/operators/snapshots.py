@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spanbill.functions.exprs import any_of, differs
@@ -30,6 +30,16 @@ def changed_only(old: DataFrame, new: DataFrame, key: str, cols: list[str], null
     )
 
 
+def stamps(columns: list[str], hit: Column, changed_at=None, changed_by=None) -> dict[str, Column]:
+    """When and by whom, for the rows that are hit; other rows keep what they have."""
+    out = {}
+    for name, value in (("updated_at", changed_at), ("updated_by", changed_by)):
+        if value is not None:
+            before = F.col(name) if name in columns else F.lit(None)
+            out[name] = F.when(hit, F.lit(value)).otherwise(before)
+    return out
+
+
 def apply_changes(
     old: DataFrame,
     changes: DataFrame,
@@ -56,8 +66,5 @@ def apply_changes(
     if only_changed:
         hit = hit & _moved("_old", "_new", cols, null_as)
     out = {c: F.when(hit, F.col(f"_new.{c}")).otherwise(F.col(c)) for c in cols}
-    for name, value in (("updated_at", changed_at), ("updated_by", changed_by)):
-        if value is not None:
-            before = F.col(name) if name in old.columns else F.lit(None)
-            out[name] = F.when(hit, F.lit(value)).otherwise(before)
+    out |= stamps(old.columns, hit, changed_at, changed_by)
     return joined.withColumns(out).drop("_key", "_new", "_old")

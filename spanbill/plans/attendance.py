@@ -13,8 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spanbill.functions import fixed
-from spanbill.functions.exprs import decimal, given, is_attendance
-from spanbill.operators.snapshots import apply_changes
+from spanbill.functions.exprs import any_of, decimal, differs, given, is_attendance
+from spanbill.operators.snapshots import apply_changes, stamps
 from spanbill.plans.billing import (
     exit_group_date,
     first_set,
@@ -205,16 +205,23 @@ def update_attendance_billing(
     since: date | None = None,
     until: date | None = None,
     person: int | None = None,
+    changed_at: datetime | None = None,
+    changed_by: str | None = None,
 ) -> AttendanceRun:
     """Scenarios, caps and amounts of every attendance bill in scope.
 
     ``legacy_2017`` ignores adjusted days and the include flag of the month
     cap, and does not round the adjusted hours.
+
+    Only items and bills whose values change are stamped (values that stay NULL
+    do not count as a change); the 2017 form stamps every bill it computes.
     """
     scope = in_scope(since, until, person)
     values = scenario_values(items, bills.filter(scope), course_scenarios, scenarios, districts)
-    fresh = refresh_scenario(items, values)
-    capped = month_cap(bills, cycles, not legacy_2017, since, until, person)
+    fresh = refresh_scenario(items, values, changed_at, changed_by)
+    caps = ["max_days_period", "max_days_month"]
+    before = bills.withColumn("_caps", F.struct(*caps))
+    capped = month_cap(before, cycles, not legacy_2017, since, until, person)
     # hours and the district check join onto the bills, which are read once
     known = districts.select("district_id", F.lit(True).alias("_known"))
     rows = (
@@ -225,8 +232,12 @@ def update_attendance_billing(
     hit = is_attendance(F.col("program")) & scope & F.col("_known") & F.col("billed").isNotNull()
     new = cap_columns(use_adjusted=not legacy_2017, round_hours=not legacy_2017)
     stored = {c: F.col(c) if c in bills.columns else F.lit(None) for c in new}
-    rows = rows.withColumns({c: F.when(hit, value).otherwise(stored[c]) for c, value in new.items()})
-    return AttendanceRun(fresh, rows.drop(*HOURS, "billed", "_known"))
+    moved = any_of([differs(F.col(f"_caps.{c}"), F.col(c)) for c in caps])
+    other = F.lit(True) if legacy_2017 else any_of([differs(stored[c], value) for c, value in new.items()])
+    written = moved | (F.coalesce(hit, F.lit(False)) & other)
+    out = {c: F.when(hit, value).otherwise(stored[c]) for c, value in new.items()}
+    rows = rows.withColumns(out | stamps(bills.columns, written, changed_at, changed_by))
+    return AttendanceRun(fresh, rows.drop(*HOURS, "billed", "_known", "_caps"))
 
 
 def split_month_cycles(cycles: DataFrame) -> DataFrame:
@@ -335,8 +346,9 @@ def generate_attendance_billing(
     """
     since = cycle["start_date"] if legacy_2017 else cycle["year_start"]
     done = update_attendance_billing(
-        bills, items, cycles, course_scenarios, scenarios, districts, legacy_2017, since, cycle["start_date"]
-    )
+        bills, items, cycles, course_scenarios, scenarios, districts, legacy_2017, since, cycle["start_date"],
+        changed_at=created_at, changed_by=created_by,
+    )
     report = attendance_report(
         done.bills, profile, districts, calendar, cycle["program_year"], cycle["start_date"], legacy_2017
     )

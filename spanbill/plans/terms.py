@@ -110,11 +110,13 @@ def term_units(credits: DataFrame, cycles: DataFrame) -> DataFrame:
 def update_term_billing(
     bills: DataFrame, items: DataFrame, calendar: DataFrame, cycles: DataFrame, districts: DataFrame,
     legacy_2017: bool = False, year: str | None = None, until_term: int | None = None,
+    changed_at: datetime | None = None, changed_by: str | None = None,
 ) -> DataFrame:
     """Bill snapshot with the generated units and days of every term in scope.
 
     Scope is one program year and the terms up to one; both are open when not
-    given. The 2017 form updates ``until_term`` alone.
+    given. The 2017 form updates ``until_term`` alone. Only bills whose values
+    change are written and stamped (NULL counts as 0); the 2017 form writes all.
     """
     if legacy_2017:
         credits = whole_year_credits(bills, items, calendar, districts)
@@ -127,7 +129,9 @@ def update_term_billing(
     missing = [c for c in UNIT_COLUMNS if c not in bills.columns]
     bills = bills.withColumns({c: F.lit(None).cast("decimal(18,4)") for c in missing})
     units = term_units(credits, cycles)
-    return apply_changes(bills, units, "bill_id", UNIT_COLUMNS, only_changed=not legacy_2017, null_as=0)
+    return apply_changes(
+        bills, units, "bill_id", UNIT_COLUMNS, changed_at, changed_by, only_changed=not legacy_2017, null_as=0
+    )
 
 
 def _amounts(bills: DataFrame, legacy_2017: bool) -> DataFrame:
@@ -270,8 +274,9 @@ def generate_term_billing(
     ``cycle`` gives cycle_id, term and program_year of the billing cycle.
     """
     fresh = update_term_billing(
-        bills, items, calendar, cycles, districts, legacy_2017, cycle["program_year"], cycle["term"]
-    )
+        bills, items, calendar, cycles, districts, legacy_2017, cycle["program_year"], cycle["term"],
+        created_at, created_by,
+    )
     report = term_report(
         fresh, profile, districts, calendar, year_max_days(cycles), cycle["program_year"], legacy_2017
     )

@@ -277,8 +277,12 @@ def test_whole_runs_register_their_report(spark, sf_dir):
     assert report.n > 0 and report.id == 77 and report.may == 0
     late = run.bills.filter("start_date > date'2014-04-01' or start_date < date'2013-07-01'")
     assert late.filter("adjusted_ind_hours is not null or small_weight is not null").count() == 0
+    assert run.bills.filter("updated_by = 'clerk'").count() > 0
+    assert run.bills.filter("start_date < date'2013-07-01' and updated_by is not null").count() == 0
     billed = run.bills.filter("generated_amount > coalesce(adjusted_days, max_days_month)").filter("program like '%Attendance' and include_flag = 1")
     assert billed.filter("adjusted_ind_hours is not null").count() == 0
     term = {"cycle_id": 201402, "term": 201402, "program_year": "2013-2014"}
     run = T.generate_term_billing(m.bills, m.items, m.cycles, m.districts, m.profile, m.calendar, term, 78, "clerk")
     assert run.report.count() > 0 and rows(run.header)[0][0] == 78
+    assert run.bills.filter("updated_by = 'clerk'").count() > 0
+    assert run.bills.filter("term > 201402 and updated_by is not null").count() == 0
