@@ -1,3 +1,117 @@
-"""DuckDB SQL for the dealt operators that SQL can express."""
+"""DuckDB SQL for the dealt operators that SQL can express.
 
-ORACLE: dict[str, str] = {}
+It follows the contracts, not the operators: positions come from running sums over pieces, windows from
+lists of following words, links from an exact prefix filter and reach. Fitted models (op2, op6), checksums that
+DuckDB lacks (op1), the tokenizer (op7), page structure (op8) and learned patterns (op10) have none.
+"""
+
+import string
+
+_UPPER, _LOWER = string.ascii_uppercase, string.ascii_lowercase
+_BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+
+def _lower(column: str) -> str:
+    return f"translate(coalesce({column}, ''), '{_UPPER}', '{_LOWER}')"
+
+
+def _either(word: str) -> str:
+    return "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in word)
+
+
+def _spans(k: int, kind: str, pattern: str, fits: str) -> str:
+    quoted = pattern.replace("'", "''")
+    return f"""
+    SELECT rid, {k} AS k, '{kind}' AS kind, last - length(hit) AS start, last AS stop FROM (
+        SELECT rid, hit, sum(length(gap) + length(hit)) OVER (PARTITION BY rid ORDER BY n)::BIGINT AS last FROM (
+            SELECT rid, unnest(string_split_regex(body, '{quoted}')) AS gap, unnest(regexp_extract_all(body, '{quoted}')) AS hit,
+                unnest(range(len(regexp_extract_all(body, '{quoted}')))) AS n
+            FROM docs) WHERE hit IS NOT NULL)
+    WHERE {fits}"""
+
+
+_NAMES = "|".join(_either(x).replace("_", "_?") for x in ("password", "passwd", "secret", "token", "api_key"))
+_HEAD = rf"""({_NAMES})["']?\x20*[:=]\x20*["']?"""
+_VALUE = (_HEAD + "[A-Za-z0-9+/_.=-]{6,}").replace("'", "''")
+_ISSUED = r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----|\bgh[pousr]_[A-Za-z0-9]{36,}|\bxox[abprs]-[A-Za-z0-9-]{10,}"
+
+LINES = f"""
+WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+lines AS (SELECT rid, doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS pos FROM docs),
+keyed AS (SELECT *, {_lower(f"trim(line, {_BLANKS})")} AS line_key FROM lines),
+common AS (
+    SELECT line_key, max(doc_id) AS last_doc FROM keyed WHERE length(line_key) >= 40
+    GROUP BY line_key HAVING count(DISTINCT rid) >= 5),
+told AS (SELECT k.*, coalesce(k.doc_id < c.last_doc, false) AS gone FROM keyed k LEFT JOIN common c ON k.line_key = c.line_key)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+    sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM told GROUP BY rid, doc_id
+"""
+
+SECRETS = f"""
+WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS body FROM documents),
+spans AS ({" UNION ALL ".join([
+    _spans(0, "assign", _HEAD + "[A-Za-z0-9+/_.=-]+", f"regexp_full_match(hit, '{_VALUE}')"),
+    _spans(1, "access", "AKIA[A-Z0-9]+", "length(hit) >= 20"),
+    _spans(2, "hex", "[0-9a-f]+", "length(hit) >= 24"),
+    _spans(3, "issued", _ISSUED, "true"),
+])}),
+texts AS (SELECT *, kind || ':' || start || ':' || stop AS span FROM spans)
+SELECT d.doc_id, count(*) FILTER (k = 0) AS n_assign, count(*) FILTER (k = 1) AS n_access, count(*) FILTER (k = 2) AS n_hex,
+    sha256(coalesce(string_agg(span, ',' ORDER BY start, k) FILTER (k < 3), '')) AS base_sha256,
+    coalesce(string_agg(span, ',' ORDER BY start, k), '') AS spans
+FROM docs d LEFT JOIN texts t ON d.rid = t.rid GROUP BY d.rid, d.doc_id
+"""
+
+_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+WINDOWS = f"""
+WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all({_lower("text")}, '{_WORD}') AS ws FROM documents),
+items AS (SELECT item_id::VARCHAR AS item_id, regexp_extract_all({_lower("text")}, '{_WORD}') AS ws FROM benchmark),
+starts AS (SELECT item_id, ws, unnest(range(1, greatest(len(ws) - 10 + 1, 1) + 1)) AS place FROM items WHERE len(ws) > 0),
+wins AS (SELECT DISTINCT item_id, least(len(ws), 10) AS n, array_to_string(ws[place:place + 9], ' ') AS win FROM starts),
+words AS (SELECT rid, unnest(ws) AS w, unnest(range(len(ws))) AS pos FROM docs),
+ahead AS (SELECT rid, pos, list(w) OVER (PARTITION BY rid ORDER BY pos ROWS BETWEEN CURRENT ROW AND 9 FOLLOWING) AS ws FROM words),
+places AS (
+    SELECT rid, pos, n, array_to_string(ws[1:n], ' ') AS win FROM ahead JOIN (SELECT DISTINCT n FROM wins) s ON len(ahead.ws) >= s.n),
+hits AS (SELECT DISTINCT rid, pos, p.n, item_id FROM places p JOIN wins w ON p.n = w.n AND p.win = w.win),
+covered AS (SELECT rid, count(DISTINCT place) AS n_hit FROM (SELECT rid, unnest(range(pos, pos + n)) AS place FROM hits) GROUP BY rid),
+named AS (
+    SELECT rid, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
+    FROM (SELECT DISTINCT rid, item_id FROM hits) GROUP BY rid)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+    sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN covered USING (rid) LEFT JOIN named USING (rid)
+"""
+
+NEAR = rf"""
+WITH RECURSIVE docs AS (SELECT doc_id, regexp_extract_all({_lower("text")}, '[^\x20\x09-\x0D]+') AS ws FROM documents),
+words AS (SELECT doc_id, unnest(ws) AS w, unnest(range(len(ws))) AS pos, len(ws) AS total FROM docs),
+pairs AS (SELECT doc_id, w, total, lead(w) OVER (PARTITION BY doc_id ORDER BY pos) AS following FROM words),
+shingles AS (
+    SELECT DISTINCT doc_id, CASE WHEN total = 1 THEN w ELSE w || ' ' || following END AS s FROM pairs
+    WHERE total = 1 OR following IS NOT NULL),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+seen AS (SELECT s, count(*) AS many FROM shingles GROUP BY s),
+ranked AS (
+    SELECT doc_id, s, n, row_number() OVER (PARTITION BY doc_id ORDER BY many, s) AS rank
+    FROM shingles JOIN sizes USING (doc_id) JOIN seen USING (s)),
+first AS (SELECT doc_id, s, n FROM ranked WHERE rank <= n - (80 * n + 99) // 100 + 1),
+met AS (
+    SELECT DISTINCT a.doc_id AS x, b.doc_id AS y, a.n AS nx, b.n AS ny FROM first a JOIN first b ON a.s = b.s AND a.doc_id < b.doc_id
+    WHERE 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)),
+links AS (
+    SELECT x, y FROM met JOIN shingles sa ON sa.doc_id = x JOIN shingles sb ON sb.doc_id = y AND sb.s = sa.s
+    GROUP BY x, y, nx, ny HAVING 100 * count(*) >= 80 * (nx + ny - count(*))),
+ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach AS (SELECT doc_id AS node, doc_id AS far FROM documents UNION SELECT r.node, w.y FROM reach r JOIN ways w ON w.x = r.far),
+least_id AS (SELECT node, min(far) AS component_id FROM reach GROUP BY node)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM documents d JOIN least_id l ON l.node = d.doc_id LEFT JOIN sizes z ON z.doc_id = d.doc_id
+"""
+
+ORACLE: dict[str, str] = {
+    "op3_line_dedup": LINES,
+    "op4_secret_scan": SECRETS,
+    "op5_decontamination": WINDOWS,
+    "op9_near_copies": NEAR,
+}
