@@ -629,6 +629,10 @@ FINAL = {
     "interval_clip": "SELECT person_id, seq, start_date, raw_end AS raw_end_date, end_date FROM clipped",
     "interval_exit_type": "SELECT person_id, seq, end_date, exit_type FROM typed",
     "exit_reason_attach": "SELECT person_id, seq, end_id, exit_reason_id, exit_reason, secondary_reason, end_note AS exit_note FROM reasoned",
+    "exit_reasons_all": """SELECT t.person_id, t.seq, t.end_id, r.reason_id AS exit_reason_id, r.reason_text AS exit_reason, s.secondary_reason, x.notes AS exit_note
+  FROM typed t LEFT JOIN status x ON x.status_id = t.end_id
+  LEFT JOIN (SELECT q.status_id, n.reason_id, n.reason_text FROM status_reason q JOIN reasons n ON n.reason_id = q.reason_id) r ON r.status_id = t.end_id
+  LEFT JOIN second_of s ON s.status_id = t.end_id""",
     "same_start_repair": "SELECT person_id, seq, program, program_detail, start_date, end_date FROM repaired",
     "asof_district": "SELECT person_id, seq, end_date, district_id, district_name, district_student_number FROM iv",
     "asof_coach": "SELECT person_id, seq, end_date, coach_id, coach_name FROM iv",
@@ -790,6 +794,11 @@ FINAL = {
   LEFT JOIN (SELECT student, max(CASE WHEN upper(subject) IN ('ESL', 'ESOL') THEN 1 ELSE 0 END) AS esl_check FROM courses GROUP BY student) s ON s.student = e.g_number
   LEFT JOIN (SELECT DISTINCT * FROM courses) k ON k.student = e.g_number""",
     "audit_update": "SELECT * EXCLUDE (mode) FROM (" + _audit("null_safe") + ")",
+    "report_register": """SELECT cycle_id, billing_type, start_date, CASE WHEN cycle_id = (SELECT max(cycle_id) FROM cycles WHERE billing_type = 'Attendance')
+  THEN CAST(1 AS BIGINT) WHEN cycle_id = (SELECT max(cycle_id) FROM cycles WHERE billing_type = 'Term') THEN CAST(2 AS BIGINT) END AS latest_report_id,
+  CASE WHEN cycle_id IN (SELECT max(cycle_id) FROM cycles WHERE billing_type IN ('Attendance', 'Term') GROUP BY billing_type) THEN 'clerk' END AS created_by
+  FROM cycles""",
+    "audit_feed": "SELECT * EXCLUDE (mode) FROM (" + _audit("null_safe") + ")",
     "audit_modes": " UNION ALL ".join(_audit(m) for m in ("null_safe", "length", "plain")),
     "audit_insert": """SELECT 'bill' AS table_name, 'bill_id' AS id_column, bill_id AS id_value, u.c AS column_name, CAST(NULL AS VARCHAR) AS old_value,
   CASE u.c WHEN 'bill_id' THEN CAST(bill_id AS VARCHAR) WHEN 'state' THEN state WHEN 'amount' THEN CAST(amount AS VARCHAR) WHEN 'priority' THEN priority

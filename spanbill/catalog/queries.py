@@ -24,8 +24,9 @@ from spanbill.plans import reports as R
 from spanbill.plans import status as B
 from spanbill.plans import terms as T
 from spanbill.plans import warehouse as P
-from spanbill.plans.billing import exit_group_date
+from spanbill.plans.billing import exit_group_date, mark_latest, report_header
 from spanbill.sources.fixtures import Domain
+from spanbill.streaming.audit_stream import audit_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -141,6 +142,13 @@ def exit_reason_attach(d):
     )
 
 
+@query
+def exit_reasons_all(d):
+    return I.attach_reason(typed(d), d.dims, every=True).select(
+        "person_id", "seq", "end_id", "exit_reason_id", "exit_reason", "secondary_reason", "exit_note"
+    )
+
+
 @query
 def same_start_repair(d):
     return I.repair_same_start(typed(d)).select(
@@ -538,6 +546,23 @@ def course_fact(d):
     return P.course_fact(d.enroll_results, d.awards, courses)
 
 
+# --- registration of report runs ----------------------------------------------------------------------
+
+
+@query
+def report_register(d):
+    """All cycles with their latest report, after a run of each kind over its last cycle."""
+    cycles, headers = d.cycles, []
+    for run, kind in enumerate(("Attendance", "Term"), start=1):
+        last = d.cycles.filter(F.col("billing_type") == kind).agg(F.max("cycle_id")).first()[0]
+        cycles = mark_latest(cycles, last, run)
+        headers.append(report_header(d.spark, run, last, "clerk"))
+    reports = headers[0].unionByName(headers[1]).select(F.col("report_id").alias("latest_report_id"), "created_by")
+    return cycles.join(reports, "latest_report_id", "left").select(
+        "cycle_id", "billing_type", "start_date", "latest_report_id", "created_by"
+    )
+
+
 # --- change audit ----------------------------------------------------------------------------------
 
 
@@ -569,10 +594,11 @@ def snapshots(d: Domain) -> tuple[DataFrame, DataFrame]:
     return old, new
 
 
-def audited(d: Domain, mode: str) -> DataFrame:
-    old, new = snapshots(d)
-    columns = ["state", "amount", "priority", "person_id"]
-    return C.audit_update(old, new, "bill_id", "bill", columns, mode=mode, changed_by="clerk").drop("changed_at")
+AUDITED = ["state", "amount", "priority", "person_id"]
+
+
+def audited(d: Domain, mode: str | tuple[str, ...]) -> DataFrame:
+    return C.audit_update(*snapshots(d), "bill_id", "bill", AUDITED, mode=mode, changed_by="clerk").drop("changed_at")
 
 
 @query
@@ -582,8 +608,14 @@ def audit_update(d):
 
 @query
 def audit_modes(d):
-    parts = [audited(d, mode).withColumn("mode", F.lit(mode)) for mode in C.MODES]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return audited(d, C.MODES)
+
+
+@query
+def audit_feed(d):
+    """The audit of a feed, over the feed read as a batch."""
+    feed = C.changes(*snapshots(d), "bill_id")
+    return audit_stream(feed, "bill_id", "bill", AUDITED, changed_by="clerk").drop("changed_at")
 
 
 @query

@@ -49,19 +49,18 @@ class HotKeys(NamedTuple):
 def find_hot_keys(df: DataFrame, key: str, limit: int | None = None) -> HotKeys | None:
     """Keys with more than ``limit`` rows, or None.
 
-    This counts one pruned column with map-side combine. The list can hold at
-    most rows / limit entries, so it is small enough to come to the driver and
-    to be broadcast.
+    This counts one pruned column with map-side combine. Only the total of the
+    hot rows comes to the driver; the list is written as a stage, and Spark
+    chooses how to join it from its size. NULL is a key like any other.
     """
     spark = df.sparkSession
     if limit is None:
         limit = int(spark.conf.get(HOT_ROWS_CONF, str(HOT_ROWS_DEFAULT)))
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > limit)
-    rows = counts.collect()
-    if not rows:
+    total = counts.agg(F.sum("n").alias("n")).first()["n"]
+    if total is None:
         return None
-    keys = spark.createDataFrame([(r[key],) for r in rows], df.select(key).schema)
-    return HotKeys(keys, max(2, math.ceil(sum(r["n"] for r in rows) / limit)))
+    return HotKeys(settle(counts.select(key)), max(2, math.ceil(total / limit)))
 
 
 def _windows(keys, order):
@@ -137,12 +136,12 @@ def _chunked(df: DataFrame, key: str, order, take: dict[str, Take], chunks: int)
     )
     forward, backward = _windows([key], ["_chunk"])
     edges = edges.select(
-        key, "_chunk", *[_carry(t, f"_{name}", forward, backward).alias(f"_{name}") for name, t in take.items()]
+        F.col(key).alias("_edge_key"), F.col("_chunk").alias("_edge_chunk"), *[_carry(t, f"_{name}", forward, backward).alias(f"_{name}") for name, t in take.items()]
     )
-    joined = scanned.join(edges, [key, "_chunk"])
+    joined = scanned.join(edges, F.col(key).eqNullSafe(F.col("_edge_key")) & (F.col("_chunk") == F.col("_edge_chunk")))
     return joined.withColumns(
         {name: _combine(t, F.col(name), F.col(f"_{name}")) for name, t in take.items()}
-    ).drop("_chunk", *[f"_{name}" for name in take])
+    ).drop("_chunk", "_edge_key", "_edge_chunk", *[f"_{name}" for name in take])
 
 
 def ordered_scan(
@@ -154,7 +153,7 @@ def ordered_scan(
     """
     if hot is None:
         return _plain(df, [key], order, take)
-    small = F.broadcast(hot.keys)
-    cold = _plain(df.join(small, key, "left_anti"), [key], order, take)
-    warm = _chunked(df.join(small, key, "left_semi"), key, order, take, hot.chunks)
+    listed, same = hot.keys.select(F.col(key).alias("_hot")), F.col(key).eqNullSafe(F.col("_hot"))
+    cold = _plain(df.join(listed, same, "left_anti"), [key], order, take)
+    warm = _chunked(df.join(listed, same, "left_semi"), key, order, take, hot.chunks)
     return cold.unionByName(warm.select(*cold.columns))

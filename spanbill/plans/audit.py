@@ -43,7 +43,7 @@ def audit_rows(
     key: str,
     table: str,
     columns: list[str],
-    mode: str,
+    mode: str | tuple[str, ...],
     changed_at: datetime | Column,
     changed_by: str | Column,
     ignore_case: bool = True,
@@ -51,24 +51,28 @@ def audit_rows(
     """One row per changed column of rows that carry ``old`` and ``new`` structs.
 
     A single generator per input row: no join, no shuffle, and it runs the same
-    over a batch and over a stream.
+    over a batch and over a stream. Several modes are judged in the same pass;
+    the result then has a column ``mode`` and a row for each that sees a change.
     """
-    if mode not in MODES:
+    modes = [mode] if isinstance(mode, str) else list(mode)
+    if not set(modes) <= set(MODES):
         raise ValueError(f"mode must be one of {MODES}")
     types = {f.name: f.dataType for f in pairs.schema["new"].dataType.fields}
     entries = []
     for name in columns:
         old, new = F.col(f"old.{name}"), F.col(f"new.{name}")
+        is_text = isinstance(types[name], StringType)
+        seen = [F.when(changed(old, new, m, is_text, ignore_case), F.lit(m)) for m in modes]
         entries.append(
             F.struct(
                 F.lit(name).alias("column_name"),
                 old.cast("string").alias("old_value"),
                 new.cast("string").alias("new_value"),
-                changed(old, new, mode, isinstance(types[name], StringType), ignore_case).alias("_changed"),
+                F.array_compact(F.array(*seen)).alias("_modes"),
             )
         )
-    moved = F.filter(F.array(*entries), lambda e: e["_changed"])
-    return (
+    moved = F.filter(F.array(*entries), lambda e: F.size(e["_modes"]) > 0)
+    rows = (
         pairs.select("new", F.explode(moved).alias("_e"))
         .select(
             F.lit(table).alias("table_name"),
@@ -80,8 +84,12 @@ def audit_rows(
             F.lit("UPDATE").alias("action"),
             (changed_at if isinstance(changed_at, Column) else F.lit(changed_at)).alias("changed_at"),
             (changed_by if isinstance(changed_by, Column) else F.lit(changed_by)).alias("changed_by"),
+            "_e._modes",
         )
     )
+    if isinstance(mode, str):
+        return rows.drop("_modes")
+    return rows.withColumn("mode", F.explode("_modes")).drop("_modes")
 
 
 def audited_columns(df: DataFrame, columns: list[str] | None, exclude) -> list[str]:
@@ -95,18 +103,21 @@ def audit_update(
     table: str,
     columns: list[str] | None = None,
     exclude=STAMPS,
-    mode: str = "null_safe",
+    mode: str | tuple[str, ...] = "null_safe",
     changed_at: datetime | Column | None = None,
     changed_by: str | Column | None = None,
     ignore_case: bool = True,
 ) -> DataFrame:
     """Audit rows for the keys that both snapshots hold."""
     names = audited_columns(new, columns, exclude)
-    wanted = list(dict.fromkeys([key, *names]))
-    pairs = old.select(F.col(key).alias("_key"), F.struct(*wanted).alias("old")).join(
+    return audit_rows(changes(old, new, key), key, table, names, mode, changed_at, changed_by, ignore_case)
+
+
+def changes(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
+    """Rows with ``old`` and ``new`` structs for the keys that both snapshots hold."""
+    return old.select(F.col(key).alias("_key"), F.struct(*old.columns).alias("old")).join(
         new.select(F.col(key).alias("_key"), F.struct(*new.columns).alias("new")), "_key"
     )
-    return audit_rows(pairs, key, table, names, mode, changed_at, changed_by, ignore_case)
 
 
 def audit_insert(

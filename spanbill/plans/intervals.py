@@ -273,10 +273,15 @@ def reason_list(secondary: DataFrame, reasons: DataFrame) -> DataFrame:
     return named.groupBy("status_id").agg(texts.alias("secondary_reason"))
 
 
-def attach_reason(rows: DataFrame, dims: Dims) -> DataFrame:
-    """Reason, note and secondary reasons of the ending status."""
-    first = dims.status_reason.groupBy("status_id").agg(F.min("reason_id").alias("exit_reason_id"))
-    named = first.join(
+def attach_reason(rows: DataFrame, dims: Dims, every: bool = False) -> DataFrame:
+    """Reason, note and secondary reasons of the ending status.
+
+    A status may have several reasons. The smallest id is used, which keeps
+    one row per interval; with ``every`` an interval has a row for each of
+    them, and one without a reason keeps its single row.
+    """
+    found = dims.status_reason.groupBy("status_id", *(["reason_id"] if every else []))
+    named = found.agg(F.min("reason_id").alias("exit_reason_id")).drop("reason_id").join(
         dims.reasons.select(F.col("reason_id").alias("exit_reason_id"), F.col("reason_text").alias("exit_reason")),
         "exit_reason_id",
     )

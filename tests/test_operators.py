@@ -45,6 +45,17 @@ def test_hot_keys_give_the_same_scan(spark):
     assert rows(plain) == rows(split)
 
 
+def test_null_and_a_key_with_half_of_the_rows_are_split(spark):
+    owner = F.when(F.col("id") % 2 == 0, F.lit(1)).when(F.col("id") % 3 != 0, F.lit(None)).otherwise(F.col("id"))
+    df = spark.range(900).select(
+        owner.cast("long").alias("person_id"), F.date_add(F.lit(date(2014, 1, 1)), (F.col("id") % 50).cast("int")).alias("at"),
+        "id", F.when(F.col("id") % 4 != 0, F.col("id") % 7).alias("v"),
+    )
+    hot = O.find_hot_keys(df, "person_id", 65)
+    assert {r.person_id for r in hot.keys.collect()} == {1, None}
+    assert rows(O.ordered_scan(df, "person_id", ["at", "id"], take(), hot)) == rows(O.ordered_scan(df, "person_id", ["at", "id"], take()))
+
+
 def test_no_hot_keys(spark):
     assert O.find_hot_keys(skewed(spark), "person_id", 1000) is None
 

@@ -50,8 +50,10 @@ def test_query(spark, con, sf_dir, name):
 
 
 @pytest.mark.parametrize(
-    "name", ["next_exit_asof", "detail_enroll_numbered", "next_transition", "same_start_repair", "build_intervals"]
-)
+    "name",
+    ["next_exit_asof", "detail_enroll_numbered", "next_transition", "earliest_end", "interval_merge", "interval_dedupe_number", "interval_clip",
+     "exit_reason_attach", "exit_reasons_all", "same_start_repair", "asof_district", "asof_coach", "build_intervals", "current_state"],
+)
 def test_query_with_hot_people(spark, con, sf_dir, name):
     spark.conf.set("spark.spanbill.hotKeyRows", "65")
     try:
