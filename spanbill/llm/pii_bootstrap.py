@@ -1,11 +1,13 @@
 """Personal data by bootstrapped contextual extraction.
 
-Seeds are what four base patterns find: e-mail and IP addresses, card and phone numbers. The word before a
-seed together with the seed's shape (runs of digits and letters) is a lexical pattern. Spark scores
-the graph of patterns and instances in rounds: a pattern's confidence is the weight of its accepted instances
-over all the places where its word stands in the corpus, an instance's score the noisy-or of its patterns. Patterns of high
-confidence that have enough distinct accepted instances extract the identifiers that stand behind their
-word with their shape, which in turn support further patterns.
+Seeds are what four base patterns find: e-mail and IP addresses, card and phone numbers. The word before an
+identifier is a lexical pattern, whatever the identifier looks like. Spark scores the graph of patterns and instances in
+rounds: a pattern's confidence is the weight of its accepted instances over all places where an identifier or
+candidate stands behind its word, an instance's score the noisy-or of what supports it. A pattern also needs enough distinct
+accepted instances, and has to have one behind its word clearly more often than words in general have a seed, so that
+frequent words that stand before seeds by chance extract nothing. Confident patterns extract all that stands behind their
+word; shapes (runs of digits and letters) that they extract, and that stand mostly behind such words, support further instances
+in the next round, and those further patterns.
 
 Spans are in code points, end exclusive. Null and empty texts have none. Rows with the same id are searched each
 for themselves; repeated rows count as further places. An empty table gives an empty result. A failing match
@@ -33,6 +35,9 @@ KINDS = [*BASE, "context"]
 _PART = r"0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
 
 ROUNDS, MIN_INSTANCES, MIN_CONFIDENCE = 3, 3, 0.6
+#: A pattern's word has accepted instances behind it so many times as often as words in general have seeds, or at such a share
+#: of its places.
+MIN_LIFT, OFTEN = 3.0, 0.3
 #: Code points before an instance in which its context word is looked for.
 REACH = 48
 
@@ -86,22 +91,35 @@ def found_pieces(docs: DataFrame) -> DataFrame:
     return placed.withColumn("start", F.col("end") - F.length("hit"))
 
 
-def score_patterns(edges: DataFrame, cover: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """(ctx, shape) of the confident patterns, from edges (ctx, shape, value, n, seed) and the number of places of each ctx."""
-    edges = settle(edges.join(cover, "ctx"))
-    scores = edges.where("seed").select("value").distinct().withColumn("score", F.lit(1.0))
-    for _ in range(rounds):
-        weighed = edges.join(scores, "value")
-        patterns = weighed.groupBy("ctx", "shape").agg(
-            (F.sum(F.col("n") * F.col("score")) / F.max("places")).alias("conf"), F.countDistinct("value").alias("instances")
+def score_patterns(edges: DataFrame, cover: DataFrame, rate: float, rounds: int = ROUNDS) -> DataFrame:
+    """ctx of the confident patterns.
+
+    From edges (ctx, shape, value, n, seed), the places of each ctx (found: with an instance behind; places: in the corpus), and the
+    number of seeds to a word of the corpus.
+    """
+    edges = settle(edges.join(bounded(cover, F.octet_length("ctx")), "ctx"))
+    seeds = edges.where("seed").select("value", F.lit(1.0).alias("score")).distinct()
+    fresh, scores = edges.where(~F.col("seed")), seeds
+    for step in range(1, rounds + 1):
+        weight = F.sum(F.col("n") * F.col("score"))
+        patterns = edges.join(scores, "value").groupBy("ctx").agg(
+            (weight / F.max("found")).alias("conf"), (weight / F.max("places")).alias("often"), F.count("*").alias("instances")
         )
-        strong = settle(patterns.where((F.col("conf") >= MIN_CONFIDENCE) & (F.col("instances") >= MIN_INSTANCES)))
-        noisy = edges.join(strong, ["ctx", "shape"]).groupBy("value").agg(
-            (1 - F.exp(F.sum(F.log(F.greatest(1 - F.least("conf", F.lit(1.0)), F.lit(1e-9)))))).alias("score")
+        good = (F.col("conf") >= MIN_CONFIDENCE) & (F.col("instances") >= MIN_INSTANCES) & (F.col("often") >= min(MIN_LIFT * rate, OFTEN))
+        strong = settle(patterns.where(good).select("ctx", F.least("conf", F.lit(1.0)).alias("conf")))
+        if step == rounds:
+            break
+        near = bounded(strong, F.octet_length("ctx"))
+        behind = F.col("conf").isNotNull()
+        shapes = fresh.join(near, "ctx", "left").groupBy("shape").agg(
+            (F.sum(F.when(behind, F.col("n")).otherwise(0)) / F.sum("n")).alias("conf"), F.countDistinct(F.when(behind, F.col("value"))).alias("instances")
         )
-        seeds = edges.where("seed").select("value", F.lit(1.0).alias("score"))
+        shapes = settle(shapes.where((F.col("conf") >= MIN_CONFIDENCE) & (F.col("instances") >= MIN_INSTANCES)).select("shape", "conf"))
+        alike = fresh.select("shape", "value").distinct().join(bounded(shapes, F.octet_length("shape")), "shape")
+        support = edges.join(near, "ctx").select("value", "conf").union(alike.select("value", "conf"))
+        noisy = support.groupBy("value").agg((1 - F.exp(F.sum(F.log(F.greatest(1 - F.col("conf"), F.lit(1e-9)))))).alias("score"))
         scores = settle(seeds.union(noisy).groupBy("value").agg(F.max("score").alias("score")))
-    return strong.select("ctx", "shape")
+    return strong.select("ctx")
 
 
 def find_personal(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
@@ -122,14 +140,18 @@ def find_personal(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     rows = rows.withColumn("kind", F.when(~clash, F.col("kind")))
     rows = settle(rows.select("row", "doc_id", "kind", "start", "end", F.col("hit").alias("value"), "ctx", shape(F.col("hit")).alias("shape")))
     seen = rows.where(F.col("kind").isNotNull() & (F.col("ctx") != ""))
-    edges = seen.groupBy("ctx", "shape", "value").agg(F.count("*").alias("n"), F.max(F.col("kind") < candidate).alias("seed"))
+    edges = settle(seen.groupBy("ctx", "shape", "value").agg(F.count("*").alias("n"), F.max(F.col("kind") < candidate).alias("seed")))
     # a pattern needs so many instances, so words with fewer can't give one
-    words = seen.groupBy("ctx").agg(F.countDistinct("value").alias("v")).where(F.col("v") >= MIN_INSTANCES).select("ctx")
-    words = settle(words)
-    places = docs.where("text is not null").select(F.explode(context_words(F.col("text"))).alias("ctx"))
-    cover = places.join(bounded(words, F.octet_length("ctx")), "ctx").groupBy("ctx").agg(F.count("*").alias("places"))
-    strong = score_patterns(edges, cover, rounds).withColumn("strong", F.lit(True))
-    spans = rows.join(bounded(strong, F.octet_length("ctx") + F.octet_length("shape")), ["ctx", "shape"], "left")
+    words = edges.groupBy("ctx").agg(F.count("*").alias("v"), F.sum("n").alias("found")).where(F.col("v") >= MIN_INSTANCES)
+    words = settle(words.select("ctx", "found"))
+    places = docs.where("text is not null").select(F.explode(context_words(F.col("text"))).alias("ctx")).where("ctx <> ''")
+    marked = places.join(bounded(words, F.octet_length("ctx")), "ctx", "left")
+    # the words that can give no pattern are one row, of null
+    cover = settle(marked.groupBy(F.when(F.col("found").isNotNull(), F.col("ctx")).alias("ctx"), "found").agg(F.count("*").alias("places")))
+    total = cover.agg(F.sum("places").alias("n")).first()["n"] or 1
+    rate = (edges.where("seed").agg(F.sum("n").alias("n")).first()["n"] or 0) / total
+    strong = score_patterns(edges, cover.where("ctx is not null"), rate, rounds).withColumn("strong", F.lit(True))
+    spans = rows.join(bounded(strong, F.octet_length("ctx")), "ctx", "left")
     kept = F.when(F.col("kind").isNotNull() & ((F.col("kind") < candidate) | F.col("strong")), F.struct("start", "kind", "end"))
     told = spans.groupBy("row").agg(F.min("doc_id").alias("doc_id"), F.collect_list(kept).alias("all"))
     base = F.filter("all", lambda s: s["kind"] < candidate)

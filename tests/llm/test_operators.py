@@ -209,6 +209,21 @@ def test_patterns_find_unseen_identifiers(spark):
     assert out[texts.index("the 12345678 end")] == "" and out[texts.index("year 1999123 is no card")] == ""
 
 
+def test_patterns_find_identifiers_of_new_shapes(spark):
+    """Shapes that no seed has: behind a word that has seeds, and in a later round behind a word that has none."""
+    cards = ("4012888888881881", "4222222222222220", "5555555555554444", "5105105105105100", "6011111111111117", "4111111111111111", "4242424242424242")
+    texts = [f"pay to account: {n} as said" for n in cards] + [f"the account is open, {w} for now" for w in "abcdefghijklmnopqrst"]
+    texts += [f"to account: GB{k}9WEST1234569876543{k}X as said" for k in (2, 3, 4)] + [f"my passport {n} here" for n in (*[f"GB{k}9WEST1234569876543{k}X" for k in (2, 3, 4)], "P1234567X")]
+    texts += ["an order 20240117-55 of it", "an order 20240118-56 of it", "an order 20240119-57 of it", "the 77778888 end"] + [f"for the {n} of it" for n in cards[:3]] + ["for the time of it"] * 60
+    out = [r.spans for r in sorted(pii_bootstrap.find_personal(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect(), key=lambda r: r.doc_id)]
+    for text, spans in zip(texts, out, strict=True):
+        at = max(text.find("GB"), text.find("P"))
+        if at >= 0:
+            assert spans == f"context:{at}:{text.index('X') + 1}", text
+        elif "order" in text or "7777" in text:
+            assert spans == "", text
+
+
 def test_empty_tables(spark, none, labels, benchmark):
     no_labels, no_items = labels.limit(0), benchmark.limit(0)
     assert sharding.shard_documents(none).count() == 0
