@@ -38,8 +38,6 @@ ROUNDS, MIN_INSTANCES, MIN_CONFIDENCE = 3, 3, 0.6
 #: A pattern's word has accepted instances behind it so many times as often as words in general have seeds, or at such a share
 #: of its places.
 MIN_LIFT, OFTEN = 3.0, 0.3
-#: Code points before an instance in which its context word is looked for.
-REACH = 48
 
 
 def luhn(digits: Column) -> Column:
@@ -75,9 +73,9 @@ def context_words(text: Column) -> Column:
 
 
 def last_word(gap: Column) -> Column:
-    """The last word of what stands before a match, empty where a break of line or nothing does."""
-    near = ascii_lower(F.right(gap, F.lit(REACH)))
-    return F.rtrim(F.regexp_extract(near, r"(?:^|[\x20\x09])([^\x20\x09-\x0D]++)[\x20\x09]*+$", 1), F.lit(":=#"))
+    """The last word of what stands before a match, whole, over blanks and breaks of line; empty where there is none."""
+    word = F.regexp_extract(gap, r"(?s)^.*(?<![^\x20\x09-\x0D])([^\x20\x09-\x0D]++)[\x20\x09-\x0D]*+\z", 1)
+    return F.rtrim(ascii_lower(word), F.lit(":=#"))
 
 
 def found_pieces(docs: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ import brute
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 from spanbill.llm import boilerplate, bpe_tree, decontaminate, line_runs, near_copies, pii_bootstrap, pu_quality, quality_rules, secrets_ledger, sharding
 from spanbill.llm.queries import PAIRS, VOCABULARY
@@ -224,6 +225,16 @@ def test_patterns_find_identifiers_of_new_shapes(spark):
             assert spans == "", text
 
 
+def test_context_words_are_whole(spark):
+    gaps = {"a card: ": "card", "Card:\r\n": "card", "a card\n\n\t": "card", "a card" + " " * 90: "card", "x " + "long" * 40 + "# ": "long" * 40, " ": "", "": "", "é Ä=": "Ä"}
+    out = spark.createDataFrame(list(gaps.items()), "gap string, want string").withColumn("ctx", pii_bootstrap.last_word(F.col("gap"))).collect()
+    assert [r.ctx for r in out] == [r.want for r in out]
+    cards = ("4012888888881881", "4222222222222220", "5555555555554444", "5105105105105100")
+    rows = list(enumerate([*[f"some words and Card:\r\n{n}" for n in cards], "more words and Card:\r\n4999999999999999"]))
+    found = {r.doc_id: r.spans for r in pii_bootstrap.find_personal(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found[4] == "context:22:38"
+
+
 def test_empty_tables(spark, none, labels, benchmark):
     no_labels, no_items = labels.limit(0), benchmark.limit(0)
     assert sharding.shard_documents(none).count() == 0
