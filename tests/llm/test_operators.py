@@ -154,6 +154,14 @@ def test_article():
     assert boilerplate.parse(PAGE)[0] == ["Head & line", "First para", "Second <x>"]
 
 
+def test_unclosed_elements_end_with_their_parent():
+    for name in ("svg", "math", "template", "noscript", "iframe", "xmp"):
+        assert boilerplate.parse(f"<article><div>one <{name}> lost</div><p>two</p></article>")[0] == ["one", "two"], name
+        assert boilerplate.parse(f"<article><p>one <{name}>a<{name}>b</{name}>c</{name}> two</p></article>")[0] == ["one", "two"], name
+    assert boilerplate.parse("<article><p>one</p><svg><path d='M0'><p>two</p></article>")[0] == ["one", "two"]
+    assert boilerplate.parse("<article><p>one</p><script>var a; <p>two</p>")[0] == ["one"]
+
+
 def test_pages(spark):
     shared = "<div><p>one two three four five six seven eight</p></div>"
     plain = [(i, "http://h.example/x", f"<html><body>{shared}<p>unique{i} text of page {i}</p></body></html>") for i in range(3)]
