@@ -162,6 +162,26 @@ def test_unclosed_elements_end_with_their_parent():
     assert boilerplate.parse("<article><p>one</p><script>var a; <p>two</p>")[0] == ["one"]
 
 
+def test_names_count_whole_and_on_containers():
+    """Parts of names make nothing main text or navigation, nor do names of headings and paragraphs."""
+    body = "<p>The body of this page is long enough to be most of its text.</p>"
+    text = "The body of this page is long enough to be most of its text."
+
+    def unmarked(page):
+        main, frame = boilerplate.parse(page)
+        return main or [x[1] for x in frame if not x[0]]
+
+    assert unmarked(f'<h1 id="main-title">Head</h1><span class="article-date">May</span><div class="content">{body}</div>') == ["Head", "May", text]
+    assert unmarked(f'<div class="main">Short</div><div class="content">{body}</div>') == ["Short", text]
+    assert boilerplate.parse(f'<div id="mainContent">{body}</div><div>Short</div>')[0] == [text]
+    kept = '<h2 id="search-and-rescue">Rescue</h2><p class="share-price">Up</p><div class="form-of-words">Form</div><p class="notice">Note</p>'
+    assert boilerplate.parse(f"<article>{kept}{body}</article>")[0] == ["Rescue", "Up", "Form", "Note", text]
+    assert boilerplate.parse(f'<article id="comment-on-the-budget">{body}</article>')[0] == [text]
+    for name in ("ad", "comments", "share-buttons", "relatedPosts", "cookie_banner", "x sidebar", "comment-12"):
+        assert boilerplate.parse(f'<article>{body}<div class="{name}">Gone</div></article>')[0] == [text], name
+    assert boilerplate.parse(f'<article class="comment" id="comment-7">Me too</article><article>{body}</article>')[0] == [text]
+
+
 def test_pages(spark):
     shared = "<div><p>one two three four five six seven eight</p></div>"
     plain = [(i, "http://h.example/x", f"<html><body>{shared}<p>unique{i} text of page {i}</p></body></html>") for i in range(3)]
