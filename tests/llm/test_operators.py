@@ -194,6 +194,31 @@ def test_pages(spark):
     )
 
 
+def test_repeats_of_a_host(spark):
+    """Whole blocks that a host repeats go, quotes and copies stay, hosts that are not there share nothing."""
+    footer, quote = "all rights of this site are reserved by us", "a quote of seven words stands here"
+    long = " ".join(f"w{i}" for i in range(40))
+
+    def page(i, *more):
+        return f"<div>{' '.join(f'own{i}x{k}' for k in range(9))}</div>" + "".join(f"<p>{m}</p>" for m in more)
+
+    def own(i):
+        return " ".join(f"own{i}x{k}" for k in range(9))
+
+    pages = [(i, "http://h.example/x", page(i, footer)) for i in range(8)]
+    pages += [(i, "http://h.example/x", page(i, f"{own(i)} says {quote} {own(i)}", footer)) for i in (8, 9, 10)]
+    pages += [(i, "http://h.example/y", page(11, footer)) for i in (11, 12, 13, 14)]
+    pages += [(i, "http://k.example/", page(i, f"{long} mark{i} of page")) for i in (20, 21, 22)]
+    pages += [(i, u, page(i, footer)) for i, u in ((30, None), (31, None), (32, None), (33, "/a"), (34, "/b"), (35, ""))]
+    pages += [(i, "http://c.example/", page(40, footer)) for i in (40, 41, 42)] + [(50, "http://h.example/z", f"<div>beside it</div><article>text</article><div>{footer}</div><div>behind</div>")]
+    pages += [(60, "http://h.example/f", f"<div>{footer}</div>")]
+    want = {i: own(i) for i in range(8)} | {i: f"{own(i)}\n{own(i)} says {quote} {own(i)}" for i in (8, 9, 10)} | dict.fromkeys((11, 12, 13, 14), own(11))
+    want |= {i: f"{own(i)}\nmark{i} of page" for i in (20, 21, 22)} | {i: f"{own(i)}\n{footer}" for i in range(30, 36)}
+    want |= dict.fromkeys((40, 41, 42), f"{own(40)}\n{footer}") | {50: "beside it\ntext\nbehind", 60: footer}
+    out = boilerplate.main_text(spark.createDataFrame(pages, "page_id long, url string, html string"))
+    assert {r.page_id: r.text for r in out.collect()} == want
+
+
 @pytest.mark.parametrize("words", [2, 5])
 def test_near_copies(docs, rows, words):
     out = near_copies.near_copies(docs, near_copies.Likeness(words, 80))
