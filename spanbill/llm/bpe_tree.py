@@ -15,7 +15,9 @@ text are matched exactly. Extra columns are not touched.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
+import re
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -25,9 +27,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from spanbill.llm.common import slices
+
 LONG_CHARS, LEAF_CHARS = 32_768, 16_384
-#: Words kept in a task's cache before it is emptied, and the longest word that is kept (bytes).
-CACHED, CACHED_BYTES = 300_000, 64
+#: Words in a generation of a worker's store, and the longest word that is kept.
+CACHED, CACHED_BYTES = 400_000, 64
 FIRST_WINDOW, AGREE = 64, 4
 
 #: Tokens as three arrays of equal length: ids, first character, end character.
@@ -45,33 +49,108 @@ def tokenizer(path: str):
     return t
 
 
+#: How the vocabulary's tokenizer cuts text; fixed values of its file. Other tokenizers encode whole texts.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+STEPS = ["NFC", "Replace", "Lowercase", "Split", "ByteLevel"]
+#: Latin-1: letters that have one lower-case letter of one byte, and bytes whose normal form is their lower case.
+_UPPER = bytes([*range(0x41, 0x5B), *(x for x in range(0xC0, 0xDF) if x != 0xD7)])
+_LOWER = bytes.maketrans(_UPPER, bytes(x + 32 for x in _UPPER))
+_EASY = bytes([*range(0x1C), *range(0x20, 0x80), *(x for x in range(0xC0, 0x100) if x not in (0xD7, 0xF7))])
+_LETTER = rb"a-z\xdf-\xf6\xf8-\xff"
+#: A run of marks, no apostrophe among them, between a letter or digit and a blank: a piece of its own.
+_MARKS = re.compile(rb"[!-&(-/:-@\[-`{-~](?<=[0-9" + _LETTER + rb"].)[!-&(-/:-@\[-`{-~]*(?=[\t-\r ])")
+_PIECE = re.compile(rb"'(?:s|t|re|ve|m|ll|d)|[" + _LETTER + rb"]+|[0-9]|[^\t-\r 0-9" + _LETTER + rb"]+")
+_BLANKS = re.compile(r"[\t-\r ]+")
+
+
 class WordEncoder:
-    """Texts to (number of ids, ids joined by blanks, decoded text)."""
+    """Texts to ids, each as the bytes of little-endian 32-bit integers.
+
+    Where the tokenizer cuts at blanks and puts a mark on each word's end, texts are encoded word by word: the easy words (whose
+    normal form is their lower case) lower-cased and cut into pieces, others whole by the library. Words are
+    kept in two generations: a full one becomes the old one, and words that are still in use move on from there.
+    """
 
     def __init__(self, path: str):
-        self.tok, self.cache = tokenizer(path), {}
-
-    def _learn(self, words: list[bytes]) -> dict[bytes, tuple[int, str, str]]:
-        encoded = self.tok.encode_batch([w.decode() for w in words], add_special_tokens=False)
-        return {w: self.render(e.ids) for w, e in zip(words, encoded, strict=True)}
-
-    def render(self, ids: list[int]) -> tuple[int, str, str]:
-        return len(ids), " ".join(map(str, ids)), self.tok.decode(ids, skip_special_tokens=False)
-
-    def __call__(self, text: bytes) -> tuple[int, str, str]:
-        words, cache = text.split(), self.cache
-        new = list({w for w in words if w not in cache})
-        if new:
-            if len(cache) > CACHED:
-                cache.clear()
-                new = list(set(words))
-            learnt = self._learn(new)
-            cache.update((w, x) for w, x in learnt.items() if len(w) <= CACHED_BYTES)
-            found = [learnt.get(w) or cache[w] for w in words]
-        else:
-            found = [cache[w] for w in words]
-        found = [x for x in found if x[0]]
-        return sum(x[0] for x in found), " ".join([x[1] for x in found]), " ".join([x[2] for x in found])
+        self.tok, self.new, self.old = tokenizer(path), {}, {}
+        with open(path, encoding="utf-8") as f:
+            said = json.load(f)
+        steps = [*(said["normalizer"] or {}).get("normalizers", []), *(said["pre_tokenizer"] or {}).get("pretokenizers", [])]
+        cut = [x for x in steps if x["type"] == "Split"]
+        self.by_word = [x["type"] for x in steps] == STEPS and cut[0]["pattern"] == {"Regex": SPLIT} and bool(said["model"]["end_of_word_suffix"])
+        self.byte_names = str.maketrans(_byte_names())
+
+    def _easy(self, word: bytes) -> bytes:
+        ids = []
+        for piece in _PIECE.findall(word):
+            name = piece.decode("latin-1").encode().decode("latin-1").translate(self.byte_names)
+            ids += [t.id for t in self.tok.model.tokenize(name)]
+        return np.array(ids, "<u4").tobytes()
+
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _words(self, text: str) -> list:
+        """Easy words as bytes, others as text."""
+        data = text.encode("latin-1", "replace")
+        if not data.translate(None, _EASY) and "<|" not in text and text.isascii() | (data.decode("latin-1") == text):
+            return _MARKS.sub(rb" \g<0>", data.translate(_LOWER)).split()
+        out = []
+        for word in _BLANKS.split(text):
+            data = word.encode("latin-1", "replace")
+            if data.translate(None, _EASY) or "<|" in word or data.decode("latin-1") != word:
+                out.append(word)
+            elif word:
+                out += _MARKS.sub(rb" \g<0>", data.translate(_LOWER) + b" ").split()
+        return out
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        if not self.by_word:
+            return self._whole(texts)
+        cut, get = [self._words(t) for t in texts], self.new.get
+        found = [list(map(get, words)) for words in cut]
+        missing = list({w for words, ids in zip(cut, found, strict=True) if None in ids for w, x in zip(words, ids, strict=True) if x is None})
+        if not missing:
+            return [b"".join(ids) for ids in found]
+        known = {w: self.old[w] for w in missing if w in self.old}
+        known.update((w, self._easy(w)) for w in missing if type(w) is bytes and w not in known)
+        hard = [w for w in missing if w not in known]
+        known.update(zip(hard, self._whole(hard), strict=True))
+        self.new.update((w, x) for w, x in known.items() if len(w) <= CACHED_BYTES)
+        if len(self.new) > CACHED:
+            self.old, self.new = self.new, {}
+        return [
+            b"".join(ids if None not in ids else [known[w] if x is None else x for w, x in zip(words, ids, strict=True)])
+            for words, ids in zip(cut, found, strict=True)
+        ]
+
+
+def _byte_names() -> dict[str, str]:
+    """The letter that stands for each byte in a byte-level vocabulary: itself where it prints, else one from 256 on."""
+    prints = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in prints]
+    return {chr(b): chr(b) for b in prints} | {chr(b): chr(256 + i) for i, b in enumerate(rest)}
+
+
+@lru_cache(2)
+def word_encoder(path: str) -> WordEncoder:
+    """One encoder, and so one store of words, for each worker process."""
+    return WordEncoder(path)
+
+
+@lru_cache(2)
+def names_of_ids(path: str) -> tuple[list[str], list[str], bool]:
+    """Each id as decimal text and as token; whether decoding is just these tokens with blanks between."""
+    tok = tokenizer(path)
+    count = max(tok.get_vocab().values()) + 1
+    return [str(i) for i in range(count)], [tok.id_to_token(i) or "" for i in range(count)], tok.decoder is None
+
+
+def render(path: str, ids: list[int]) -> tuple[int, str, str]:
+    """Number of ids, ids joined by blanks, decoded text."""
+    numbers, tokens, plain = names_of_ids(path)
+    decoded = " ".join([tokens[i] for i in ids]) if plain else tokenizer(path).decode(ids, skip_special_tokens=False)
+    return len(ids), " ".join([numbers[i] for i in ids]), decoded
 
 
 def spans(tok, text: str, start: int = 0) -> Tokens:
@@ -138,21 +217,21 @@ def encode_documents(docs: DataFrame, path: str, long_chars: int = LONG_CHARS, l
     text = F.coalesce("text", F.lit(""))
     rows = docs.select("doc_id", text.alias("text"))
 
-    def columns(found: list[tuple[int, str, str]]) -> list[pa.Array]:
-        digests = [_digest(*x) for x in found]
+    def columns(found: list[bytes]) -> list[pa.Array]:
+        ids = [np.frombuffer(x, "<u4") for x in found]
+        digests = [_digest(*render(path, x.tolist())) for x in ids]
         out = [pa.array([d[0] for d in digests], pa.int64()), pa.array([d[1] for d in digests]), pa.array([d[2] for d in digests])]
         if with_ids:
-            out.append(pa.array([np.array(x[1].split(), np.int32) for x in found], pa.list_(pa.int32())))
+            out.append(pa.array([x.astype(np.int32) for x in ids], pa.list_(pa.int32())))
         return out
 
     names = ["n_tokens", "ids_sha256", "decoded_sha256", *(["ids"] if with_ids else [])]
 
     def short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(path)
+        encoder = word_encoder(path)
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                some = batch.slice(at, 512)
-                yield pa.RecordBatch.from_arrays([some.column("doc_id"), *columns([encoder(x.as_py()) for x in some.column("text")])], names=["doc_id", *names])
+            for some in slices(batch, "text"):
+                yield pa.RecordBatch.from_arrays([some.column("doc_id"), *columns(encoder(some.column("text").to_pylist()))], names=["doc_id", *names])
 
     def leaf(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok, ints = tokenizer(path), pa.list_(pa.int32())
@@ -168,14 +247,14 @@ def encode_documents(docs: DataFrame, path: str, long_chars: int = LONG_CHARS, l
         whole = "".join(group["piece"])
         leaves = [(r.start, r.start + len(r.piece), (np.asarray(r.ids), np.asarray(r.starts), np.asarray(r.ends))) for r in group.itertuples()]
         ids = join_leaves(leaves, lambda a, b: spans(tok, whole[a:b], a))[0].tolist()
-        found = WordEncoder(path).render(ids)
+        found = render(path, ids)
         doc_id = group["doc_id"].iloc[0]
         out = [None if pd.isna(doc_id) else doc_id, *_digest(*found), *([ids] if with_ids else [])]
         return pd.DataFrame([out], columns=["doc_id", *names])
 
     schema = f"doc_id {id_type}, {RESULT}{more}"
     is_long = F.length("text") > long_chars
-    brief = rows.where(~is_long).select("doc_id", F.col("text").cast("binary").alias("text")).mapInArrow(short, schema)
+    brief = rows.where(~is_long).mapInArrow(short, schema)
     starts = F.explode(F.sequence(F.lit(0), F.length("text") - 1, F.lit(leaf_chars)))
     pieces = rows.where(is_long).withColumn("row", F.monotonically_increasing_id()).select("doc_id", "row", starts.alias("start"), "text")
     pieces = pieces.select("doc_id", "row", F.col("start").cast("long").alias("start"), F.substring("text", F.col("start") + 1, F.lit(leaf_chars)).alias("piece"))

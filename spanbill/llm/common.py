@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import string
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -80,3 +82,15 @@ def mix64(x: np.ndarray) -> np.ndarray:
         x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return x ^ (x >> np.uint64(31))
 
+
+
+def slices(batch: pa.RecordBatch, column: str, rows: int = 256, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The batch in pieces of at most so many rows and, unless it is one row, so many bytes of a text column."""
+    sizes, begin, held = [0 if n is None else n for n in pc.binary_length(batch.column(column)).to_pylist()], 0, 0
+    for i, n in enumerate(sizes):
+        if i > begin and (i - begin >= rows or held + n > limit):
+            yield batch.slice(begin, i - begin)
+            begin, held = i, 0
+        held += n
+    if begin < len(sizes):
+        yield batch.slice(begin)
