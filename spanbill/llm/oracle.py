@@ -109,9 +109,96 @@ SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, d.doc_id = componen
 FROM documents d JOIN least_id l ON l.node = d.doc_id LEFT JOIN sizes z ON z.doc_id = d.doc_id
 """
 
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+RANKED = f"""
+WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all({_lower("text")}, '{_TERM}') AS ts FROM documents),
+items AS (SELECT row_number() OVER () AS iid, item_id, regexp_extract_all({_lower("text")}, '{_TERM}') AS ts FROM benchmark),
+totals AS (SELECT count(*) AS docs, sum(len(ts))::BIGINT AS words FROM docs WHERE len(ts) > 0),
+wanted AS (SELECT iid, item_id, term, count(*) AS times FROM (SELECT iid, item_id, unnest(ts) AS term FROM items) GROUP BY ALL),
+found AS (
+    SELECT rid, doc_id, n, term, count(*) AS tf FROM (SELECT rid, doc_id, len(ts) AS n, unnest(ts) AS term FROM docs)
+    WHERE term IN (SELECT term FROM wanted) GROUP BY ALL),
+weights AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM found, totals GROUP BY term, docs),
+parts AS (SELECT rid, doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // words))) AS part FROM found JOIN weights USING (term), totals),
+scores AS (SELECT iid, item_id, rid, doc_id, sum(times * part)::BIGINT AS score FROM wanted JOIN parts USING (term) GROUP BY ALL),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY iid ORDER BY score DESC, doc_id NULLS LAST) AS place FROM scores WHERE score > 0)
+SELECT item_id, place::INTEGER AS rank, doc_id, score FROM ranked WHERE place <= 10
+"""
+
+
+def _paid(key: str, cost: str, letter: str) -> str:
+    """Keys are nine digits of cost and the letters so far, so that the least key is the cheapest and then the first in ASCII order."""
+    return f"lpad((substr({key}, 1, 9)::BIGINT + {cost})::VARCHAR, 9, '0') || substr({key}, 10) || '{letter}'"
+
+
+def _least(*keys: str) -> str:
+    return f"least({', '.join(keys)})"
+
+
+def _if(condition: str, key: str) -> str:
+    return f"CASE WHEN {condition} THEN {key} END"
+
+
+_CLOSED = f"""SELECT cid, n, k0, k1, k2, {_least("k3", _paid("k2", "2", "I"))} AS k3 FROM (
+        SELECT cid, n, k0, k1, k3, {_least("k2", *[_paid(k, "2", "I") for k in ("k0", "k1", "k3")])} AS k2 FROM paid)"""
+_KEPT, _ROLE = "NOT gone AND ini = '{}'", "NOT gone"
+_CRC = (
+    "xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(k, ''), lambda c: ord(c)::BIGINT)), lambda c, b: "
+    "list_reduce(list_prepend(xor(c, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), lambda t, z: xor(t >> 1, 3988292384::BIGINT * (t & 1)))), 4294967295::BIGINT)"
+)
+REPAIR = f"""
+WITH RECURSIVE told AS (
+    SELECT conv_id, dense_rank() OVER (ORDER BY conv_id) AS cid, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+        coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k FROM conversations),
+marked AS (SELECT *, {_CRC} % 20 AS fault FROM told),
+faulty AS (
+    SELECT cid, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
+        CASE WHEN fault = 1 THEN '' WHEN fault = 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+        unnest(CASE WHEN fault = 3 THEN [0, 1] ELSE [0] END) AS copy
+    FROM marked WHERE fault <> 0),
+ordered AS (SELECT *, row_number() OVER (PARTITION BY cid ORDER BY turn NULLS FIRST, role, md5(text), copy) AS n FROM faulty),
+seen AS (
+    SELECT *, row_number() OVER (PARTITION BY cid, role, text ORDER BY n) > 1 AS again, trim(text, {_BLANKS}) AS core,
+        CASE WHEN left(role, 1) IN ('s', 'u', 'a') THEN left(role, 1) ELSE '' END AS ini,
+        left(lag(role) OVER (PARTITION BY cid ORDER BY n), 1) || left(role, 1) AS pair
+    FROM ordered),
+rows AS MATERIALIZED (
+    SELECT *, core = '' AS blank, core <> '' AND again AS twice, core <> '' AND NOT again AND right(core, 1) NOT IN ('.', '!', '?') AS late,
+        core = '' OR again AS gone FROM seen),
+facts AS (
+    SELECT cid, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps, count(*) FILTER (blank) AS blank,
+        count(*) FILTER (twice) AS duplicate, count(*) FILTER (late) AS truncated, count(*) FILTER (n > 1 AND pair NOT IN ('su', 'ua', 'au')) AS illegal
+    FROM rows GROUP BY cid),
+paid AS (
+    SELECT cid, 0::BIGINT AS n, '000000000' AS k0, NULL::VARCHAR AS k1, NULL::VARCHAR AS k2, NULL::VARCHAR AS k3 FROM facts
+    UNION ALL
+    SELECT cid, r.n, {_paid("k0", "3", "D")},
+        {_least(_paid("k1", "3", "D"), _if(_KEPT.format("s"), _paid("k0", "late::INT", "K")))},
+        {_least(_paid("k2", "3", "D"), *[_if(_KEPT.format("u"), _paid(k, "late::INT", "K")) for k in ("k0", "k1", "k3")],
+                *[_if(_ROLE, _paid(k, "2 + late::INT", "R")) for k in ("k0", "k1", "k3")])},
+        {_least(_paid("k3", "3", "D"), _if(_KEPT.format("a"), _paid("k2", "late::INT", "K")), _if(_ROLE, _paid("k2", "2 + late::INT", "R")))}
+    FROM ({_CLOSED}) c JOIN rows r USING (cid) WHERE r.n = c.n + 1),
+best AS (SELECT cid, least(k0, k3) AS k FROM ({_CLOSED}) JOIN facts USING (cid, n)),
+audits AS (SELECT cid, substr(k, 1, 9)::BIGINT AS cost, substr(k, 10) AS audit FROM best),
+written AS (
+    SELECT cid, audit, 0 AS pos, 0::BIGINT AS used, 0 AS state, NULL::VARCHAR AS line FROM audits
+    UNION ALL
+    SELECT w.cid, audit, pos + 1, CASE WHEN letter = 'I' THEN used ELSE used + 1 END,
+        CASE WHEN letter = 'D' THEN state WHEN letter = 'K' AND r.ini = 's' THEN 1 WHEN state = 2 THEN 3 ELSE 2 END,
+        CASE letter WHEN 'I' THEN want || ':' WHEN 'K' THEN r.role || ':' || r.text WHEN 'R' THEN want || ':' || r.text END
+    FROM (SELECT *, substr(audit, pos + 1, 1) AS letter, CASE state WHEN 2 THEN 'assistant' ELSE 'user' END AS want FROM written WHERE pos < length(audit)) w
+    LEFT JOIN rows r ON r.cid = w.cid AND r.n = w.used + 1),
+texts AS (SELECT cid, sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (line IS NOT NULL), '')) AS repaired_sha256 FROM written GROUP BY cid)
+SELECT conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+    coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost, coalesce(audit, '') AS audit, coalesce(repaired_sha256, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id, cid FROM told) LEFT JOIN facts USING (cid) LEFT JOIN audits USING (cid) LEFT JOIN texts USING (cid)
+"""
+
 ORACLE: dict[str, str] = {
     "op3_line_dedup": LINES,
     "op4_secret_scan": SECRETS,
     "op5_decontamination": WINDOWS,
     "op9_near_copies": NEAR,
+    "op11_ranked_search": RANKED,
+    "op13_turn_repair": REPAIR,
 }

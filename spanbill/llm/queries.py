@@ -8,10 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanbill.llm import boilerplate, bpe_tree, decontaminate, line_runs, near_copies, pii_bootstrap, pu_quality, quality_rules, secrets_ledger, sharding
+from spanbill.llm import (
+    boilerplate, bpe_tree, decontaminate, line_runs, near_copies, pii_bootstrap, pu_quality, quality_rules, ranked_search, secrets_ledger, sharding,
+    turn_repair, wavelet,
+)
 from spanbill.llm.common import read
 
 VOCABULARY = "word_bpe_49k.json"
+#: Ends each document in the token files.
+END_ID = 2
 #: The contract of the registered query; the pipeline keeps the operator's own five words.
 PAIRS = near_copies.Likeness(words=2, percent=80)
 
@@ -62,6 +67,19 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_bootstrap.find_personal(read(spark, sf_dir, "documents"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.rank(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op12_wavelet_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = wavelet.write_files(read(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY), END_ID)
+    return wavelet.read_files(wavelet.with_starts(files))
+
+
+def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turn_repair.report(read(spark, sf_dir, "conversations"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     from corpus_pipeline import run
 
@@ -72,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_feistel_shards, op2_quality_rules, op3_line_dedup, op4_secret_scan, op5_decontamination, op6_pu_quality, op7_bpe_tree,
-        op8_main_text, op9_near_copies, op10_personal_data, pipeline,
+        op8_main_text, op9_near_copies, op10_personal_data, op11_ranked_search, op12_wavelet_files, op13_turn_repair,
+        pipeline,
     )
 }

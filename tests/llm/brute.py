@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
+import zlib
 from collections import Counter, defaultdict
 
 UPPER = str.maketrans({c: c.lower() for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"})
@@ -139,3 +141,90 @@ def near(rows: list[tuple], k: int = 2, percent: int = 80) -> list[tuple]:
         comp = least[find(i)] if sets[i] else doc
         out.append((doc, len(sets[i]), comp, doc == comp))
     return out
+
+
+def ranked(docs: list[tuple], items: list[tuple], top: int = 10) -> Counter:
+    """Counted (item, rank, doc_id, score); each row of items is a query."""
+
+    def terms(text):
+        return re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", (text or "").translate(UPPER))
+
+    held = [(doc, Counter(t), len(t)) for doc, text in docs if (t := terms(text))]
+    total, words, out = len(held), sum(n for *_, n in held), Counter()
+    for item, text in items:
+        want, scores = Counter(terms(text)), []
+        weight = {t: math.floor(1000 * math.log((2 * total + 2) / (2 * sum(t in h for _, h, _ in held) + 1))) for t in want}
+        for doc, h, n in held:
+            m = 25 + 75 * n * total // words
+            scores.append((sum(c * weight[t] * (1_000_000_000 * h[t] // (1000 * h[t] + 8 * m)) for t, c in want.items()), doc))
+        best = sorted((x for x in scores if x[0] > 0), key=lambda x: (-x[0], x[1] is None, x[1] or 0))[:top]
+        out.update((item, i + 1, doc, s) for i, (s, doc) in enumerate(best))
+    return out
+
+
+def damaged(rows: list[tuple]) -> list[tuple]:
+    """(conv_id, turn, role, text) after damage."""
+    out = []
+    for conv, turn, role, text in rows:
+        key = f"{' ' if conv is None else conv}:{' ' if turn is None else turn}"
+        kind = zlib.crc32(key.encode()) % 20
+        role, text = " " if role is None else role, " " if text is None else text
+        text = "" if kind == 1 else re.sub(r"[.!?]", "", text) if kind == 2 else text
+        role = "user" if kind == 4 else role
+        out += [(conv, turn, role, text)] * (0 if kind == 0 else 2 if kind == 3 else 1)
+    return out
+
+
+def cheapest(rows: list[tuple]) -> tuple[int, str]:
+    """Cost and letters for (initial, must go, truncated) rows: the least of all ways, kept by state."""
+    step = {("", "s"): "s", ("", "u"): "u", ("s", "u"): "u", ("a", "u"): "u", ("u", "a"): "a"}
+
+    def with_insertions(ways):
+        for _ in range(3):
+            for state, (cost, letters) in list(ways.items()):
+                for role in "ua":
+                    to = step.get((state, role))
+                    if to is not None:
+                        ways[to] = min(ways.get(to, (10**9, "")), (cost + 2, letters + "I"))
+        return ways
+
+    ways = with_insertions({"": (0, "")})
+    for initial, gone, late in rows:
+        after = {}
+        for state, (cost, letters) in ways.items():
+            options = [(state, cost + 3, "D")]
+            if not gone:
+                options += [(step.get((state, initial)), cost + late, "K"), *((step.get((state, r)), cost + 2 + late, "R") for r in "ua")]
+            for to, c, letter in options:
+                if to is not None:
+                    after[to] = min(after.get(to, (10**9, "")), (c, letters + letter))
+        ways = with_insertions(after)
+    return min(ways[s] for s in ("", "a") if s in ways)
+
+
+def turn_repairs(rows: list[tuple]) -> Counter:
+    """Counted rows of the report: conv_id, gaps, blank, duplicate, truncated, illegal, cost, audit, digest."""
+    convs, out = {r[0]: [] for r in rows}, Counter()
+    for r in damaged(rows):
+        convs[r[0]].append(r[1:])
+    for conv, turns in convs.items():
+        turns.sort(key=lambda r: (r[0] is not None, r[0] or 0, r[1], hashlib.md5(r[2].encode()).hexdigest()))
+        faults, seen = [], set()
+        for _, role, text in turns:
+            core = text.strip(BLANKS)
+            faults.append(1 if not core else 2 if (role, text) in seen else 3 if core[-1] not in ".!?" else 0)
+            seen.add((role, text))
+        known = [t for t, *_ in turns if t is not None]
+        gaps = max(known) - min(known) + 1 - len(set(known)) if known else 0
+        illegal = sum(a[1][:1] + b[1][:1] not in ("su", "ua", "au") for a, b in zip(turns, turns[1:]))
+        cost, audit = cheapest([(r[1][:1] or "-", f in (1, 2), f == 3) for r, f in zip(turns, faults)])
+        lines, at = [], 0
+        for letter in audit:
+            want = "assistant" if lines and lines[-1].startswith("u") else "user"
+            if letter in "KR":
+                lines.append(f"{turns[at][1] if letter == 'K' else want}:{turns[at][2]}")
+            elif letter == "I":
+                lines.append(f"{want}:")
+            at += letter != "I"
+        out[conv, gaps, *(faults.count(k) for k in (1, 2, 3)), illegal, cost, audit, sha("\n".join(lines))] += 1
+    return out
