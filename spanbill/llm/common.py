@@ -19,6 +19,11 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def with_row(docs: DataFrame, without: list[str] = ()) -> DataFrame:
+    """doc_id, text, and the row itself as one struct, so that none of its columns can clash with an operator's own."""
+    return docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in without]).alias("row"))
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z lower-cased, all other characters untouched. Text of ASCII alone takes the quick built-in."""
     return F.when(F.length(text) == F.octet_length(text), F.lower(text)).otherwise(

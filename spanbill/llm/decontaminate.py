@@ -17,7 +17,7 @@ import functools
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spanbill.llm.common import ascii_lower, bounded, text_hash
+from spanbill.llm.common import ascii_lower, bounded, text_hash, with_row
 from spanbill.operators.stage import settle
 
 SIZE = 10
@@ -106,15 +106,17 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = SIZE, block
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, size: int = SIZE) -> DataFrame:
     """docs without the hit words, each removed with the characters up to the next word. Clean rows stay as they are."""
-    found = settle(contamination(docs.select("doc_id", "text"), benchmark, size).where("contaminated").select(F.col("doc_id").alias("_doc"), F.col("th").alias("_th"), F.col("spans").alias("_spans")).dropDuplicates(["_doc", "_th"]))
-    found = bounded(found, 24 * F.size("_spans") + 16)
-    keyed = docs.withColumn("_h", text_hash(F.col("text")))
-    joined = keyed.join(found, keyed["doc_id"].eqNullSafe(found["_doc"]) & (keyed["_h"] == found["_th"]), "left")
-    hit = F.array_distinct(F.flatten(F.transform("_spans", lambda s: F.sequence(s["pos"], s["pos"] + s["len"] - 1))))
+    found = contamination(docs.select("doc_id", "text"), benchmark, size).where("contaminated")
+    found = settle(found.select(F.col("doc_id").alias("doc"), "th", "spans").dropDuplicates(["doc", "th"]))
+    found = bounded(found, 24 * F.size("spans") + 16)
+    keyed = with_row(docs).withColumn("h", text_hash(F.col("text")))
+    joined = keyed.join(found, keyed["doc_id"].eqNullSafe(found["doc"]) & (keyed["h"] == found["th"]), "left")
+    hit = F.array_distinct(F.flatten(F.transform("spans", lambda s: F.sequence(s["pos"], s["pos"] + s["len"] - 1))))
     parts = (
-        joined.withColumn("_words", F.when(F.col("_spans").isNotNull(), F.array_remove(F.split("text", ANY_SEPARATOR, -1), "")))
-        .withColumn("_gaps", F.when(F.col("_spans").isNotNull(), F.split("text", ANY_WORD, -1)))
-        .withColumn("_stay", F.array_except(F.sequence(F.lit(0), F.size("_words") - 1), hit))
+        joined.withColumn("words", F.when(F.col("spans").isNotNull(), F.array_remove(F.split("text", ANY_SEPARATOR, -1), "")))
+        .withColumn("gaps", F.when(F.col("spans").isNotNull(), F.split("text", ANY_WORD, -1)))
+        .withColumn("stay", F.array_except(F.sequence(F.lit(0), F.size("words") - 1), hit))
     )
-    rest = F.concat(F.get("_gaps", F.lit(0)), F.array_join(F.transform("_stay", lambda i: F.concat(F.get("_words", i), F.get("_gaps", i + 1))), ""))
-    return parts.withColumn("text", F.when(F.col("_spans").isNull(), F.col("text")).otherwise(rest)).select(*docs.columns)
+    rest = F.concat(F.get("gaps", F.lit(0)), F.array_join(F.transform("stay", lambda i: F.concat(F.get("words", i), F.get("gaps", i + 1))), ""))
+    text = F.when(F.col("spans").isNull(), F.col("text")).otherwise(rest)
+    return parts.select(F.col("row").withField("text", text).alias("row")).select("row.*")

@@ -22,7 +22,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanbill.llm.common import ascii_lower, bounded, text_hash
+from spanbill.llm.common import ascii_lower, bounded, text_hash, with_row
 from spanbill.operators.stage import ensure_checkpoint_dir, settle
 
 MIN_CHARS, MIN_DOCS, BATCHES, FANOUT = 40, 5, 4, 3
@@ -133,19 +133,18 @@ def dropped_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = M
 def drop_lines(docs: DataFrame, **options) -> DataFrame:
     """docs with kept_text, n_lines and n_dropped."""
     gone = dropped_lines(docs.select("doc_id", "text"), **options)
-    gone = bounded(gone.select(F.col("doc").alias("_doc"), F.col("th").alias("_th"), F.col("dropped").alias("_dropped")), 4 * F.size("_dropped") + 16)
-    keyed = docs.drop("kept_text", "n_lines", "n_dropped").withColumn("_h", text_hash(F.col("text")))
-    joined = keyed.join(gone, keyed["doc_id"].eqNullSafe(gone["_doc"]) & (keyed["_h"] == gone["_th"]), "left")
-    lines = F.split(F.coalesce("text", F.lit("")), "\n", -1)
-    stay = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), "_dropped")
-    kept = F.array_join(F.transform(stay, lambda i: F.get("_lines", i)), "\n")
-    return (
-        joined.withColumn("_lines", lines)
-        .withColumn("n_lines", F.size("_lines").cast("long"))
-        .withColumn("n_dropped", F.coalesce(F.size("_dropped"), F.lit(0)).cast("long"))
-        .withColumn("kept_text", F.when(F.col("_dropped").isNull(), F.coalesce("text", F.lit(""))).otherwise(kept))
-        .drop("_h", "_doc", "_th", "_dropped", "_lines")
+    gone = bounded(gone, 4 * F.size("dropped") + 16)
+    keyed = with_row(docs, ["kept_text", "n_lines", "n_dropped"]).withColumn("h", text_hash(F.col("text")))
+    joined = keyed.join(gone, keyed["doc_id"].eqNullSafe(gone["doc"]) & (keyed["h"] == gone["th"]), "left")
+    joined = joined.withColumn("lines", F.split(F.coalesce("text", F.lit("")), "\n", -1))
+    stay = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "dropped")
+    kept = F.array_join(F.transform(stay, lambda i: F.get("lines", i)), "\n")
+    told = F.struct(
+        F.size("lines").cast("long").alias("n_lines"),
+        F.coalesce(F.size("dropped"), F.lit(0)).cast("long").alias("n_dropped"),
+        F.when(F.col("dropped").isNull(), F.coalesce("text", F.lit(""))).otherwise(kept).alias("kept_text"),
     )
+    return joined.select("row", told.alias("told")).select("row.*", "told.*")
 
 
 __all__ = ["LineRuns", "line_keys", "line_rows", "dropped_lines", "drop_lines"]

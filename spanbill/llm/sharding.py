@@ -77,31 +77,33 @@ def number_rows(df: DataFrame, order: list[Column]) -> tuple[DataFrame, int]:
     one count each. A last order column, the place at which a row was read, lets a run of equal rows
     be split over several partitions.
     """
-    salted = df.withColumn("_read", F.monotonically_increasing_id())
-    ranked = salted.repartitionByRange(*order, F.col("_read")).sortWithinPartitions(*order, F.col("_read"))
-    rows = settle(ranked.drop("_read").withColumn("_place", F.monotonically_increasing_id()))
-    part = F.shiftright("_place", _LOW_BITS)
-    counts = rows.groupBy(part.alias("_part")).agg(F.count("*").alias("_rows"))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
-    starts = counts.select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
-    inside = F.col("_place") - F.shiftleft(part, _LOW_BITS)
-    numbered = rows.withColumn("_part", part).join(F.broadcast(starts), "_part").withColumn("row_no", F.col("_start") + inside)
-    return numbered.drop("_part", "_place", "_start"), rows.count()
+    keys = [f"o{i}" for i in range(len(order))]
+    whole = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")
+    salted = df.select(whole, *[o.alias(k) for o, k in zip(order, keys, strict=True)], F.monotonically_increasing_id().alias("read"))
+    ranked = salted.repartitionByRange(*keys, "read").sortWithinPartitions(*keys, "read")
+    rows = settle(ranked.select("row", F.monotonically_increasing_id().alias("place")))
+    part = F.shiftright("place", _LOW_BITS)
+    counts = rows.groupBy(part.alias("part")).agg(F.count("*").alias("rows"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
+    starts = counts.select("part", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("start"))
+    inside = F.col("place") - F.shiftleft(part, _LOW_BITS)
+    numbered = rows.withColumn("part", part).join(F.broadcast(starts), "part").select("row", (F.col("start") + inside).alias("row_no"))
+    return numbered.select("row.*", "row_no"), rows.count()
 
 
 def shard_rows(df: DataFrame, shards: int, order: list[Column], seed: int) -> DataFrame:
     """df with row_no, shard (int) and slot (long)."""
-    numbered, n = number_rows(df.drop("row_no", "shard", "slot"), order)
+    df = df.drop("row_no", "shard", "slot")
+    numbered, n = number_rows(df, order)
 
     @F.pandas_udf("long")
     def place(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for rows in batches:
             yield pd.Series(permute(rows.to_numpy(), max(n, 1), seed))
 
-    placed = numbered.withColumn("_to", place("row_no"))
-    return placed.withColumns(
-        {"shard": F.pmod("_to", F.lit(shards)).cast("int"), "slot": F.expr(f"_to div {shards}")}
-    ).drop("_to")
+    placed = numbered.select(F.struct(*[F.col(f"`{c}`") for c in numbered.columns]).alias("row"), place("row_no").alias("to"))
+    spot = F.struct(F.pmod("to", F.lit(shards)).cast("int").alias("shard"), F.expr(f"`to` div {shards}").alias("slot"))
+    return placed.select("row", spot.alias("spot")).select("row.*", "spot.*")
 
 
 def document_sizes(docs: DataFrame) -> DataFrame:

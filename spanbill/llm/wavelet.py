@@ -5,7 +5,7 @@ is parted, zeros before ones, order kept. Ranks on the planes give the number at
 a place, and the place of a number's k-th occurrence, each in one step a plane, without unpacking the rest.
 
 A file holds a header, for each plane the number of its zeros and a directory with the place and the count of ones before every chunk,
-the chunks of 32,768 bits, each packed by zlib, and the ends of the documents. Reading a place unpacks one chunk a plane.
+the chunks of 32,768 bits, each packed by zstd, and the ends of the documents. Reading a place unpacks one chunk a plane.
 
 Documents are range partitioned on their id, cut into ids task by task, and written in ascending order: a shard is closed when it
 holds `shard_ids` ids, a document is never cut. Ids of rows before it follow from one sum a partition. Null ids come first. A null or
@@ -22,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -32,7 +33,7 @@ from spanbill.operators.stage import settle
 
 MAGIC, VERSION = b"WVMX", 1
 #: Bits of a chunk, and ids after which a shard is closed.
-CHUNK, SHARD_IDS = 32_768, 4 << 20
+CHUNK, SHARD_IDS = 32_768, 1 << 20
 _HEADER = struct.Struct("<4sIQQIQ")  # magic, version, ids, documents, planes, bytes of the ends
 
 
@@ -40,18 +41,19 @@ def build(ids: np.ndarray, ends: np.ndarray) -> bytes:
     """The file of a sequence of ids and of the place after each document's last id."""
     n, planes = len(ids), max(1, int(ids.max()).bit_length()) if len(ids) else 1
     now = ids.astype(np.uint16 if planes <= 16 else np.uint32)
-    heads, bodies = [], []
+    heads, bodies, pack = [], [], zstandard.ZstdCompressor(level=1)
     for bit in range(planes - 1, -1, -1):
-        ones = (now >> bit & 1).astype(bool)
+        ones = (now & (1 << bit)).astype(bool)
         packed = np.packbits(ones, bitorder="little")
-        body = [zlib.compress(packed[at : at + CHUNK // 8].tobytes(), 1) for at in range(0, len(packed), CHUNK // 8)]
+        body = [pack.compress(packed[at : at + CHUNK // 8].tobytes()) for at in range(0, len(packed), CHUNK // 8)]
         places = np.cumsum([0, *map(len, body)])
-        before = np.cumsum([0, *(int(x) for x in np.add.reduceat(ones, np.arange(0, n, CHUNK), dtype=np.int64))]) if n else np.zeros(1, int)
+        counts = [int(np.bitwise_count(packed[at : at + CHUNK // 8]).sum()) for at in range(0, len(packed), CHUNK // 8)]
+        before = np.cumsum([0, *counts])
         heads.append(struct.pack("<Q", n - int(before[-1])) + places.astype("<u8").tobytes() + before.astype("<u8").tobytes())
         bodies.append(b"".join(body))
         if bit:
             now = np.concatenate([now[~ones], now[ones]])
-    last = zlib.compress(np.diff(ends, prepend=0).astype("<u8").tobytes(), 1)
+    last = pack.compress(np.diff(ends, prepend=0).astype("<u8").tobytes())
     return b"".join([_HEADER.pack(MAGIC, VERSION, n, len(ends), planes, len(last)), *heads, *bodies, last])
 
 
@@ -62,7 +64,7 @@ class WaveletFile:
         magic, version, self.n, self.documents, self.planes, last = _HEADER.unpack_from(data)
         if magic != MAGIC or version != VERSION:
             raise ValueError("not a wavelet matrix file of this version")
-        self.data, self.chunks = data, -(-self.n // CHUNK)
+        self.data, self.chunks, self.unpack = data, -(-self.n // CHUNK), zstandard.ZstdDecompressor().decompress
         at, step, self.zeros, self.places, self.ones = _HEADER.size, 8 * (self.chunks + 1), [], [], []
         for _ in range(self.planes):
             self.zeros.append(struct.unpack_from("<Q", data, at)[0])
@@ -72,14 +74,14 @@ class WaveletFile:
         for places in self.places:
             places += at
             at = int(places[-1])
-        self.ends = np.cumsum(np.frombuffer(zlib.decompress(data[at : at + last]), "<u8").astype(np.int64))
+        self.ends = np.cumsum(np.frombuffer(self.unpack(data[at : at + last]), "<u8").astype(np.int64))
         self.kept = {}
 
     def _bits(self, plane: int, chunk: int) -> np.ndarray:
         if (plane, chunk) not in self.kept:
             if len(self.kept) >= 4 * self.planes:
                 self.kept.clear()
-            raw = zlib.decompress(self.data[self.places[plane][chunk] : self.places[plane][chunk + 1]])
+            raw = self.unpack(self.data[self.places[plane][chunk] : self.places[plane][chunk + 1]])
             size = min(CHUNK, self.n - chunk * CHUNK)
             self.kept[plane, chunk] = np.unpackbits(np.frombuffer(raw, np.uint8), count=size, bitorder="little")
         return self.kept[plane, chunk]
@@ -133,14 +135,15 @@ class WaveletFile:
 
     def ids(self) -> np.ndarray:
         """The whole sequence, plane by plane from the lowest."""
-        out = np.zeros(self.n, np.uint32)
+        kind = np.uint16 if self.planes <= 16 else np.uint32
+        out = np.zeros(self.n, kind)
         for plane in range(self.planes - 1, -1, -1):
-            raw = b"".join(zlib.decompress(self.data[a:b]) for a, b in zip(self.places[plane], self.places[plane][1:], strict=False))
+            raw = b"".join(self.unpack(self.data[a:b]) for a, b in zip(self.places[plane], self.places[plane][1:], strict=False))
             ones = np.unpackbits(np.frombuffer(raw, np.uint8), count=self.n, bitorder="little").astype(bool)
             now, zeros = np.empty_like(out), self.zeros[plane]
-            now[~ones], now[ones] = out[:zeros], out[zeros:] | np.uint32(1 << self.planes - 1 - plane)
+            now[~ones], now[ones] = out[:zeros], out[zeros:] | kind(1 << self.planes - 1 - plane)
             out = now
-        return out
+        return out.astype(np.uint32)
 
     def document(self, k: int) -> np.ndarray:
         """Ids of the k-th document, by access alone."""

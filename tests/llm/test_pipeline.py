@@ -7,8 +7,9 @@ from collections import Counter
 import brute
 import corpus_pipeline
 import public_tokenizers
+from pyspark.sql import functions as F
 
-from spanbill.llm import bpe_tree, pu_quality
+from spanbill.llm import bpe_tree, decontaminate, line_runs, near_copies, pu_quality, sharding
 
 
 def test_stages(spark, sf_dir, tmp_path):
@@ -49,5 +50,22 @@ def test_clashing_columns(spark, docs, sf_dir):
         stage(spark, frame, sf_dir).write.format("noop").mode("overwrite").save()
 
 
+NAMES = ["_h", "_r", "_k", "_doc", "_th", "_spans", "_words", "_gaps", "_stay", "_lines", "_dropped", "_part", "_place", "_row", "_read", "_rows", "_start", "_to",
+         "row", "h", "r", "k", "doc", "th", "spans", "words", "gaps", "stay", "lines", "dropped", "part", "place", "read", "start", "to", "o0", "node", "comp"]
+
+
+def test_columns_with_internal_names_keep_their_values(spark, docs, benchmark):
+    frame = docs.select("doc_id", "text", *[F.lit(f"own {n}").alias(n) for n in NAMES])
+    made = {
+        "keep_one": near_copies.keep_one(frame),
+        "remove_spans": decontaminate.remove_spans(frame, benchmark),
+        "drop_lines": line_runs.drop_lines(frame),
+        "shard_rows": sharding.shard_rows(frame, 3, [F.col("doc_id"), F.xxhash64("text")], 1),
+    }
+    for name, out in made.items():
+        values = out.select(*NAMES).distinct().collect()
+        assert [list(v) for v in values] == [[f"own {n}" for n in NAMES]], name
+
+
 def test_run(spark, sf_dir):
     assert corpus_pipeline.run(spark, sf_dir).count() > 0
