@@ -565,7 +565,7 @@ def _quarters() -> str:
     return ", ".join(out)
 
 
-def _term_report(tag: str) -> str:
+def _term_report(tag: str, only: str = "") -> str:
     group = "exit_group" if not tag else "enrolled_date"
     left = "min(exit_group)" if not tag else "max(exit_date)"
     other = "max(other_days)" if not tag else "any_value(other_days)"
@@ -581,11 +581,11 @@ def _term_report(tag: str) -> str:
   FROM (SELECT a.*, p.first_name, p.last_name, d.district_name, o.other_days, {exit_group}
     FROM ta{tag} a JOIN contact p ON p.person_id = a.person_id JOIN districts d ON d.district_id = a.district_id
     LEFT JOIN oth{tag} o ON o.person_id = a.person_id AND o.district_id = a.district_id AND o.program_year = a.program_year AND o.program = a.program
-    WHERE lower(a.program) NOT LIKE '%attendance%')
+    WHERE lower(a.program) NOT LIKE '%attendance%' {only})
   GROUP BY first_name, last_name, {group}, g_number, program, district_name, program_year{extra}"""
 
 
-def _attendance_report(tag: str) -> str:
+def _attendance_report(tag: str, only: str = "") -> str:
     amount = "b.generated_amount" if not tag else "coalesce(post_amount, final_amount, corrected_amount, generated_amount)"
     group = "exit_group" if not tag else "enrolled_date"
     left = "min(exit_group)" if not tag else "max(exit_date)"
@@ -597,10 +597,30 @@ def _attendance_report(tag: str) -> str:
   SELECT b.*, c.program_year, p.first_name, p.last_name, d.district_name, {amount} AS amount,
     (SELECT min(z.exit_date) FROM bills z WHERE z.g_number = b.g_number AND z.start_date >= b.start_date) AS exit_group
   FROM ab{tag} b JOIN contact p ON p.person_id = b.person_id JOIN districts d ON d.district_id = b.district_id JOIN calendar c ON c.term = b.term
-  WHERE lower(b.program) LIKE '%attendance%' AND include_flag = 1 {zero}) b
+  WHERE lower(b.program) LIKE '%attendance%' AND include_flag = 1 {zero} {only}) b
   GROUP BY last_name, first_name, g_number, {group}, district_name, program, program_year"""
 
 
+def _numbered(report: str) -> str:
+    order = "last_name, first_name, g_number, program_year, program, district_name, exit_date NULLS FIRST, entry_date"
+    return f"SELECT *, row_number() OVER (ORDER BY {order}) AS row_no FROM ({report})"
+
+
+def _last(kind: str, column: str) -> str:
+    return f"(SELECT arg_max({column}, cycle_id) FROM cycles WHERE billing_type = '{kind}')"
+
+
+def _filed(report: str, kind: str, run: int) -> str:
+    return f"SELECT r.*, {_last(kind, 'cycle_id')} AS cycle_id, CAST({run} AS BIGINT) AS report_id, 'clerk' AS created_by FROM ({report}) r"
+
+
+_LABELLED = {
+    "row_no": "Row", "g_number": "Student Number", "first_name": "First Name", "last_name": "Last Name", "email_main": "Email",
+    "email_alt": "Other Email", "district_name": "District in Range", "ssid": "District Student Number", "start_in_range": "Enrolled in Range",
+    "end_in_range": "Left in Range", "program_detail": "Program in Range", "coach_name": "Coach in Range", "current_status": "Status Now",
+    "current_start": "Enrolled Now", "current_end": "Left Now", "last_school": "Last School",
+}
+
 IV = """person_id, seq, g_number, program, program_detail, start_date, end_date, exit_type, exit_reason_id, exit_reason, secondary_reason,
  exit_note, district_id, district_name, district_student_number, coach_id, coach_name"""
 PERSON = "p.person_id, p.g_number, p.first_name, p.last_name, p.email_main, p.email_alt"
@@ -817,5 +837,17 @@ FINAL = {
 }
 
 
+FINAL |= {
+    "attendance_report_sorted": _numbered(FINAL["attendance_report"]),
+    "attendance_run": _filed(
+        _attendance_report("", f"AND c.program_year = {_last('Attendance', 'program_year')} AND b.start_date <= {_last('Attendance', 'start_date')}"), "Attendance", 7
+    ),
+    "term_run": _filed(_term_report("", f"AND a.program_year = {_last('Term', 'program_year')}"), "Term", 8),
+    "reporting_rebuild": FINAL["person_summary"],
+    "active_report": "SELECT " + ", ".join(f'{c} AS "{label}"' for c, label in _LABELLED.items())
+    + f" FROM (SELECT *, row_number() OVER (ORDER BY last_name, first_name, person_id) AS row_no FROM ({FINAL['active_during']}))",
+}
+
+
 def oracle_sql() -> dict[str, str]:
     return {name: sql(text) for name, text in FINAL.items()}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import date
 from functools import partial
@@ -15,17 +16,19 @@ from spanbill.operators.asof import next_after
 from spanbill.operators.ordered import HotKeys, find_hot_keys
 from spanbill.operators.periods import date_to_period
 from spanbill.operators.snapshots import changed_only
-from spanbill.operators.stage import settle
+from spanbill.operators.stage import ensure_checkpoint_dir, settle
 from spanbill.plans import attendance as A
 from spanbill.plans import audit as C
 from spanbill.plans import intervals as I
 from spanbill.plans import lookups as L
 from spanbill.plans import reports as R
+from spanbill.plans import runs as W
 from spanbill.plans import status as B
 from spanbill.plans import terms as T
 from spanbill.plans import warehouse as P
 from spanbill.plans.billing import exit_group_date, mark_latest, report_header
 from spanbill.sources.fixtures import Domain
+from spanbill.sources.published import Published
 from spanbill.streaming.audit_stream import audit_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -563,6 +566,68 @@ def report_register(d):
     )
 
 
+def tables_folder(d: Domain) -> str:
+    return f"{ensure_checkpoint_dir(d.spark)}/tables-{uuid.uuid4().hex}"
+
+
+def sorted_table(d: Domain, df: DataFrame, order: list[str]) -> Published:
+    """A result filed in order, read back by row number."""
+    table = Published(d.spark, tables_folder(d), "sorted")
+    table.replace(df, order)
+    return table
+
+
+@query
+def attendance_report_sorted(d):
+    report = A.attendance_report(attended(d).bills, d.profile, d.districts, d.calendar)
+    return sorted_table(d, report, W.REPORT_ORDER).numbered()
+
+
+@query
+def active_report(d):
+    """Active people under the report's labels, filed by name."""
+    report = R.active_during(intervals(d), d.contact, date(2014, 1, 1), date(2016, 1, 1))
+    order = ["last_name", "first_name", "person_id"]
+    return R.labelled(sorted_table(d, report, order).numbered())
+
+
+@query
+def attendance_run(d):
+    """Two runs over the last attendance cycle under one id, filed and read back: the rows of one run."""
+    d.store("bills")
+    root, cycle = tables_folder(d), W.last_cycle(d.cycles, "attendance")
+    for _ in range(2):
+        run = A.generate_attendance_billing(
+            d.bills, d.items, d.cycles, d.course_scenarios, d.scenario_dim, d.districts, d.profile, d.calendar, cycle, 7, "clerk"
+        )
+        W.publish_run(run, d.spark, root, "attendance", 7)
+    return filed(d, root, "attendance")
+
+
+@query
+def term_run(d):
+    """As attendance_run, for term bills."""
+    d.store("bills")
+    root, cycle = tables_folder(d), W.last_cycle(d.cycles, "term")
+    for _ in range(2):
+        run = T.generate_term_billing(d.bills, d.items, d.cycles, d.districts, d.profile, d.calendar, cycle, 8, "clerk")
+        W.publish_run(run, d.spark, root, "term", 8)
+    return filed(d, root, "term")
+
+
+def filed(d: Domain, root: str, kind: str) -> DataFrame:
+    """Report rows with the cycle that points to their run."""
+    cycles = Published(d.spark, root, "cycles").read().select("cycle_id", F.col("latest_report_id").alias("report_id"))
+    return W.filed_reports(d.spark, root, kind).join(cycles, ["cycle_id", "report_id"])
+
+
+@query
+def reporting_rebuild(d):
+    """The person table of a rebuild, read from the published table."""
+    spans = settle(intervals(d))
+    return W.rebuild_reporting(d.spark, tables_folder(d), spans, d.contact, profile(d), d.calendar, facts(d))[1].read()
+
+
 # --- change audit ----------------------------------------------------------------------------------
 
 

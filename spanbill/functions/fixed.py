@@ -66,26 +66,27 @@ GRADE_POINTS = {"A": 4, "B": 3, "C": 2, "D": 1, "F": 0}
 # --- fixed values: term labels ----------------------------------------------------
 SEASONS = {1: "-Winter", 2: "-Spring", 3: "-Summer", 4: "-Fall"}
 
-# --- fixed values: display labels of report columns -------------------------------
+# --- labels of report columns ----------------------------------------------------
 DISPLAY_LABELS = {
-    "g_number": "Banner G Number",
+    "row_no": "Row",
+    "g_number": "Student Number",
     "first_name": "First Name",
     "last_name": "Last Name",
-    "email_main": "Email PCC",
-    "email_alt": "Email Alternate",
-    "district_name": "School District During Timeframe",
-    "start_in_range": "Last Enroll in Timeframe",
-    "end_in_range": "Last Exit in Timeframe",
-    "program_detail": "Program During Timeframe",
-    "coach_name": "Coach During Timeframe",
-    "current_status": "Current Status",
-    "current_start": "Current Enroll Date",
-    "current_end": "Current Exit Date",
-    "last_school": "Last HS Attended",
-    "ssid": "Student District Number",
-    "exit_reason": "Exit Reason",
-    "secondary_reason": "Secondary Exit Reason",
-    "exit_note": "Exit Note",
-    "dob": "Date of Birth",
+    "email_main": "Email",
+    "email_alt": "Other Email",
+    "district_name": "District in Range",
+    "start_in_range": "Enrolled in Range",
+    "end_in_range": "Left in Range",
+    "program_detail": "Program in Range",
+    "coach_name": "Coach in Range",
+    "current_status": "Status Now",
+    "current_start": "Enrolled Now",
+    "current_end": "Left Now",
+    "last_school": "Last School",
+    "ssid": "District Student Number",
+    "exit_reason": "Reason for Leaving",
+    "secondary_reason": "Further Reasons",
+    "exit_note": "Note on Leaving",
+    "dob": "Born",
     "risk_factors": "Risk Factors",
 }

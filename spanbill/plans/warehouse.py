@@ -669,9 +669,3 @@ def course_fact(results: DataFrame, awards: DataFrame, courses: DataFrame) -> Da
         )
         .drop("_earned")
     )
-
-
-def rebuild(intervals: DataFrame, contact, profile, calendar, courses) -> tuple[DataFrame, DataFrame]:
-    """The interval table and the person table of the reporting rebuild."""
-    wide = enroll_exit(intervals, contact, profile, calendar, term_facts(courses, calendar))
-    return wide, person_summary(wide)

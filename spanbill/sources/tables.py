@@ -1,14 +1,11 @@
-"""Reading and writing the domain tables.
+"""The schemas of the domain tables, stated, not inferred.
 
-Schemas are stated, not inferred. Result tables are rebuilt as a whole or
-appended to; a keyed update is a new snapshot (``operators.snapshots``) that
-replaces the old table under a new path.
+Result tables are published (``published``); a keyed update is a new snapshot
+(``operators.snapshots``), which is published as the next version.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-
 MONEY = "decimal(10,4)"
 
 SCHEMAS = {
@@ -51,23 +48,3 @@ SCHEMAS = {
     "audit_log": "table_name string, id_column string, id_value long, column_name string, old_value string, "
     "new_value string, action string, changed_at timestamp, changed_by string",
 }
-
-
-def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """A domain table under its stated schema; columns and filters reach the scan."""
-    return spark.read.schema(SCHEMAS[name]).parquet(f"{root}/{name}")
-
-
-def replace_table(df: DataFrame, root: str, name: str, partition_by: list[str] | None = None) -> None:
-    """Rebuild a result table. The table must not be among the inputs of ``df``."""
-    writer = df.write.mode("overwrite")
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(f"{root}/{name}")
-
-
-def append_rows(df: DataFrame, root: str, name: str) -> None:
-    df.write.mode("append").parquet(f"{root}/{name}")
-
-
-def save_as_table(df: DataFrame, name: str, mode: str = "overwrite") -> None:
-    """Rebuild or extend a catalog table."""
-    df.write.mode(mode).saveAsTable(name)
