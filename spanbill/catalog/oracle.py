@@ -844,6 +844,7 @@ FINAL |= {
     ),
     "term_run": _filed(_term_report("", f"AND a.program_year = {_last('Term', 'program_year')}"), "Term", 8),
     "reporting_rebuild": FINAL["person_summary"],
+    "audit_feed_stream": FINAL["audit_feed"],
     "active_report": "SELECT " + ", ".join(f'{c} AS "{label}"' for c, label in _LABELLED.items())
     + f" FROM (SELECT *, row_number() OVER (ORDER BY last_name, first_name, person_id) AS row_no FROM ({FINAL['active_during']}))",
 }

@@ -29,7 +29,7 @@ from spanbill.plans import warehouse as P
 from spanbill.plans.billing import exit_group_date, mark_latest, report_header
 from spanbill.sources.fixtures import Domain
 from spanbill.sources.published import Published
-from spanbill.streaming.audit_stream import audit_stream
+from spanbill.streaming.audit_stream import AuditLog, audit_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -683,6 +683,19 @@ def audit_feed(d):
     return audit_stream(feed, "bill_id", "bill", AUDITED, changed_by="clerk").drop("changed_at")
 
 
+@query
+def audit_feed_stream(d):
+    """The audit of a feed read as a stream, twice: the second stream has lost the progress of the first and adds nothing."""
+    feed, folder = C.changes(*snapshots(d), "bill_id").withColumnRenamed("_key", "change_id"), tables_folder(d)
+    feed.write.parquet(f"{folder}/feed")
+    log = AuditLog(d.spark, folder, "change_id")
+    for progress in ("first", "second"):
+        stream = d.spark.readStream.schema(feed.schema).option("maxFilesPerTrigger", 8).parquet(f"{folder}/feed")
+        rows = audit_stream(stream, "bill_id", "bill", AUDITED, changed_by="clerk", change_id="change_id")
+        log.write(rows, f"{folder}/{progress}", availableNow=True).awaitTermination()
+    return log.read().drop("change_id", "changed_at")
+
+
 @query
 def audit_insert(d):
     return C.audit_insert(*snapshots(d), "bill_id", "bill", changed_by="clerk").drop("changed_at")
