@@ -9,6 +9,9 @@ from __future__ import annotations
 
 import re
 
+from spanbill.sources.fixtures import edited_row, wide_row
+from spanbill.sources.tables import AUDITED, types
+
 
 def pname(c: str) -> str:
     return (
@@ -543,6 +546,21 @@ def _audit(mode: str) -> str:
     return " UNION ALL ".join(parts)
 
 
+def _wide_audit(table: str, key: str, name: str) -> str:
+    """The old rows and the edited ones side by side, then one branch a column."""
+    kinds, columns, parts = types(table), AUDITED[table], []
+    now = ", ".join(f"{e} AS n_{c}" for c, e in edited_row(table, key).items())
+    old = ", ".join(f"{e} AS {c}" for c, e in wide_row(table).items())
+    for c in columns:
+        o, n = (f"lower({c})", f"lower(n_{c})") if kinds[c] == "string" else (c, f"n_{c}")
+        longer = f"length(coalesce(CAST({c} AS VARCHAR), '')) <> length(coalesce(CAST(n_{c} AS VARCHAR), ''))"
+        parts.append(
+            f"SELECT '{name}' AS table_name, '{key}' AS id_column, {key} AS id_value, '{c}' AS column_name, CAST({c} AS VARCHAR) AS old_value, "
+            f"CAST(n_{c} AS VARCHAR) AS new_value, 'UPDATE' AS action, 'clerk' AS changed_by FROM pairs WHERE coalesce({o} <> {n}, false) OR {longer}"
+        )
+    return f"SELECT u.* FROM (WITH pairs AS (SELECT *, {now} FROM (SELECT {old} FROM {table})) " + " UNION ALL ".join(parts) + ") u"
+
+
 _MONTHS = ["june", "july", "august", "september", "october", "november", "december", "january", "february", "march", "april", "may"]
 
 
@@ -844,6 +862,8 @@ FINAL |= {
     ),
     "term_run": _filed(_term_report("", f"AND a.program_year = {_last('Term', 'program_year')}"), "Term", 8),
     "reporting_rebuild": FINAL["person_summary"],
+    "audit_bills_wide": _wide_audit("bills", "bill_id", "bill"),
+    "audit_items_wide": _wide_audit("items", "item_id", "item"),
     "audit_feed_stream": FINAL["audit_feed"],
     "active_report": "SELECT " + ", ".join(f'{c} AS "{label}"' for c, label in _LABELLED.items())
     + f" FROM (SELECT *, row_number() OVER (ORDER BY last_name, first_name, person_id) AS row_no FROM ({FINAL['active_during']}))",

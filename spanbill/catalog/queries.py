@@ -29,6 +29,7 @@ from spanbill.plans import warehouse as P
 from spanbill.plans.billing import exit_group_date, mark_latest, report_header
 from spanbill.sources.fixtures import Domain
 from spanbill.sources.published import Published
+from spanbill.sources.tables import AUDITED as AUDITED_COLUMNS
 from spanbill.streaming.audit_stream import AuditLog, audit_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -709,6 +710,22 @@ def audit_items(d):
     return C.audit_update(d.items, fresh, "item_id", "item", columns, changed_by="clerk").drop("changed_at")
 
 
+def audited_wide(d: Domain, table: str, key: str, name: str) -> DataFrame:
+    d.store(table)
+    old, new = d.audited(table, key)
+    return C.audit_update(old, new, key, name, AUDITED_COLUMNS[table], mode="length", changed_by="clerk").drop("changed_at")
+
+
+@query
+def audit_bills_wide(d):
+    return audited_wide(d, "bills", "bill_id", "bill")
+
+
+@query
+def audit_items_wide(d):
+    return audited_wide(d, "items", "item_id", "item")
+
+
 # --- scalar rules over whole tables -------------------------------------------------------------------
 
 

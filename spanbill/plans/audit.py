@@ -9,9 +9,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import FractionalType, StringType
 
 from spanbill.functions.exprs import differs
+from spanbill.operators.stage import settle
 
 MODES = ("null_safe", "length", "plain")
 STAMPS = ("updated_at", "updated_by")
+#: From so many columns on, rows are told apart by fingerprints before they are shuffled.
+WIDE = 12
 AUDIT_COLUMNS = [
     "table_name", "id_column", "id_value", "column_name", "old_value", "new_value", "action", "changed_at",
     "changed_by",
@@ -128,8 +131,20 @@ def audit_update(
     changed_by: str | Column | None = None,
     ignore_case: bool = True,
 ) -> DataFrame:
-    """Audit rows for the keys that both snapshots hold."""
+    """Audit rows for the keys that both snapshots hold.
+
+    Of wide snapshots only keys and fingerprints are shuffled first; whole rows are
+    fetched for the keys whose fingerprint moved.
+    """
     names = audited_columns(new, columns, exclude)
+    if len(names) > WIDE:
+        kinds = {f.name: f.dataType for f in new.schema.fields}
+        before, after = (
+            df.select(F.col(key), F.struct("*").alias(side)).select(key, fingerprint(side, names, kinds, ignore_case).alias(side))
+            for side, df in (("old", old), ("new", new))
+        )
+        moved = settle(before.join(after, key).filter(F.col("old") != F.col("new")).select(key))
+        old, new = old.join(moved, key, "left_semi"), new.join(moved, key, "left_semi")
     return audit_rows(changes(old, new, key), key, table, names, mode, changed_at, changed_by, ignore_case)
 
 

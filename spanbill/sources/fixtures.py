@@ -18,6 +18,7 @@ from spanbill.operators.asof import latest_before
 from spanbill.operators.stage import settle
 from spanbill.plans.attendance import Scenario
 from spanbill.plans.intervals import Dims
+from spanbill.sources.tables import AUDITED, types
 
 
 def day(text: str) -> Column:
@@ -75,6 +76,53 @@ RAW = {  # stated, so that no job has to read footers for a schema
 }
 
 
+#: Columns that only the audit looks at, in words that Spark and plain SQL share. {0} is the row's number.
+AUDIT_ONLY = {
+    "bills": {
+        "adjusted_ind_hours": "CASE WHEN {0} % 23 = 0 THEN {0} % 40 END", "billing_notes": "CASE WHEN {0} % 6 = 0 THEN concat('note ', {0} % 90) END",
+        "billing_status": "CASE {0} % 3 WHEN 0 THEN 'IN PROGRESS' WHEN 1 THEN 'COMPLETE' ELSE 'REVIEWED' END",
+        "exit_code": "CASE WHEN {0} % 3 = 1 THEN 7 END", "cm_percent": "CASE WHEN {0} % 8 = 0 THEN 0.5 END", "created_by": "concat('u', {0} % 7)",
+        "credits_entered": "{0} % 2", "date_created": "start_date", "error_message": "CASE WHEN {0} % 31 = 0 THEN '' WHEN {0} % 37 = 0 THEN 'No match' END",
+        "exit_status_reason_id": "CASE WHEN {0} % 4 = 0 THEN {0} % 20 + 1 END", "inter_percent": "CASE WHEN {0} % 8 = 1 THEN 0.25 END",
+        "large_percent": "CASE WHEN {0} % 8 = 2 THEN 0.125 END", "small_percent": "CASE WHEN {0} % 8 = 3 THEN 0.375 END", "max_credits": "CASE WHEN {0} % 2 = 0 THEN 12 END",
+        "max_days_year": "175", "review_notes": "CASE WHEN {0} % 9 = 0 THEN concat('Seen ', {0} % 5) END", "coach_review_flag": "CASE WHEN {0} % 10 = 0 THEN 1 ELSE 0 END",
+        "generated_units": "CASE WHEN {0} % 6 = 1 THEN 1.5 END", "generated_over_units": "CASE WHEN {0} % 6 = 1 THEN 0 END",
+    },
+    "items": {
+        "created_by": "concat('u', {0} % 7)", "course_number": "concat({0} % 300, '')", "date_created": "DATE '2015-01-01'",
+        "max_possible_attendance": "CASE WHEN {0} % 5 <> 0 THEN {0} % 50 END", "subject": "CASE {0} % 3 WHEN 0 THEN 'ESOL' WHEN 1 THEN 'MTH' ELSE 'WR' END",
+        "taken_previous_term": "CASE WHEN {0} % 12 = 0 THEN 1 ELSE 0 END", "title": "concat('Course ', {0} % 1000)",
+    },
+}
+ROW_NUMBER = {"bills": "bill_id", "items": "(bill_id + crn)"}
+
+
+def wide_row(table: str) -> dict[str, str]:
+    """All audited columns of a table, the added ones cast to their stated types."""
+    kinds, added, n = types(table), AUDIT_ONLY[table], ROW_NUMBER[table]
+    return {c: f"CAST({added[c].format(n)} AS {SQL_TYPES.get(kinds[c], kinds[c])})" if c in added else c for c in AUDITED[table]}
+
+
+SQL_TYPES = {"string": "VARCHAR(200)", "long": "BIGINT"}
+
+
+def edited_row(table: str, key: str) -> dict[str, str]:
+    """The audited columns after an edit: each in one row of some hundreds; texts in case only, to nothing, to '' or longer."""
+    kinds, n, out = types(table), ROW_NUMBER[table], {}
+    for k, c in enumerate(AUDITED[table]):
+        kind, name = kinds[c], SQL_TYPES.get(kinds[c], kinds[c])
+        if c == key:
+            out[c] = c
+            continue
+        if kind == "string":
+            new = f"CASE {n} % 4 WHEN 0 THEN upper({c}) WHEN 1 THEN NULL WHEN 2 THEN '' ELSE concat(coalesce({c}, ''), '!') END"
+        else:
+            start = "DATE '2015-01-01'" if kind == "date" else "0"
+            new = f"CASE WHEN {n} % 2 = 0 THEN NULL ELSE coalesce({c}, {start}) + 1 END"
+        out[c] = f"CASE WHEN ({n} + {7 * k}) % 301 = 0 THEN CAST({new} AS {name}) ELSE {c} END"
+    return out
+
+
 class Domain:
     """Domain tables of one test data folder."""
 
@@ -405,6 +453,11 @@ class Domain:
             )
         )
 
+    def audited(self, table: str, key: str) -> tuple[DataFrame, DataFrame]:
+        """A table with all audited columns, and the same after an edit."""
+        old = getattr(self, table).selectExpr(*[f"{e} AS {c}" for c, e in wide_row(table).items()])
+        return old, old.selectExpr(*[f"{e} AS {c}" for c, e in edited_row(table, key).items()])
+
     @cached_property
     def scenarios(self) -> DataFrame:
         """One scenario per part type, seen per course (part)."""
