@@ -426,8 +426,8 @@ def period_exit(
 
 def first_term(intervals: DataFrame, calendar: DataFrame, courses: DataFrame) -> DataFrame:
     """First calendar term with any courses that a person's intervals overlap."""
-    taught = calendar.join(courses.select("term").distinct(), "term", "left_semi")
-    return _with_terms(intervals, taught).groupBy("person_id").agg(
+    taught = courses.select("term").distinct()
+    return _with_terms(intervals, calendar).join(taught, "term", "left_semi").groupBy("person_id").agg(
         F.min("term").alias("first_term"), F.min("term_begin").alias("first_term_begin")
     )
 

@@ -129,7 +129,40 @@ def test_every_line_is_an_item(spark, sf_dir):
     assert sorted(map(tuple, got)) == sorted(map(tuple, want))
 
 
-def test_overlap_join_against_brute_force(spark):
+@pytest.fixture(params=["2000", "0"], ids=["array", "buckets"])
+def calendar_rows(spark, request):
+    spark.conf.set("spark.spanbill.calendarRows", request.param)
+    yield request.param
+    spark.conf.unset("spark.spanbill.calendarRows")
+
+
+def test_a_hot_year_is_not_shuffled(spark):
+    left = spark.range(50_000).select("id", F.lit(date(2014, 3, 1)).alias("s"), F.lit(date(2014, 9, 1)).alias("e"))
+    terms = [(k, date(2014, 1, 1) + timedelta(30 * k), date(2014, 1, 1) + timedelta(30 * k + 29)) for k in range(12)]
+    right = spark.createDataFrame(terms, "term int, b date, f date")
+    on = (F.col("s") <= F.col("f")) & (F.col("e") >= F.col("b"))
+    pairs = overlap_join(left, right, "s", "e", "b", "f", on)
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "hashpartitioning" not in plan
+    assert rows(pairs.groupBy("term").count()) == [(k, 50_000) for k, b, f in terms if b <= date(2014, 9, 1) and f >= date(2014, 3, 1)]
+
+
+def test_long_and_nested_ranges(spark, calendar_rows):
+    rng, base = random.Random(5), date(2012, 1, 1)
+    terms = []
+    for k in range(80):
+        b = base + timedelta(rng.randint(0, 900))
+        terms.append((k, b, b + timedelta(rng.choice([0, 3, 30, 700]))))
+    terms += [(90, None, base), (91, base, None)]
+    spans = [(i, base + timedelta(rng.randint(-100, 1500)), base + timedelta(rng.randint(-100, 1700))) for i in range(80)]
+    left = spark.createDataFrame(spans, "id int, s date, e date")
+    on = (F.least("s", "e") <= F.col("f")) & (F.greatest("s", "e") >= F.col("b"))
+    got = rows(overlap_join(left, spark.createDataFrame(terms, "term int, b date, f date"), "s", "e", "b", "f", on), "id", "term")
+    want = [(i, t) for i, s, e in spans for t, b, f in terms if b and f and min(s, e) <= f and max(s, e) >= b]
+    assert got == sorted(want, key=repr)
+
+
+def test_overlap_join_against_brute_force(spark, calendar_rows):
     rng = random.Random(3)
     base = date(2011, 6, 1)
     spans = []
@@ -148,7 +181,7 @@ def test_overlap_join_against_brute_force(spark):
     assert got == want and len(want) > 100
 
 
-def test_date_to_period(spark):
+def test_date_to_period(spark, calendar_rows):
     terms = [(1, date(2013, 12, 1), date(2014, 3, 1)), (2, date(2014, 3, 1), date(2014, 6, 1))]
     cal = spark.createDataFrame(terms, "term int, b date, n date")
     days = [date(2013, 11, 30), date(2013, 12, 1), date(2014, 2, 28), date(2014, 3, 1), date(2014, 6, 1), None]
