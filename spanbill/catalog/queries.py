@@ -54,7 +54,10 @@ def query(job: Callable[[Domain], DataFrame], name: str | None = None) -> Callab
 
 
 def hot_people(d: Domain) -> HotKeys | None:
-    return find_hot_keys(d.status.filter("undone_by is null"), "person_id")
+    """Counted once a job, over the stage of the log where there is one."""
+    if "hot" not in d.__dict__:
+        d.hot = find_hot_keys(d.status.filter("undone_by is null"), "person_id")
+    return d.hot
 
 
 def ended(d: Domain) -> tuple[DataFrame, DataFrame]:
@@ -65,7 +68,7 @@ def ended(d: Domain) -> tuple[DataFrame, DataFrame]:
 
 def merged(d: Domain) -> DataFrame:
     general, detail = ended(d)
-    return I.append_unmatched(I.merge_intervals(general, detail, d.kinds), general, detail, d.kinds)
+    return I.append_unmatched(I.merge_intervals(general, detail, d.kinds, hot_people(d)), general, detail, d.kinds)
 
 
 def ordered(d: Domain) -> DataFrame:
@@ -114,7 +117,7 @@ def earliest_end(d):
 
 @query
 def interval_merge(d):
-    return I.merge_intervals(*ended(d), d.kinds).drop("end_note")
+    return I.merge_intervals(*ended(d), d.kinds, hot_people(d)).drop("end_note")
 
 
 @query
@@ -155,7 +158,7 @@ def exit_reasons_all(d):
 
 @query
 def same_start_repair(d):
-    return I.repair_same_start(typed(d)).select(
+    return I.repair_same_start(typed(d), hot_people(d)).select(
         "person_id", "seq", "program", "program_detail", "start_date", "end_date"
     )
 

@@ -157,3 +157,29 @@ def ordered_scan(
     cold = _plain(df.join(listed, same, "left_anti"), [key], order, take)
     warm = _chunked(df.join(listed, same, "left_semi"), key, order, take, hot.chunks)
     return cold.unionByName(warm.select(*cold.columns))
+
+
+def group_scan(df: DataFrame, key: str, group: list[str], take: dict[str, Column], hot: HotKeys | None = None) -> DataFrame:
+    """Add aggregates over whole groups, which lie within ``key``, to each of their rows.
+
+    Ordinary keys take a plain window. Groups of hot keys are aggregated with
+    partial results per task, one row a group, and joined back, so that no
+    task gets a whole group.
+    """
+    window = Window.partitionBy(*group)
+
+    def plain(rows: DataFrame) -> DataFrame:
+        return rows.withColumns({name: value.over(window) for name, value in take.items()})
+
+    if hot is None:
+        return plain(df)
+    listed, same = hot.keys.select(F.col(key).alias("_hot")), F.col(key).eqNullSafe(F.col("_hot"))
+    cold = plain(df.join(listed, same, "left_anti"))
+    warm = settle(df.join(listed, same, "left_semi"))
+    told = warm.groupBy(*group).agg(*[value.alias(name) for name, value in take.items()])
+    told = told.withColumnsRenamed({c: f"_of_{c}" for c in group})
+    of_group = F.lit(True)
+    for c in group:
+        of_group = of_group & F.col(c).eqNullSafe(F.col(f"_of_{c}"))
+    back = warm.join(told, of_group).select(*cold.columns)
+    return cold.unionByName(back)

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from spanbill.functions import fixed
 from spanbill.functions.exprs import canonical_program, given, program_name, same_text
 from spanbill.operators.asof import latest_before
-from spanbill.operators.ordered import HotKeys, Take, find_hot_keys, ordered_scan
+from spanbill.operators.ordered import HotKeys, Take, find_hot_keys, group_scan, ordered_scan
 from spanbill.operators.stage import settle
 
 
@@ -184,23 +184,58 @@ def earliest_end(rows: DataFrame) -> DataFrame:
     return rows.filter("role = 'detail'").drop("role")
 
 
-def merge_intervals(general: DataFrame, detail: DataFrame, kinds: DataFrame) -> DataFrame:
+def merge_intervals(general: DataFrame, detail: DataFrame, kinds: DataFrame, hot: HotKeys | None = None, once: bool = False) -> DataFrame:
     """General enrolments, refined by the detailed ones that share their exit.
 
     They pair up on the same exit day and program, or when both are still open
     and the general one is of the second program. The earlier start and the
     detailed end win.
+
+    All pairs of a person and exit are the result. Of hot people, general rows
+    that start no earlier than any of their details are one row with a count:
+    whichever of them is taken, the detail's start and end win. With ``once`` the
+    equal pairs that they stand for are given once, else as often.
     """
-    g, d, k = general.alias("g"), detail.alias("d"), kinds.alias("k")
+    if hot is None:
+        return _merged(general, detail, kinds).drop("_times")
+    listed, same = hot.keys.select(F.col("person_id").alias("_hot")), F.col("person_id").eqNullSafe(F.col("_hot"))
+    cold = _merged(general.join(listed, same, "left_anti"), detail.join(listed, same, "left_anti"), kinds).drop("_times")
+    few = settle(detail.join(listed, same, "left_semi"))
+    warm = _merged(_dominating(general.join(listed, same, "left_semi"), few), few, kinds)
+    if not once:
+        warm = warm.withColumn("_times", F.explode(F.sequence(F.lit(1), "_times")))
+    return cold.unionByName(warm.drop("_times"))
+
+
+def _pairs_on(open_program: Column, other: Column) -> Column:
+    """Which general and detailed rows of a person and exit (``g``, ``d``) belong together."""
     both_open = F.col("g.exit_date").isNull() & F.col("d.exit_date").isNull()
-    pair = (
+    return (
         (F.col("g.person_id") == F.col("d.person_id"))
         & F.col("g.exit_date").eqNullSafe(F.col("d.exit_date"))
-        & F.when(both_open, same_text(F.col("g.program"), F.lit(fixed.PROGRAM_YTC))).otherwise(
-            same_text(F.col("g.program"), F.col("d.program"))
-        )
+        & F.when(both_open, same_text(open_program, F.lit(fixed.PROGRAM_YTC))).otherwise(same_text(open_program, other))
     )
+
+
+def _dominating(general: DataFrame, detail: DataFrame) -> DataFrame:
+    """General rows that start before some detail they pair with, and one row, with ``_times``, for all others of a person, exit and program."""
+    program = F.when(F.col("exit_date").isNotNull(), F.lower("program"))
+    latest = F.when(F.count("start_date") == F.count(F.lit(1)), F.max("start_date")).alias("latest")
+    last = detail.groupBy("person_id", "exit_date", program.alias("program")).agg(latest).alias("d")
+    g = general.alias("g")
+    paired = g.join(last, _pairs_on(F.col("g.program"), F.col("d.program")), "left").select("g.*", "d.latest")
+    late = F.coalesce(F.col("start_date") >= F.col("latest"), F.lit(False))
+    rest = [c for c in general.columns if c not in ("person_id", "exit_date", "program")]
+    same = ["person_id", "exit_date", "program", F.when(~late, F.struct(*rest)).alias("_own")]
+    kept = paired.groupBy(*same).agg(F.min(F.struct(*rest)).alias("_row"), F.count(F.lit(1)).cast("int").alias("_times"))
+    return kept.select("person_id", "exit_date", "program", "_row.*", "_times")
+
+
+def _merged(general: DataFrame, detail: DataFrame, kinds: DataFrame) -> DataFrame:
+    times = "_times" if "_times" in general.columns else F.lit(1).alias("_times")
+    g, d, k = general.alias("g"), detail.alias("d"), kinds.alias("k")
     ended = F.col("d.end_date").isNotNull()
+    pair = _pairs_on(F.col("g.program"), F.col("d.program"))
     return g.join(d, pair, "left").join(k, F.col("d.kind") == F.col("k.kind"), "left").select(
         "g.person_id",
         F.coalesce("k.kind_text", "g.program").alias("program_detail"),
@@ -209,6 +244,7 @@ def merge_intervals(general: DataFrame, detail: DataFrame, kinds: DataFrame) ->
         F.coalesce("d.end_date", "g.end_date").alias("end_date"),
         F.coalesce("d.end_id", "g.end_id").alias("end_id"),
         F.when(ended, F.col("d.end_note")).otherwise(F.col("g.end_note")).alias("end_note"),
+        times,
     )
 
 
@@ -292,15 +328,14 @@ def attach_reason(rows: DataFrame, dims: Dims, every: bool = False) -> DataFrame
     )
 
 
-def repair_same_start(rows: DataFrame) -> DataFrame:
+def repair_same_start(rows: DataFrame, hot: HotKeys | None = None) -> DataFrame:
     """Move intervals that start together with their predecessor to its end."""
     together = F.col("start_date") == F.col("previous.start_date")
-    twin = Window.partitionBy("person_id", "program", "program_detail", "start_date")
-    flagged = F.coalesce(F.max(together).over(twin), F.lit(False)) & F.col("program").isNotNull()
-    moved = F.min(F.when(together, F.col("previous.end_date"))).over(twin)
-    return rows.withColumns({"_flag": flagged, "_moved": moved}).withColumn(
-        "start_date", F.when(F.col("_flag"), F.col("_moved")).otherwise(F.col("start_date"))
-    ).drop("_flag", "_moved")
+    twins = ["person_id", "program", "program_detail", "start_date"]
+    take = {"_any": F.max(together), "_moved": F.min(F.when(together, F.col("previous.end_date")))}
+    flagged = F.coalesce("_any", F.lit(False)) & F.col("program").isNotNull()
+    start = F.when(flagged, F.col("_moved")).otherwise(F.col("start_date"))
+    return group_scan(rows, "person_id", twins, take, hot).withColumn("start_date", start).drop("_any", "_moved")
 
 
 def attribute_as_of_end(rows: DataFrame, status: DataFrame, dims: Dims, hot: HotKeys | None = None) -> DataFrame:
@@ -348,8 +383,8 @@ def build_intervals(
     hot = find_hot_keys(log.filter(F.col("undone_by").isNull()), "person_id", hot_rows)
     ended = settle(spells(events, hot))
     general, detail = general_spells(ended), earliest_end(ended)
-    rows = append_unmatched(merge_intervals(general, detail, dims.kinds), general, detail, dims.kinds)
-    rows = repair_same_start(exit_type(clip_to_next(order_intervals(rows, hot))))
+    rows = append_unmatched(merge_intervals(general, detail, dims.kinds, hot, once=True), general, detail, dims.kinds)
+    rows = repair_same_start(exit_type(clip_to_next(order_intervals(rows, hot))), hot)
     rows = rows.withColumns(
         {
             "next_program": F.col("following.program"),

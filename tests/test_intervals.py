@@ -1,7 +1,69 @@
+import random
+from datetime import timedelta
+
+import pytest
 from frames import contact, d, dims, rows, status
+from pyspark.sql import functions as F
 
+from spanbill.operators.ordered import HotKeys, group_scan
 from spanbill.plans import intervals as I
 
+GENERAL = "person_id long, program string, start_date date, exit_date date, end_date date, end_id long, end_note string"
+DETAIL = "person_id long, kind int, program string, start_date date, exit_date date, end_date date, end_id long, end_note string"
+
+
+def crowded(spark, people):
+    return HotKeys(spark.createDataFrame([(p,) for p in people], "person_id long"), 3)
+
+
+def some_spells(seed):
+    rng, general, detail = random.Random(seed), [], []
+    exits = [None, d("2014-06-01"), d("2015-06-01")]
+    for person in (1, 2, None):
+        for k in range(30):
+            out = rng.choice(exits)
+            start = None if k == 7 else d("2014-01-01") + timedelta(rng.randint(0, 40))
+            general.append((person, rng.choice(["GtC", "YtC"]), start, out, out, None if out is None else 50 + k, None if out is None else "g"))
+            out = rng.choice(exits)
+            start = None if k == 9 and seed else d("2014-01-01") + timedelta(rng.randint(-10, 30))
+            end = rng.choice([out, d("2014-05-01")])
+            detail.append((person, rng.choice([13, 16, 99]), rng.choice(["YtC", "ytc", "GtC"]), start, out, end, None if end is None else k, f"n{k}"))
+    return general, detail
+
+
+@pytest.mark.parametrize("seed", range(4))
+@pytest.mark.parametrize("once", [False, True])
+def test_pairs_of_hot_people(spark, seed, once):
+    general, detail = some_spells(seed)
+    general, detail = spark.createDataFrame(list(dict.fromkeys(general)), GENERAL), spark.createDataFrame(detail, DETAIL)
+    kinds = dims(spark).kinds
+    plain = I.merge_intervals(general, detail, kinds)
+    hot = I.merge_intervals(general, detail, kinds, crowded(spark, [1, None]), once)
+    if once:
+        assert rows(hot.distinct()) == rows(plain.distinct()) and hot.count() <= plain.count()
+    else:
+        assert rows(hot) == rows(plain)
+
+
+def test_pairs_of_a_person_with_10000_rows_on_one_exit(spark):
+    out = d("2020-01-01")
+    general = [(1, "YtC", d("2014-01-01") + timedelta(k % 1500), out, out, 1, None) for k in range(5_000)]
+    detail = [(1, 13, "YtC", d("2010-01-01") + timedelta(k % 1400), out, out, k, None) for k in range(5_000)]
+    frames = spark.createDataFrame(general, GENERAL), spark.createDataFrame(detail, DETAIL)
+    assert I.merge_intervals(*frames, dims(spark).kinds, crowded(spark, [1]), once=True).count() == 5_000
+
+
+def test_groups_of_hot_keys_are_added_up_in_parts(spark):
+    rng = random.Random(6)
+    data = [(rng.choice([1, 2, None]), rng.choice(["a", None]), rng.randrange(100)) for _ in range(500)]
+    frame, take = spark.createDataFrame(data, "k long, g string, v int"), {"top": F.max("v"), "n": F.count("v")}
+    plain = group_scan(frame, "k", ["k", "g"], take)
+    warm = group_scan(frame, "k", ["k", "g"], take, HotKeys(spark.createDataFrame([(1,), (None,)], "k long"), 2))
+    assert rows(warm) == rows(plain)
+    only = group_scan(frame.filter("k = 1"), "k", ["k", "g"], take, HotKeys(spark.createDataFrame([(1,)], "k long"), 2))
+    plan = only._jdf.queryExecution().executedPlan().toString()
+    assert "partial_max" in plan
+
 
 def build(spark, log, **kw):
     return I.build_intervals(status(spark, log), contact(spark), dims(spark, **kw))
