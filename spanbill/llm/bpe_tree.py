@@ -18,6 +18,7 @@ import hashlib
 import json
 import os
 import re
+from array import array
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -30,8 +31,8 @@ from pyspark.sql import functions as F
 from spanbill.llm.common import slices
 
 LONG_CHARS, LEAF_CHARS = 32_768, 16_384
-#: Words in a generation of a worker's store, and the longest word that is kept.
-CACHED, CACHED_BYTES = 400_000, 64
+#: Words that a worker's store holds before it is emptied, and the longest word that is kept.
+CACHED, CACHED_BYTES = 300_000, 64
 FIRST_WINDOW, AGREE = 64, 4
 
 #: Tokens as three arrays of equal length: ids, first character, end character.
@@ -63,42 +64,53 @@ _PIECE = re.compile(rb"'(?:s|t|re|ve|m|ll|d)|[" + _LETTER + rb"]+|[0-9]|[^\t-\r
 _BLANKS = re.compile(r"[\t-\r ]+")
 
 
-class WordEncoder:
+class WordEncoder(dict):
     """Texts to ids, each as the bytes of little-endian 32-bit integers.
 
     Where the tokenizer cuts at blanks and puts a mark on each word's end, texts are encoded word by word: the easy words (whose
-    normal form is their lower case) lower-cased and cut into pieces, others whole by the library. Words are
-    kept in two generations: a full one becomes the old one, and words that are still in use move on from there.
+    normal form is their lower case) lower-cased and cut into pieces, others whole by the library. The encoder is the store of
+    words met so far, easy ones as bytes; a word that it lacks is looked for among those it held before it was last emptied, and
+    else encoded.
     """
 
     def __init__(self, path: str):
-        self.tok, self.new, self.old = tokenizer(path), {}, {}
+        super().__init__()
+        self.tok, self.old = tokenizer(path), {}
         with open(path, encoding="utf-8") as f:
             said = json.load(f)
         steps = [*(said["normalizer"] or {}).get("normalizers", []), *(said["pre_tokenizer"] or {}).get("pretokenizers", [])]
         cut = [x for x in steps if x["type"] == "Split"]
         self.by_word = [x["type"] for x in steps] == STEPS and cut[0]["pattern"] == {"Regex": SPLIT} and bool(said["model"]["end_of_word_suffix"])
-        self.byte_names = str.maketrans(_byte_names())
-
-    def _easy(self, word: bytes) -> bytes:
-        ids = []
-        for piece in _PIECE.findall(word):
-            name = piece.decode("latin-1").encode().decode("latin-1").translate(self.byte_names)
-            ids += [t.id for t in self.tok.model.tokenize(name)]
-        return np.array(ids, "<u4").tobytes()
-
-    def _whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+        self.byte_names, self.tokenize = str.maketrans(_byte_names()), self.tok.model.tokenize
+
+    def __missing__(self, word: bytes | str) -> bytes:
+        ids = self.old.get(word)
+        if ids is None:
+            ids = self._encode(word)
+        if len(word) <= CACHED_BYTES:
+            self[word] = ids
+            if len(self) > CACHED:
+                self.old = dict(self)
+                self.clear()
+        return ids
+
+    def _encode(self, word: bytes | str) -> bytes:
+        if type(word) is str:
+            return array("I", self.tok.encode(word, add_special_tokens=False).ids).tobytes()
+        if word.isalpha():  # ASCII letters, one piece
+            return array("I", [t.id for t in self.tokenize(word.decode())]).tobytes()
+        names = (p.decode("latin-1").encode().decode("latin-1").translate(self.byte_names) for p in _PIECE.findall(word))
+        return array("I", [t.id for name in names for t in self.tokenize(name)]).tobytes()
 
     def _words(self, text: str) -> list:
         """Easy words as bytes, others as text."""
-        data = text.encode("latin-1", "replace")
-        if not data.translate(None, _EASY) and "<|" not in text and text.isascii() | (data.decode("latin-1") == text):
+        data = _latin(text)
+        if data is not None:
             return _MARKS.sub(rb" \g<0>", data.translate(_LOWER)).split()
         out = []
         for word in _BLANKS.split(text):
-            data = word.encode("latin-1", "replace")
-            if data.translate(None, _EASY) or "<|" in word or data.decode("latin-1") != word:
+            data = _latin(word)
+            if data is None:
                 out.append(word)
             elif word:
                 out += _MARKS.sub(rb" \g<0>", data.translate(_LOWER) + b" ").split()
@@ -106,23 +118,17 @@ class WordEncoder:
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         if not self.by_word:
-            return self._whole(texts)
-        cut, get = [self._words(t) for t in texts], self.new.get
-        found = [list(map(get, words)) for words in cut]
-        missing = list({w for words, ids in zip(cut, found, strict=True) if None in ids for w, x in zip(words, ids, strict=True) if x is None})
-        if not missing:
-            return [b"".join(ids) for ids in found]
-        known = {w: self.old[w] for w in missing if w in self.old}
-        known.update((w, self._easy(w)) for w in missing if type(w) is bytes and w not in known)
-        hard = [w for w in missing if w not in known]
-        known.update(zip(hard, self._whole(hard), strict=True))
-        self.new.update((w, x) for w, x in known.items() if len(w) <= CACHED_BYTES)
-        if len(self.new) > CACHED:
-            self.old, self.new = self.new, {}
-        return [
-            b"".join(ids if None not in ids else [known[w] if x is None else x for w, x in zip(words, ids, strict=True)])
-            for words, ids in zip(cut, found, strict=True)
-        ]
+            return [array("I", e.ids).tobytes() for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+        return [b"".join(map(self.__getitem__, self._words(t))) for t in texts]
+
+
+def _latin(text: str) -> bytes | None:
+    """The text in Latin-1 if all of it is easy."""
+    try:
+        data = text.encode("latin-1")
+    except UnicodeEncodeError:
+        return None
+    return None if data.translate(None, _EASY) or b"<|" in data else data
 
 
 def _byte_names() -> dict[str, str]:

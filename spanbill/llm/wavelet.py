@@ -52,7 +52,10 @@ def build(ids: np.ndarray, ends: np.ndarray) -> bytes:
         heads.append(struct.pack("<Q", n - int(before[-1])) + places.astype("<u8").tobytes() + before.astype("<u8").tobytes())
         bodies.append(b"".join(body))
         if bit:
-            now = np.concatenate([now[~ones], now[ones]])
+            zeros = n - int(before[-1])
+            after = np.empty_like(now)
+            after[:zeros], after[zeros:] = now[~ones], now[ones]
+            now = after
     last = pack.compress(np.diff(ends, prepend=0).astype("<u8").tobytes())
     return b"".join([_HEADER.pack(MAGIC, VERSION, n, len(ends), planes, len(last)), *heads, *bodies, last])
 
