@@ -16,7 +16,7 @@ from spanbill.operators.asof import next_after
 from spanbill.operators.ordered import HotKeys, find_hot_keys
 from spanbill.operators.periods import date_to_period
 from spanbill.operators.snapshots import changed_only
-from spanbill.operators.stage import ensure_checkpoint_dir, settle
+from spanbill.operators.stage import Stages, planning, settle
 from spanbill.plans import attendance as A
 from spanbill.plans import audit as C
 from spanbill.plans import intervals as I
@@ -39,12 +39,20 @@ GTC, YTC = "GtC", "YtC"
 
 
 def query(job: Callable[[Domain], DataFrame], name: str | None = None) -> Callable[[Domain], DataFrame]:
-    """Register a job, by default under its own name; decimals leave as doubles."""
+    """Register a job, by default under its own name; decimals leave as doubles.
+
+    The job's stages come along as ``stages``; ``stage.finish(result)`` removes them after the last action.
+    """
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        df = job(Domain(spark, sf_dir))
+        with planning(Stages(spark)) as stages:
+            domain = Domain(spark, sf_dir)
+            domain.stages = stages
+            df = job(domain)
         exact = [f.name for f in df.schema.fields if isinstance(f.dataType, DecimalType)]
-        return df.withColumns({c: F.col(c).cast("double") for c in exact}) if exact else df
+        df = df.withColumns({c: F.col(c).cast("double") for c in exact}) if exact else df
+        df.stages = stages
+        return df
 
     QUERIES[name or job.__name__] = run
     return job
@@ -571,7 +579,8 @@ def report_register(d):
 
 
 def tables_folder(d: Domain) -> str:
-    return f"{ensure_checkpoint_dir(d.spark)}/tables-{uuid.uuid4().hex}"
+    """Where a query publishes tables; it goes with the query's stages."""
+    return f"{d.stages.folder}/tables-{uuid.uuid4().hex}"
 
 
 def sorted_table(d: Domain, df: DataFrame, order: list[str]) -> Published:

@@ -23,6 +23,7 @@ from spanbill.functions.exprs import (
     whole_years,
 )
 from spanbill.operators.periods import date_to_period, overlap_join
+from spanbill.operators.stage import settle, settle_by
 
 
 def day(text: str) -> Column:
@@ -165,22 +166,6 @@ def term_facts(courses: DataFrame, calendar: DataFrame) -> DataFrame:
     )
 
 
-def results_until(facts: DataFrame, dates: DataFrame, columns: list[str]) -> DataFrame:
-    """Results of the terms that begin before each of some dates of a student.
-
-    ``dates`` has one row per student. The facts are reduced to one row per
-    student: a struct of terms, credits and points per date column.
-    """
-    joined = facts.filter(F.col("term_begin").isNotNull()).join(dates, "student")
-
-    def before(column: str) -> Column:
-        early = F.col("term_begin") < F.col(column)
-        parts = {"terms": F.lit(1), "credits": F.col("graded_credits"), "points": F.col("points")}
-        return F.struct(*[F.sum(F.when(early, v).otherwise(0)).alias(k) for k, v in parts.items()])
-
-    return joined.groupBy("student").agg(*[before(c).alias(f"_{c}") for c in columns])
-
-
 def term_bounds(intervals: DataFrame, calendar: DataFrame, facts: DataFrame, grace_days: int = 15) -> DataFrame:
     """First and last term with courses per interval; a start may come late by some days.
 
@@ -386,6 +371,21 @@ def _end_of(intervals: DataFrame) -> DataFrame:
     )
 
 
+def attended_terms(term_results: DataFrame, calendar: DataFrame) -> DataFrame:
+    """One row per student: results of each term, and the calendar terms among them with their begins."""
+    begins = calendar.select("term", F.col("term_begin").alias("begin"))
+    one = F.struct("term", "begin", *[F.col(c) for c in term_results.columns if c not in ("student", "term")])
+    rows = term_results.join(begins, "term", "left").groupBy("student").agg(F.collect_list(one).alias("results"))
+    known = F.filter("results", lambda r: r["begin"].isNotNull())
+    return rows.withColumn("attended", F.transform(known, lambda r: F.struct(r["term"].alias("term"), r["begin"].alias("begin"))))
+
+
+def _last_attended(attended: str, end: Column) -> Column:
+    """The last attended term that begins by an end; an open end takes them all."""
+    reached = F.filter(attended, lambda t: end.isNull() | (end >= t["begin"]))
+    return F.array_max(F.transform(reached, lambda t: t["term"]))
+
+
 def period_exit(
     by_term: DataFrame, intervals: DataFrame, calendar: DataFrame, term_results: DataFrame
 ) -> DataFrame:
@@ -393,18 +393,12 @@ def period_exit(
 
     An exit after the next term's begin does not belong to the term. When the
     term is the last one attended before a later exit, the exit is moved to the
-    term's end. A person's ends meet one row per attended term.
+    term's end. A student's attended terms are one row, so a person's ends
+    meet that row alone.
     """
-    attended = (
-        term_results.select("student", "term").distinct().join(calendar.select("term", "term_begin"), "term")
-    ).select("student", F.col("term").alias("_term"), F.col("term_begin").alias("_begin"))
-    reached = F.col("end_date").isNull() | (F.col("end_date") >= F.col("_begin"))
-    known = (
-        _end_of(intervals).join(attended, "student")
-        .filter(reached)
-        .groupBy("person_id", "last_seq", "end_date", "exit_reason", "secondary_reason")
-        .agg(F.max("_term").alias("max_term"))
-    )
+    ends = _end_of(intervals).join(attended_terms(term_results, calendar).select("student", "attended"), "student")
+    known = ends.withColumn("max_term", _last_attended("attended", F.col("end_date"))).drop("student", "attended")
+    known = known.filter(F.col("max_term").isNotNull())
     end = F.col("end_date")
     in_term = F.when(end <= F.col("next_begin"), end)
     closing = (F.col("term") == F.col("max_term")) & in_term.isNull() & end.isNotNull()
@@ -452,34 +446,85 @@ def post_pass_gpa(rows: DataFrame) -> DataFrame:
 
 LEVELS = ["max_esol_level", "min_esol_level", "max_esol_level_passed"]
 PERSON_FACTS = ["hs_credits", "last_school", "first_name", "last_name"]
+TESTS = ["social", "science", "math", "literature", "writing", "language"]
+
 
+# Everything about a student is kept in two stages bucketed by student: intervals with what is known of the person, and one
+# row per student with an array of terms. Reports per term and year are made from these two without an exchange.
 
-def _entry(intervals: DataFrame, contact: DataFrame) -> DataFrame:
+
+def person_spans(intervals: DataFrame, contact: DataFrame, scores: DataFrame | None = None) -> DataFrame:
+    """Intervals with facts and scores of their person."""
     people = contact.select("person_id", "dob", *PERSON_FACTS)
-    return (
-        intervals.select(
-            "person_id", F.col("seq").alias("first_seq"), F.col("g_number").alias("student"), "district_name",
-            F.col("program_detail").alias("program_name"), "district_student_number",
-            F.col("start_date").alias("enrolled_date"), "coach_name",
-        )
-        .join(people, "person_id")
-        .withColumn("age_at_entry", whole_years(F.col("dob"), F.col("enrolled_date")))
-        .drop("dob")
-    )
+    rows = intervals.join(people, "person_id").withColumnRenamed("g_number", "student")
+    return settle_by(rows if scores is None else rows.join(scores, "person_id", "left"), "student")
 
 
-TEST_DATES = ["ytc_test_date", "yes_test_date"]
+def student_terms(
+    facts: DataFrame, term_results: DataFrame | None, calendar: DataFrame, sis_person: DataFrame | None = None
+) -> DataFrame:
+    """One row per student: ``terms`` in order (see ``term_facts``), with term results and demographics where wanted.
 
+    A student has at most one entry per term of the calendar.
+    """
+    one = F.struct("term", *[c for c in facts.columns if c not in ("student", "term")])
+    rows = facts.groupBy("student").agg(F.sort_array(F.collect_list(one)).alias("terms"))
+    if term_results is not None:
+        rows = rows.join(attended_terms(term_results, calendar), "student")
+    if sis_person is not None:
+        people = sis_person.groupBy("student").agg(*[F.min(c).alias(c) for c in DEMOGRAPHICS])
+        rows = rows.join(people, "student", "left")
+    return settle_by(rows, "student")
+
+
+def results_before(date: str, facts: DataFrame) -> Column:
+    """Number, credits and points of the calendar terms that begin before a date."""
+    kinds = {c: facts.schema[f"to_date_{c}"].dataType for c in ("terms", "credits", "points")}
+    values = {"terms": lambda t: F.lit(1), "credits": lambda t: t["graded_credits"], "points": lambda t: t["points"]}
+    early = F.filter("terms", lambda t: t["term_begin"] < F.col(date))
+    zero = F.struct(*[F.lit(0).cast(kinds[c]).alias(c) for c in values])
+    return F.aggregate(early, zero, lambda at, t: F.struct(*[(at[c] + v(t)).cast(kinds[c]).alias(c) for c, v in values.items()]))
+
+
+ENTRY = {
+    "district_name": "district_name", "program_detail": "program_name", "district_student_number": "district_student_number",
+    "start_date": "enrolled_date", "coach_name": "coach_name",
+}
+
+
+def _in_periods(spans: DataFrame, calendar: DataFrame, keys: list[str], more: dict[str, Column]) -> DataFrame:
+    """First and last interval of each person, program and period, with the person's facts; stays within the student's bucket."""
+    pairs = overlap_join(spans, calendar, "start_date", "end_date", "term_begin", "term_end", _on_terms())
+    known = ["dob", *PERSON_FACTS, *[c for c in spans.columns if c.endswith(("_score", "_passed", "_test_date"))]]
+    rows = pairs.groupBy("student", "person_id", "program", *keys).agg(
+        F.min(F.struct("seq", *ENTRY)).alias("_first"),
+        F.max(F.struct("seq", "end_date", "exit_reason", "secondary_reason")).alias("_last"),
+        F.first(F.struct(*known)).alias("_person"),
+        *[value.alias(name) for name, value in more.items()],
+    )
+    entry = {new: F.col(f"_first.{old}") for old, new in ENTRY.items()}
+    person = {c: F.col(f"_person.{c}") for c in known}
+    rows = rows.withColumns(entry | person | {c: F.col(f"_last.{c}") for c in ("end_date", "exit_reason", "secondary_reason")})
+    return rows.withColumn("age_at_entry", whole_years(F.col("dob"), F.col("enrolled_date"))).drop("dob", "_first", "_last", "_person")
+
+
+def _only_when_left(rows: DataFrame) -> DataFrame:
+    """Reasons belong to an exit; without one the person is active."""
+    left = F.col("exit_date").isNotNull()
+    return rows.withColumns(
+        {
+            "exit_reason": F.when(left, F.col("exit_reason")),
+            "secondary_reason": F.when(left, F.col("secondary_reason")),
+            "is_active": (~left).cast("int"),
+        }
+    )
 
-def score_results(scores: DataFrame, contact: DataFrame, facts: DataFrame) -> DataFrame:
-    """Scores with the student's results of the terms before each test date."""
-    named = scores.join(contact.select("person_id", F.col("g_number").alias("student")), "person_id")
-    return named.join(results_until(facts, named.select("student", *TEST_DATES), TEST_DATES), "student", "left").drop("student")
+
+TEST_DATES = ["ytc_test_date", "yes_test_date"]
 
 
-def _scored(rows: DataFrame, scores: DataFrame, begin: str, end: str, label: str) -> DataFrame:
-    """Scores known by the end of the period, when the pass happened, and results since."""
-    tests = ["social", "science", "math", "literature", "writing", "language"]
+def _scored(rows: DataFrame, facts: DataFrame, begin: str, end: str, label: str) -> DataFrame:
+    """Scores known by the end of the period, when the pass happened, and results before the test in use."""
     finish = F.col(end)
     first_known = F.col("ytc_test_date") <= finish
     second_known = F.col("yes_test_date") <= finish
@@ -492,13 +537,12 @@ def _scored(rows: DataFrame, scores: DataFrame, begin: str, end: str, label: str
         .otherwise("None")
     )
     return (
-        rows.join(scores, "person_id", "left")
-        .withColumns({"passed_code": passed, "_tested": tested})
+        rows.withColumns({"passed_code": passed, "_tested": tested})
         .withColumn("completed_code", when_passed)
         .withColumn("last_test_date", F.when(F.col("_tested") < day(fixed.LAST_KNOWN_TEST), F.col("_tested")))
-        .withColumn("_before", F.when(first_known, F.col("_ytc_test_date")).otherwise(F.col("_yes_test_date")))
-        .withColumns({f"{t}_score": F.when(first_known, F.col(f"{t}_score")) for t in tests})
-        .drop("_tested", "ytc_passed", "yes_passed", *TEST_DATES, *[f"_{c}" for c in TEST_DATES])
+        .withColumn("_before", F.when(first_known, results_before("ytc_test_date", facts)).otherwise(results_before("yes_test_date", facts)))
+        .withColumns({f"{t}_score": F.when(first_known, F.col(f"{t}_score")) for t in TESTS})
+        .drop("_tested", "ytc_passed", "yes_passed", *TEST_DATES)
     )
 
 
@@ -517,23 +561,29 @@ def person_term(
     last one. With ``scores`` (see ``pass_rule``) the row also says whether and
     when the tests were passed, and the results since then.
     """
-    by_term = interval_by_term(intervals, calendar, program)
-    exits = period_exit(by_term, intervals, calendar, term_results).drop("program")
-    facts = term_facts(courses, calendar)
-    wanted = ["student", "term", *LEVELS, "esol_student", "incoming_esol_level"]
-    rows = (
-        exits.join(_entry(intervals, contact), ["person_id", "first_seq"])
-        .join(facts.select(*wanted, *([] if scores is None else TO_DATE)), ["student", "term"])
-        .join(term_results, ["student", "term"])
-    )
+    facts = settle(term_facts(courses, calendar))
+    spans, students = person_spans(intervals, contact, scores), student_terms(facts, term_results, calendar)
+    taught = facts.select("term").distinct().withColumn("taught", F.lit(True))
+    terms = calendar.select(*TERM_COLUMNS).join(taught, "term", "left")
+    person = Window.partitionBy("student", "person_id")  # at most one row per program and term
+    rows = _in_periods(spans, terms, [*TERM_COLUMNS, "taught"], {})
+    rows = rows.withColumns({f"first_{c}": F.min(F.when(F.col("taught"), F.col(c))).over(person) for c in ("term", "term_begin")})
+    rows = rows.filter(same_text(F.col("program"), F.lit(program))).join(students, "student")
+    end = F.col("end_date")
+    rows = rows.withColumn("max_term", _last_attended("attended", end)).filter("term <= max_term")
+    in_term = F.when(end <= F.col("next_begin"), end)
+    closing = (F.col("term") == F.col("max_term")) & in_term.isNull() & end.isNotNull()
+    rows = _only_when_left(rows.withColumn("exit_date", F.when(closing, F.col("term_end")).otherwise(in_term)))
+    here = F.get(F.filter("terms", lambda t: t["term"] == F.col("term")), F.lit(0))
+    wanted = [*LEVELS, "esol_student", "incoming_esol_level", *([] if scores is None else TO_DATE)]
+    results = F.explode(F.filter("results", lambda r: r["term"] == F.col("term"))).alias("_result")
+    rows = rows.withColumn("_fact", here).filter(F.col("_fact").isNotNull()).select("*", results)
+    rows = rows.withColumns({c: F.col(f"_fact.{c}") for c in wanted})
+    rows = rows.withColumns({c: F.col(f"_result.{c}") for c in term_results.columns if c not in ("student", "term")})
     if scores is not None:
-        known = score_results(scores, contact, facts)
-        rows = post_pass_gpa(_scored(rows, known, "term_begin", "term_end", "Term"))
-    start = first_term(intervals, calendar, courses)
-    return (
-        rows.join(start, "person_id", "left")
-        .withColumn("is_new", (F.col("term") == F.col("first_term")).cast("int"))
-        .drop("term_begin", "term_end", "next_begin", "first_seq", "last_seq")
+        rows = post_pass_gpa(_scored(rows, facts, "term_begin", "term_end", "Term"))
+    return rows.withColumn("is_new", (F.col("term") == F.col("first_term")).cast("int")).drop(
+        "program", "taught", "term_begin", "term_end", "next_begin", "end_date", "max_term", "terms", "results", "attended", "_fact", "_result"
     )
 
 
@@ -588,34 +638,30 @@ def person_year(
     program: str,
 ) -> DataFrame:
     """One row per person and program year with courses, with scores and demographics."""
-    rows = interval_by_year(intervals, calendar, program).drop("program")
-    facts = term_facts(courses, calendar)
-    # a student has a handful of terms in a year, so the list of results stays short
-    results = F.struct("term", *TO_DATE)
-    first = {"to_date_terms": F.lit(1), "to_date_count": F.col("graded_count"),
-             "to_date_credits": F.col("graded_credits"), "to_date_points": F.col("points")}
-    earlier = F.struct(F.lit(0).alias("term"), *[(F.col(c) - own).alias(c) for c, own in first.items()])
-    in_year = (
-        facts.filter(F.col("program_year").isNotNull())
-        .groupBy("student", "program_year")
-        .agg(
-            *[(F.min if c.startswith("min") else F.max)(c).alias(c) for c in LEVELS],
-            F.max("esol_student").alias("esol_student"),
-            F.min_by("incoming_esol_level", "term").alias("incoming_esol_level"),
-            F.collect_list(results).alias("_results"),
-            F.min_by(earlier, "term").alias("_earlier"),
-        )
-    )
-    rows = rows.join(_entry(intervals, contact), ["person_id", "first_seq"]).join(in_year, ["student", "program_year"])
-    reached = F.array_max(F.filter("_results", lambda r: r["term"] <= F.col("max_term")))
-    rows = rows.withColumn("_reached", F.coalesce(reached, F.col("_earlier")))
-    rows = rows.withColumns({c: F.col(f"_reached.{c}") for c in TO_DATE}).drop("_results", "_earlier", "_reached")
-    known = score_results(scores, contact, facts)
-    rows = post_pass_gpa(_scored(rows, known, "year_begin", "year_end", "ProgramYear"))
-    people = sis_person.groupBy("student").agg(*[F.min(c).alias(c) for c in DEMOGRAPHICS])
-    return rows.join(people, "student", "left").drop(
-        "first_seq", "last_seq", "year_begin", "year_end", "year_first_term", "year_last_term"
-    )
+    facts = settle(term_facts(courses, calendar))
+    spans, students = person_spans(intervals, contact, scores), student_terms(facts, None, calendar, sis_person)
+    terms = calendar.select(*TERM_COLUMNS).join(year_bounds(calendar), "program_year")
+    year = ["program_year", "year_begin", "year_end"]
+    mine = spans.filter(same_text(F.col("program"), F.lit(program)))
+    rows = _in_periods(mine, terms, year, {"min_term": F.min("term"), "max_term": F.max("term")})
+    rows = _only_when_left(rows.withColumn("exit_date", F.when(F.col("end_date") <= F.col("year_end"), F.col("end_date"))))
+    rows = rows.join(students, "student")
+    rows = rows.withColumn("_year", F.filter("terms", lambda t: t["program_year"] == F.col("program_year"))).filter(F.size("_year") > 0)
+
+    def over_year(column: str, pick=F.array_max) -> Column:
+        return pick(F.transform("_year", lambda t: t[column]))
+
+    own = {"to_date_terms": "1", "to_date_count": "graded_count", "to_date_credits": "graded_credits", "to_date_points": "points"}
+    first = F.get("_year", F.lit(0))
+    before = {c: first[c] - (F.lit(1) if v == "1" else first[v]) for c, v in own.items()}
+    reached = F.try_element_at(F.filter("_year", lambda t: t["term"] <= F.col("max_term")), F.lit(-1))
+    rows = rows.withColumns(
+        {c: over_year(c, F.array_min if c.startswith("min") else F.array_max) for c in LEVELS}
+        | {"esol_student": over_year("esol_student"), "incoming_esol_level": first["incoming_esol_level"]}
+        | {c: F.when(reached.isNull(), before[c]).otherwise(reached[c]) for c in TO_DATE}
+    )
+    rows = post_pass_gpa(_scored(rows, facts, "year_begin", "year_end", "ProgramYear"))
+    return rows.drop("program", "year_begin", "year_end", "end_date", "terms", "_year")
 
 
 # --- cohorts and course facts -------------------------------------------------------------

@@ -11,6 +11,8 @@ import duckdb
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
+from spanbill.operators.stage import finish  # noqa: E402
+
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "benchmark", "conversations"]
 
 
@@ -54,7 +56,9 @@ def difference(names, left, right) -> str | None:
 
 
 def check(spark, con, sf_dir: str, name: str, job, sql: str | None) -> str | None:
-    names, rows = spark_rows(job(spark, sf_dir))
+    df = job(spark, sf_dir)
+    names, rows = spark_rows(df)
+    finish(df)
     if sql is None:
         return None
     other, expected = duck_rows(con, sql)

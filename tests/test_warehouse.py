@@ -62,9 +62,9 @@ def test_post_pass_gpa(spark):
     )
     facts = P.term_facts(c, calendar(spark))
     dates = spark.createDataFrame([("G1", d("2014-02-01")), ("G2", d("2014-02-01")), ("G3", None)], "student string, t date")
-    before = P.results_until(facts, dates, ["t"]).withColumnRenamed("_t", "_before")
-    rows_ = facts.select("student", "term", *P.TO_DATE).join(before, "student").join(dates, "student")
-    rows_ = rows_.withColumnRenamed("t", "last_test_date")
+    students = P.student_terms(facts, None, calendar(spark))
+    rows_ = facts.select("student", "term", *P.TO_DATE).join(students, "student").join(dates, "student")
+    rows_ = rows_.withColumn("_before", P.results_before("t", facts)).withColumnRenamed("t", "last_test_date")
     got = rows(P.post_pass_gpa(rows_), "student", "term", "post_gpa", "post_terms")
     assert got == [
         ("G1", 201401, None, None),
