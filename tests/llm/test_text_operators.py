@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import time
 import zlib
 from collections import Counter
 
@@ -157,11 +158,39 @@ def test_article():
 def test_unclosed_elements_end_with_their_parent():
     for name in ("svg", "math", "template", "noscript", "iframe", "xmp"):
         assert boilerplate.parse(f"<article><div>one <{name}> lost</div><p>two</p></article>")[0] == ["one", "two"], name
-        assert boilerplate.parse(f"<article><p>one <{name}>a<{name}>b</{name}>c</{name}> two</p></article>")[0] == ["one", "two"], name
+        assert boilerplate.parse(f"<article><p>one <{name}>a<{name}>b</{name}>c</{name}> two</p></article>")[0] == ["one two"], name
     assert boilerplate.parse("<article><p>one</p><svg><path d='M0'><p>two</p></article>")[0] == ["one", "two"]
     assert boilerplate.parse("<article><p>one</p><script>var a; <p>two</p>")[0] == ["one"]
 
 
+def test_furniture_inside_a_line_does_not_cut_it():
+    for page, want in (
+        ("<p>a <label>x</label> b</p>", ["a b"]),
+        ("<p>a<button>x</button>b<p>c", ["ab", "c"]),
+        ("<p>a <label>x<p>b", ["a", "b"]),
+        ("a <select><option>x</select> b", ["a b"]),
+        ("<p>a <svg><text>x</text></svg> <label>y <button>z</button></label>b</p><p>c</p>", ["a b", "c"]),
+    ):
+        assert boilerplate.parse(f"<article>{page}</article>")[0] == want, page
+
+
+HOSTILE = {
+    "tags": "<a ", "quotes": '<a "', "both": """<a "'<b ' """, "marks": "<!", "scripts": "<script>", "signs": "<", "lists": "<p><li><div>", "drawings": "<svg>",
+    "labels": "<p>a <label>b", "values": "<a b='x' ", "comments": "<!-- ", "sections": "<![CDATA[", "ends": "</i>", "spans": "<span>", "styles": "</script><style>x</style>",
+}
+
+
+@pytest.mark.parametrize("kind", sorted(HOSTILE))
+def test_hostile_pages_take_linear_time(kind):
+    def took(size):
+        page = HOSTILE[kind] * (size // len(HOSTILE[kind])) + "<p>x" * 1_000
+        begin = time.process_time()
+        boilerplate.parse(page)
+        return time.process_time() - begin
+
+    assert took(1_000_000) < max(3.0, 8 * took(250_000))
+
+
 def test_names_count_whole_and_on_containers():
     """Parts of names make nothing main text or navigation, nor do names of headings and paragraphs."""
     body = "<p>The body of this page is long enough to be most of its text.</p>"
