@@ -46,8 +46,7 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents")
-    return pu_quality.score(docs, pu_quality.fit(docs, read(spark, sf_dir, "labels")), ["doc_id"])
+    return pu_quality.quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
 def op7_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -77,13 +77,17 @@ def with_stats(docs: DataFrame, keep: list[str]) -> DataFrame:
     return docs.select(*keep, F.col("text").cast("binary").alias("_text")).mapInArrow(run, schema)
 
 
-def label_sample(labels: DataFrame, target: str, most: int, allowed: Column | None = None) -> DataFrame:
-    """At most `most` labelled documents (doc_id, y), chosen by a hash of the id.
+def voted_labels(labels: DataFrame, target: str, allowed: Column | None = None) -> DataFrame:
+    """doc_id and y of every labelled document.
 
     Repeated labels of a document count by their majority, ties as 0; null ids and null labels
     are left out.
     """
     rows = labels.where(F.col("doc_id").isNotNull() & F.col(target).isNotNull())
     rows = rows if allowed is None else rows.where(allowed)
-    voted = rows.groupBy("doc_id").agg((F.avg(F.col(target).cast("double")) > 0.5).cast("int").alias("y"))
-    return voted.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+    return rows.groupBy("doc_id").agg((F.avg(F.col(target).cast("double")) > 0.5).cast("int").alias("y"))
+
+
+def label_sample(labels: DataFrame, target: str, most: int, allowed: Column | None = None) -> DataFrame:
+    """At most `most` labelled documents (doc_id, y), chosen by a hash of the id; labels as in `voted_labels`."""
+    return voted_labels(labels, target, allowed).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)

@@ -118,6 +118,51 @@ def test_scores(docs, labels, rows):
     assert all(r.held_out == (r.doc_id is not None and zlib.crc32(str(r.doc_id).encode()) % 3 == 1) for r in out)
 
 
+def test_risk_is_that_of_all_documents(docs, rows):
+    """Mean, deviation, loss and gradient summed by Spark against a plain loop over all open rows."""
+    written = pu_quality.featured(docs, ["doc_id"])
+    x = np.array([pu_quality.document_features((t or "").encode()) for i, t in rows if i is not None and zlib.crc32(str(i).encode()) % 3 != 1])
+    some = written.where(F.col("doc_id").isNotNull() & ~pu_quality.held_out(F.col("doc_id")))
+    n, mean, scale = pu_quality.mean_and_scale(some, x.shape[1])
+    assert n == len(x) and np.allclose(mean, x.mean(0)) and np.allclose(scale, x.std(0) + 1e-6, atol=1e-5)
+    rng = np.random.default_rng(3)
+    w, b = rng.normal(size=x.shape[1]), 0.3
+    loss, gradient = pu_quality.risk_of_all(some, n, mean, scale)(w, b)
+    z = np.clip((x - mean) / scale, -8, 8)
+
+    def plain(w, b):
+        return np.mean([1 / (1 + np.exp(-np.clip(r @ w + b, -30, 30))) for r in z])
+
+    assert np.isclose(loss, plain(w, b))
+    for k in (0, 5, len(w)):
+        step = np.zeros(len(w) + 1)
+        step[k] = 1e-6
+        slope = (plain(w + step[:-1], b + step[-1]) - plain(w - step[:-1], b - step[-1])) / 2e-6
+        assert np.isclose(gradient[k], slope, atol=1e-5)
+
+
+def test_written_features_score_alike(docs, labels):
+    model = pu_quality.fit(docs, labels)
+    direct = {(r.doc_id, r.score) for r in pu_quality.score(docs, model, ["doc_id"]).collect()}
+    assert {(r.doc_id, r.score) for r in pu_quality.score_featured(pu_quality.featured(docs, ["doc_id"]), model, ["doc_id"]).collect()} == direct
+
+
+def test_flat_trees_against_a_walk():
+    rng = np.random.default_rng(5)
+    x, z = rng.random((400, 4)), rng.random((300, 4))
+    trees = quality_rules.Booster().fit(x, (x[:, 0] + x[:, 1] * x[:, 2] > 0.8).astype(float), [0, 0, 0, -1])
+
+    def walk(row):
+        total = trees.start
+        for node in trees.roots.tolist():
+            while not trees.leaf[node]:
+                node = trees.left[node] + (row[trees.feature[node]] > trees.threshold[node])
+            total += trees.value[node]
+        return total
+
+    assert np.allclose(trees.margin(z), [walk(r) for r in z])
+
+
 def test_held_out_accuracy(spark, sf_dir):
     docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
     out = pu_quality.score(docs, pu_quality.fit(docs, labels), ["doc_id"]).where("held_out").join(labels, "doc_id").collect()
