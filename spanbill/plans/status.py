@@ -128,16 +128,14 @@ def exit_reconcile(
 
     An empty exit note gives way to the latest comment by id.
     """
-    rest = [c for c in bills.columns if c not in ("person_id", "bill_id")]
-    last = (
-        bills.filter("include_flag = 1")
-        .groupBy("person_id")
-        .agg(F.max(F.struct("bill_id", *rest)).alias("_last"))
-        .select("person_id", "_last.*")
-    )
+    # two numbers per person are aggregated by hash; whole rows would have to be sorted
+    included = bills.filter("include_flag = 1")
+    newest = included.groupBy("person_id").agg(F.max("bill_id").alias("bill_id"))
+    last = included.join(newest, ["person_id", "bill_id"], "left_semi")
     hours = items.groupBy("bill_id").agg(F.sum("attendance").alias("attendance"))
     talk = comments.groupBy("person_id").agg(F.max_by("comment_text", "comment_id").alias("_comment"))
-    now = current_state(intervals).select(
+    of_exit = ["person_id", "seq", "end_date", "exit_reason_id", "secondary_reason", "exit_note", "program", "program_detail"]
+    now = current_state(intervals.select(*of_exit)).select(
         "person_id",
         F.col("end_date").alias("_current_end"),
         F.col("exit_reason_id").alias("current_reason_id"),
