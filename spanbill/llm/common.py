@@ -58,10 +58,17 @@ def match_pieces(text: Column, pattern: str, kind: int, context: Callable[[Colum
     return F.when(text.rlike(pattern), F.transform(pairs, row))
 
 
-def tagged_pieces(text: Column, patterns: dict[str, str], context: Callable[[Column], Column] | None = None) -> Column:
-    """match_pieces of several kinds in one array, kinds numbered in order."""
+def tagged_pieces(
+    text: Column, patterns: dict[str, str], context: Callable[[Column], Column] | None = None, wanted: list[Column] | None = None
+) -> Column:
+    """match_pieces of several kinds in one array, kinds numbered in order; a kind is matched only in rows where it is wanted."""
     none = F.array().cast(f"array<struct<kind:int,n:int,gap:bigint,hit:string{',ctx:string' if context else ''}>>")
-    return F.concat(*[F.coalesce(match_pieces(text, p, i, context), none) for i, p in enumerate(patterns.values())])
+
+    def pieces(i: int, pattern: str) -> Column:
+        found = match_pieces(text, pattern, i, context)
+        return found if wanted is None else F.when(wanted[i], found)
+
+    return F.concat(*[F.coalesce(pieces(i, p), none) for i, p in enumerate(patterns.values())])
 
 
 def kind_count(spans: Column, kind: int) -> Column:

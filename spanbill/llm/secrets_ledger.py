@@ -44,7 +44,7 @@ BASE_RULES = [
     Rule("hex", 1, r"(?<![0-9a-f])[0-9a-f]{24,}"),
 ]
 #: What the ledger's rules add to the base: keys that name their issuer, and private key headers.
-MORE_RULES = [Rule("issued", 1, r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----|\bgh[pousr]_[A-Za-z0-9]{36,}|\bxox[abprs]-[A-Za-z0-9-]{10,}")]
+MORE_RULES = [Rule("issued", 1, r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----|(?<![A-Za-z0-9_])(?:gh[pousr]_[A-Za-z0-9]{36,}|xox[abprs]-[A-Za-z0-9-]{10,})")]
 RULES = BASE_RULES + MORE_RULES
 
 
@@ -84,8 +84,8 @@ class SecretLedger:
         done = done.groupBy("blob").agg(F.collect_set("pair").alias("_done"))
         todo = blobs.join(done, "blob", "left").withColumn("_done", F.coalesce("_done", F.array().cast("array<string>")))
         todo = todo.where(F.size("_done") < len(rules))
-        pieces = tagged_pieces(F.col("text"), {r.name: r.pattern for r in rules})
-        new = F.filter(pieces, lambda p: ~F.array_contains("_done", F.get(F.array(*map(F.lit, versions)), p["kind"])))
+        unseen = [~F.array_contains("_done", F.lit(v)) for v in versions]
+        new = tagged_pieces(F.col("text"), {r.name: r.pattern for r in rules}, wanted=unseen)
         marked = todo.select("blob", "_done", F.explode_outer(new).alias("p"))
         found = settle(marked.select("blob", "_done", "p.*"))
         by = Window.partitionBy("blob", "kind").orderBy("n")

@@ -91,6 +91,20 @@ def test_ledger_scans_only_what_is_new(spark, docs, rows):
     assert [tuple(s) for s in spans[99]] == [(0, 0, 14)] == [tuple(s) for s in spans[100]] and spans[1] is None
 
 
+def test_a_further_scan_matches_unseen_pairs_only(spark):
+    """A blob that has been scanned by one rule is matched by the other alone; keys are found behind ASCII word ends."""
+    key = "ghp_" + "Zz9" * 14
+    docs = spark.createDataFrame([(1, f"token=abcdefgh {key}"), (2, f"é{key}"), (3, f"x{key}")], "doc_id long, text string")
+    ledger, rules = secrets_ledger.SecretLedger(spark), secrets_ledger.RULES
+    ledger.add(docs, [rules[0]])
+    first = ledger.findings.count()
+    secrets_ledger.scan_documents(docs, rules, ledger)
+    assert ledger.findings.where("rule = 'assign'").count() == first == 1
+    out = {r.doc_id: r.spans for r in secrets_ledger.scan_documents(docs, rules, ledger).collect()}
+    assert out == {1: "assign:0:14,issued:15:61", 2: "issued:1:47", 3: ""}
+    assert ledger.findings.count() == 3 and ledger.scanned.count() == 3 * len(rules)
+
+
 @pytest.mark.parametrize("block", [100_000, 3])
 def test_benchmark_words(docs, rows, benchmark, block):
     out = decontaminate.contamination(docs, benchmark, block=block).selectExpr("*", "sha2(array_join(items, ','), 256) as h")
