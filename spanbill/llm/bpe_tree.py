@@ -1,7 +1,7 @@
 """BPE encoding and decoding, long texts by tree concatenation.
 
-Short texts are encoded word by word with a cache: no token of this vocabulary spans ASCII white space, so the
-ids of a text are the ids of its words. A text beyond `long_chars` is halved until its leaves are short; the
+Short texts are encoded word by word, and each worker process keeps the words it has met: no token of this vocabulary spans ASCII white
+space, so the ids of a text are the ids of its words. A text beyond `long_chars` is halved until its leaves are short; the
 leaves are rows of their own, dealt over all tasks and encoded in parallel. Neighbours are then joined pair by
 pair, level by level: a window around the join is encoded again and widened until its tokens agree
 with the left half's on one side and with the right half's on the other. Where agreement never comes, the window
@@ -9,7 +9,7 @@ ends up as the whole pair, which is exact as well.
 
 Null counts as empty; an empty text has no tokens. Rows with the same id are encoded each for themselves. Strings
 of special tokens in a text become those tokens, as the library has it. The library's ids and decoded
-text are matched exactly. Extra columns are not touched.
+text are matched exactly. An empty table gives an empty result. Extra columns are not touched.
 """
 
 from __future__ import annotations

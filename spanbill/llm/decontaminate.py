@@ -7,7 +7,8 @@ over the documents: every position of a document is hashed over as many words as
 up, and a hit is confirmed on the words themselves. Words inside any occurrence are hit.
 
 Null and empty texts have no words and are clean; so are all documents where the benchmark is empty. Rows with the
-same id are judged each for themselves. Repeated items each count as long as their ids differ.
+same id are judged each for themselves. Repeated items each count as long as their ids differ. Very long texts are searched whole. An
+empty table of documents gives an empty result. Extra columns are not read, and kept by ``remove_spans``.
 """
 
 from __future__ import annotations

@@ -11,7 +11,8 @@ A line's key is the line without ASCII white space at both ends and with A-Z low
 `min_chars` code points found in at least `min_docs` documents lose all their lines except those
 in the largest doc_id. Each row counts as one document; all rows that carry the largest id keep their lines. A null id
 is smaller than any other; a key that only null ids hold keeps its lines. A null or empty text is one
-empty line. Repeated rows get equal results. Extra columns are not touched.
+empty line. Very long texts and lines count whole. Repeated rows get equal results. An empty table gives an empty result. Extra columns
+are not touched.
 """
 
 from __future__ import annotations

@@ -11,7 +11,8 @@ come from label propagation with jumps.
 
 Two documents of similarity 0.8 share no bucket with a probability of about 5 in a million (40 bands of 6).
 Documents without words (null, empty) have an empty set and are linked with nothing. Rows with the same id are rows
-of their own; null ids are never a component's id unless it has no other. Extra columns are not touched.
+of their own; null ids are never a component's id unless it has no other. Very long texts give all their shingles. An empty table gives
+an empty result. Extra columns are not touched.
 """
 
 from __future__ import annotations

@@ -8,7 +8,8 @@ arrays, so a batch is scored by a few array look-ups per level.
 
 Null and empty texts have no words and fail the base rule. Rows with the same id are scored each for
 themselves. Without labels, or with labels of one class only, nothing is learned and the base rules
-alone decide. At most ``most_labels`` labelled documents are used for the fit (by a hash of the id).
+alone decide. At most ``most_labels`` labelled documents are used for the fit (by a hash of the id). Very long texts are read whole. An
+empty table gives an empty result. Extra columns are not read.
 """
 
 from __future__ import annotations

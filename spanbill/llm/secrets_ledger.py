@@ -7,7 +7,8 @@ that the ledger lacks, each blob once however many paths hold it, adds the resul
 findings of the current rule versions back to all paths.
 
 A null text is an empty blob. Rows with the same id are paths of their own. Spans are in code points,
-end exclusive. An empty table leaves the ledger as it is and returns no rows.
+end exclusive. Very long texts are scanned whole. An empty table leaves the ledger as it is and returns no rows. Extra columns are not
+read.
 """
 
 from __future__ import annotations
