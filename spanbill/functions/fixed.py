@@ -56,6 +56,25 @@ REASON_GRADUATED = "Graduated"
 REASON_MOVED = "Moved out of District/State (Specify District/State)"
 REASON_ABSENT = "10 Days Absent"
 REASON_NO_SHOW = "Accepted/No Show"
+OUTCOME_STILL = "Still Attending"
+OUTCOME_GRADUATED = "Graduated"
+OUTCOME_TEST_PASSED = "Transferred to Yes & Earned GED"
+OUTCOME_AGAIN = "Re-enrolled in "
+OUTCOME_PROGRAM = "Transferred to "
+OUTCOME_SCHOOL = "Transferred to another school"
+OUTCOME_MOVED = "Moved out of district"
+OUTCOME_ABSENT = "10 Days Absent"
+OUTCOME_OTHER = "Exited Program"
+OUTCOME_EXITED = "Exited"
+
+# --- fixed values: billing status ----------------------------------------------
+STATUS_NO_ATTRIBUTE = "Missing Banner Attribute"
+STATUS_EXCLUDED_CLOSED = "Excluded"
+STATUS_EXCLUDED = "Excluded from Billing"
+STATUS_BILLED = "Billed"
+STATUS_NO_CLASSES = "No Classes"
+STATUS_REVIEWED = "Reviewed"
+STATUS_OPEN = "In Progress"
 
 # --- fixed values: courses ------------------------------------------------------
 ESL_SUBJECTS = ("ESL", "ESOL")

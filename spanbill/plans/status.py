@@ -21,13 +21,13 @@ def billing_status(bills: DataFrame, cycles: DataFrame, items: DataFrame) -> Dat
     counts = items.groupBy("bill_id").agg(F.count(F.lit(1)).alias("_items"))
     excluded, is_closed = F.col("include_flag") == 0, F.col("_closed").isNotNull()
     status = (
-        F.when(F.col("pidm").isNull(), "Missing Banner Attribute")
-        .when(excluded & is_closed, "Excluded")
-        .when(excluded, "Excluded from Billing")
-        .when(is_closed, "Billed")
-        .when(F.col("_items").isNull(), "No Classes")
-        .when(F.col("reviewed_flag") == 1, "Reviewed")
-        .otherwise("In Progress")
+        F.when(F.col("pidm").isNull(), fixed.STATUS_NO_ATTRIBUTE)
+        .when(excluded & is_closed, fixed.STATUS_EXCLUDED_CLOSED)
+        .when(excluded, fixed.STATUS_EXCLUDED)
+        .when(is_closed, fixed.STATUS_BILLED)
+        .when(F.col("_items").isNull(), fixed.STATUS_NO_CLASSES)
+        .when(F.col("reviewed_flag") == 1, fixed.STATUS_REVIEWED)
+        .otherwise(fixed.STATUS_OPEN)
     )
     return (
         bills.withColumn("_type", kind)

@@ -92,20 +92,17 @@ def interval_outcome(intervals: DataFrame, passed: DataFrame) -> DataFrame:
     follow, program = F.col("next_program"), F.col("program")
     still, graduated = F.col("end_date").isNull(), same_text(reason, F.lit(fixed.REASON_GRADUATED))
     outcome = (
-        F.when(still, "Still Attending")
-        .when(graduated, "Graduated")
-        .when(
-            same_text(follow, F.lit(fixed.PROGRAM_YTC)) & (F.col("passed_yn") == "Y"),
-            "Transferred to Yes & Earned GED",
-        )
-        .when(same_text(program, follow), F.concat(F.lit("Re-enrolled in "), program))
-        .when(~same_text(program, follow), F.concat(F.lit("Transferred to "), follow))
-        .when(reason.ilike("%transfer%"), "Transferred to another school")
-        .when(same_text(reason, F.lit(fixed.REASON_MOVED)), "Moved out of district")
-        .when(same_text(reason, F.lit(fixed.REASON_ABSENT)), fixed.REASON_ABSENT)
-        .otherwise("Exited Program")
-    )
-    basic = F.when(still, "Still Attending").when(graduated, "Graduated").otherwise("Exited")
+        F.when(still, fixed.OUTCOME_STILL)
+        .when(graduated, fixed.OUTCOME_GRADUATED)
+        .when(same_text(follow, F.lit(fixed.PROGRAM_YTC)) & (F.col("passed_yn") == "Y"), fixed.OUTCOME_TEST_PASSED)
+        .when(same_text(program, follow), F.concat(F.lit(fixed.OUTCOME_AGAIN), program))
+        .when(~same_text(program, follow), F.concat(F.lit(fixed.OUTCOME_PROGRAM), follow))
+        .when(reason.ilike("%transfer%"), fixed.OUTCOME_SCHOOL)
+        .when(same_text(reason, F.lit(fixed.REASON_MOVED)), fixed.OUTCOME_MOVED)
+        .when(same_text(reason, F.lit(fixed.REASON_ABSENT)), fixed.OUTCOME_ABSENT)
+        .otherwise(fixed.OUTCOME_OTHER)
+    )
+    basic = F.when(still, fixed.OUTCOME_STILL).when(graduated, fixed.OUTCOME_GRADUATED).otherwise(fixed.OUTCOME_EXITED)
     return (
         intervals.join(passed.select("person_id", "passed_yn"), "person_id", "left")
         .withColumns({"outcome": outcome, "basic_outcome": basic})
