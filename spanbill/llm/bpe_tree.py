@@ -32,7 +32,7 @@ from spanbill.llm.common import slices
 
 LONG_CHARS, LEAF_CHARS = 32_768, 16_384
 #: Words that a worker's store holds before it is emptied, and the longest word that is kept.
-CACHED, CACHED_BYTES = 300_000, 64
+CACHED, CACHED_BYTES = 150_000, 64
 FIRST_WINDOW, AGREE = 64, 4
 
 #: Tokens as three arrays of equal length: ids, first character, end character.
