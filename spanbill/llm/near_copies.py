@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from spanbill.llm.common import bounded, mix64, text_hash, with_row
+from spanbill.llm.common import bounded, mix64, text_hash
 from spanbill.operators.stage import settle
 
 BANDS, ROWS = 40, 6
@@ -280,7 +280,9 @@ def keep_one(docs: DataFrame, like: Likeness = Likeness()) -> DataFrame:  # noqa
     """The rows of docs that stay: of each component one row, that with the smallest id, and of rows which share that
     id the one with the least text hash. Rows without words stay, each one. Repeated equal rows of a component
     count as copies, so one stays."""
-    keyed = settle(with_row(docs).withColumn("h", text_hash(F.col("text"))).withColumn("r", F.monotonically_increasing_id()))
-    found = near_copies(keyed.select(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "h", "r").alias("doc_id"), "text"), like)
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")  # texts are written once
+    keyed = settle(docs.select(row, text_hash(F.col("text")).alias("h"), F.monotonically_increasing_id().alias("r")))
+    doc_id = F.col("row.doc_id")
+    found = near_copies(keyed.select(F.struct(doc_id.isNull().alias("z"), doc_id.alias("doc_id"), "h", "r").alias("doc_id"), F.col("row.text").alias("text")), like)
     stay = found.where("kept").select(F.col("doc_id.r").alias("k"))
     return keyed.join(stay, F.col("r") == F.col("k"), "left_semi").select("row.*")
