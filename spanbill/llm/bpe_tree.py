@@ -73,9 +73,9 @@ class WordEncoder(dict):
     else encoded.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, keep: int = CACHED):
         super().__init__()
-        self.tok, self.old = tokenizer(path), {}
+        self.tok, self.old, self.keep = tokenizer(path), {}, keep
         with open(path, encoding="utf-8") as f:
             said = json.load(f)
         steps = [*(said["normalizer"] or {}).get("normalizers", []), *(said["pre_tokenizer"] or {}).get("pretokenizers", [])]
@@ -89,7 +89,7 @@ class WordEncoder(dict):
             ids = self._encode(word)
         if len(word) <= CACHED_BYTES:
             self[word] = ids
-            if len(self) > CACHED:
+            if len(self) > self.keep:
                 self.old = dict(self)
                 self.clear()
         return ids
@@ -139,9 +139,9 @@ def _byte_names() -> dict[str, str]:
 
 
 @lru_cache(2)
-def word_encoder(path: str) -> WordEncoder:
+def word_encoder(path: str, keep: int = CACHED) -> WordEncoder:
     """One encoder, and so one store of words, for each worker process."""
-    return WordEncoder(path)
+    return WordEncoder(path, keep)
 
 
 @lru_cache(2)

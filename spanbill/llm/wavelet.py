@@ -34,6 +34,8 @@ from spanbill.operators.stage import settle
 MAGIC, VERSION = b"WVMX", 1
 #: Bits of a chunk, and ids after which a shard is closed.
 CHUNK, SHARD_IDS = 32_768, 1 << 20
+#: Words that a worker process keeps while it writes files.
+KEPT_WORDS = 300_000
 _HEADER = struct.Struct("<4sIQQIQ")  # magic, version, ids, documents, planes, bytes of the ends
 
 
@@ -165,7 +167,7 @@ def write_files(docs: DataFrame, path: str, end_id: int, shard_ids: int = SHARD_
     rows = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, part, number, offset = word_encoder(path), TaskContext.get().partitionId(), 0, 0
+        encode, part, number, offset = word_encoder(path, KEPT_WORDS), TaskContext.get().partitionId(), 0, 0
         doc_ids, found, held, stop = [], [], 0, np.array([end_id], "<u4").tobytes()
 
         def shard() -> pa.RecordBatch:
