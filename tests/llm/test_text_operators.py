@@ -307,6 +307,29 @@ def test_repeats_of_a_host(spark):
     assert {r.page_id: r.text for r in out.collect()} == want
 
 
+@pytest.mark.parametrize("limit", [1_000_000, 40])
+def test_suffix_array_of_a_host(spark, limit):
+    """Sorted suffixes and their common prefixes, and the places they repeat, as a plain list gives them; also where a host is cut in ranges."""
+    rng, depth = random.Random(8), 3
+    rows = [(r, f"h{r % 2}", r // 2 % 9, [" ".join(rng.choice("abc") for _ in range(rng.randrange(1, 9))) for _ in range(rng.randrange(4))]) for r in range(40)]
+    frames = [(h, page, r, [(False, t) for t in texts]) for r, h, page, texts in rows]
+    blocks = spark.createDataFrame(frames, "host string, page long, row long, frame array<struct<chrome:boolean,text:string>>")
+    array, repeated = [], set()
+    for host in ("h0", "h1"):
+        mine = [(words[at : at + 2 * depth], r, at, page) for r, h, page, texts in rows if h == host for words in [" ".join(texts).split()] for at in range(len(words) - depth + 1)]
+        before, need = None, max(boilerplate.MIN_PAGES, boilerplate.MIN_SHARE * len({page for _, h, page, _ in rows if h == host}))
+        for n, (suffix, r, at, page) in enumerate(sorted(mine), 1):
+            common = next((i for i, (a, b) in enumerate(zip(suffix, before or [], strict=False)) if a != b), min(len(suffix), len(before or [])))
+            array.append((host, page, r, at, n, common))
+            before = suffix
+            if len({p for s, _, _, p in mine if s[:depth] == suffix[:depth]}) >= need:
+                repeated.add((r, at))
+    found, _ = boilerplate.suffix_array(blocks, depth, limit)
+    assert sorted(tuple(r) for r in found.collect()) == sorted(array)
+    assert repeated and len(repeated) < len(array)
+    assert sorted(tuple(r) for r in boilerplate.repeats(blocks, depth, limit).collect()) == sorted(repeated)
+
+
 @pytest.mark.parametrize("words", [2, 5])
 def test_near_copies(docs, rows, words):
     out = near_copies.near_copies(docs, near_copies.Likeness(words, 80))
