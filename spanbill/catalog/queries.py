@@ -268,7 +268,7 @@ def attendance_update(d):
     d.store("bills")
     rest = d.cycles, d.course_scenarios, d.scenario_dim, d.districts
     first = A.update_attendance_billing(d.bills, d.items, *rest, changed_by="first")
-    again = A.update_attendance_billing(corrected(first.bills), first.items, *rest, changed_by="again")
+    again = A.update_attendance_billing(corrected(first.bills), settle(first.items), *rest, changed_by="again")
     return again.bills.select(
         "bill_id", "max_days_period", "max_days_month", "generated_amount", "generated_over", "updated_by"
     )

@@ -2,12 +2,40 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spanbill.functions.exprs import any_of, differs
 
 
+#: From so many keys on, rows are told apart by a bit map before they are shuffled. A bit map has 8 bits a key, at most 2**28 (32 MB).
+MANY_KEYS = 20_000
+_MOST_BITS, _WORDS = 28, 32
+
+
+def among(df: DataFrame, key: str, keys: DataFrame, many: int = MANY_KEYS) -> DataFrame:
+    """Rows of ``df`` whose key is among ``keys`` (distinct, and read more than once).
+
+    With many keys the rows would be shuffled to meet them. So a bit map of the keys' hashes, of bounded
+    size, goes to all tasks first, and only the rows whose bit is set are shuffled.
+    """
+    count = keys.count()
+    if count <= many:
+        return df.join(keys, key, "left_semi")
+    bits = min(2**_MOST_BITS, 2 ** max(16, math.ceil(math.log2(8 * max(count, 1)))))
+    place = F.pmod(F.xxhash64(key), F.lit(bits))
+    block, word, bit = F.expr(f"_at div {64 * _WORDS}"), F.expr(f"cast(_at div 64 % {_WORDS} as int)"), F.expr("cast(_at % 64 as int)")
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), bit)
+    words = [F.coalesce(F.bit_or(F.when(word == i, one)), F.lit(0).cast("long")) for i in range(_WORDS)]
+    taken = keys.select(place.alias("_at")).groupBy(block.alias("_block")).agg(F.array(*words).alias("_bits"))
+    rows = df.withColumn("_at", place).join(F.broadcast(taken), block == F.col("_block"))
+    rows = rows.filter(F.getbit(F.get("_bits", word), bit) == 1).select(*df.columns)
+    # a semi join would be moved ahead of the bit map
+    return rows.join(keys.distinct(), key).select(*df.columns)
+
+
 def _moved(old: str, new: str, cols: list[str], null_as):
     def value(name):
         column = F.col(name)
@@ -57,14 +85,23 @@ def apply_changes(
     it all: with ``only_changed`` a row is written and stamped only when a
     value differs (see ``changed_only``).
     """
-    missing = [c for c in cols if c not in old.columns]
-    types = dict(changes.dtypes)
-    base = old.withColumns({c: F.lit(None).cast(types[c]) for c in missing}) if missing else old
     fresh = changes.select(F.col(key).alias("_key"), F.struct(*cols).alias("_new"))
-    joined = base.withColumn("_old", F.struct(*cols)).join(fresh, F.col(key) == F.col("_key"), "left")
+    joined = old.join(fresh, F.col(key) == F.col("_key"), "left").drop("_key")
+    return write_new(joined, cols, changed_at, changed_by, only_changed, null_as)
+
+
+def write_new(
+    rows: DataFrame, cols: list[str], changed_at=None, changed_by=None, only_changed: bool = False, null_as=None
+) -> DataFrame:
+    """As ``apply_changes``, for rows that carry their new values as a struct ``_new`` (NULL: no change)."""
+    columns = [c for c in rows.columns if c != "_new"]
+    types = {f.name: f.dataType for f in rows.schema["_new"].dataType.fields}
+    missing = {c: F.lit(None).cast(types[c]) for c in cols if c not in columns}
+    base = rows.withColumns(missing) if missing else rows
+    joined = base.withColumn("_old", F.struct(*cols))
     hit = F.col("_new").isNotNull()
     if only_changed:
         hit = hit & _moved("_old", "_new", cols, null_as)
     out = {c: F.when(hit, F.col(f"_new.{c}")).otherwise(F.col(c)) for c in cols}
-    out |= stamps(old.columns, hit, changed_at, changed_by)
-    return joined.withColumns(out).drop("_key", "_new", "_old")
+    out |= stamps(columns, hit, changed_at, changed_by)
+    return joined.withColumns(out).drop("_new", "_old")

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from spanbill.functions import fixed
 from spanbill.functions.exprs import any_of, decimal, differs, given, is_attendance
-from spanbill.operators.snapshots import apply_changes, stamps
+from spanbill.operators.snapshots import apply_changes, stamps, write_new
+from spanbill.operators.stage import settle
 from spanbill.plans.billing import (
     exit_group_date,
     first_set,
@@ -54,20 +55,46 @@ def scenario_values(
 
     A course with several scenarios in a term uses the smallest scenario id.
     """
-    attended = bills.filter(is_attendance(F.col("program"))).join(
-        districts.select("district_id"), "district_id", "left_semi"
-    )
-    one = course_scenarios.groupBy("crn", "term").agg(F.min("scenario_id").alias("scenario_id"))
+    attended = billable(bills, districts)
     return (
         items.filter("include_flag = 1")
         .select("item_id", "bill_id", "crn")
         .join(attended.select("bill_id", "term"), "bill_id")
-        .join(one, ["crn", "term"])
+        .join(smallest_scenario(course_scenarios), ["crn", "term"])
         .join(scenarios, "scenario_id")
         .select("item_id", *Scenario.COLUMNS)
     )
 
 
+def smallest_scenario(course_scenarios: DataFrame) -> DataFrame:
+    return course_scenarios.groupBy("crn", "term").agg(F.min("scenario_id").alias("scenario_id"))
+
+
+def refreshed_items(
+    items: DataFrame,
+    bills: DataFrame,
+    course_scenarios: DataFrame,
+    scenarios: DataFrame,
+    districts: DataFrame,
+    now: datetime | None = None,
+    by: str | None = None,
+    billable_only: bool = False,
+) -> DataFrame:
+    """As ``refresh_scenario`` over ``scenario_values``.
+
+    The values are looked up along the items themselves, so the items are not
+    shuffled once more to meet them by item id. ``billable_only`` drops the
+    items of bills that are not billable.
+    """
+    terms = billable(bills, districts).select("bill_id", F.col("term").alias("_term"))
+    one = smallest_scenario(course_scenarios).join(scenarios, "scenario_id")
+    one = one.select(F.col("crn").alias("_crn"), F.col("term").alias("_of"), F.struct(*Scenario.COLUMNS).alias("_new"))
+    taught = (F.col("include_flag") == 1) & (F.col("crn") == F.col("_crn")) & (F.col("_term") == F.col("_of"))
+    rows = items.join(terms, "bill_id", "inner" if billable_only else "left").join(one, taught, "left")
+    rows = rows.select(*items.columns, "_new")
+    return write_new(rows, list(Scenario.COLUMNS), now, by, only_changed=True)
+
+
 def refresh_scenario(items: DataFrame, values: DataFrame, now: datetime | None = None, by: str | None = None):
     """Item snapshot with current scenarios; only changed items are stamped."""
     return apply_changes(items, values, "item_id", list(Scenario.COLUMNS), now, by, only_changed=True)
@@ -217,15 +244,16 @@ def update_attendance_billing(
     do not count as a change); the 2017 form stamps every bill it computes.
     """
     scope = in_scope(since, until, person)
-    values = scenario_values(items, bills.filter(scope), course_scenarios, scenarios, districts)
-    fresh = refresh_scenario(items, values, changed_at, changed_by)
+    lookups = bills.filter(scope), course_scenarios, scenarios, districts
+    fresh = refreshed_items(items, *lookups, changed_at, changed_by)
     caps = ["max_days_period", "max_days_month"]
     before = bills.withColumn("_caps", F.struct(*caps))
     capped = month_cap(before, cycles, not legacy_2017, since, until, person)
-    # hours and the district check join onto the bills, which are read once
+    # hours and the district check join onto the bills, which are read once; only bills that can be written need hours
+    hours = item_hours(refreshed_items(items, *lookups, billable_only=True))
     known = districts.select("district_id", F.lit(True).alias("_known"))
     rows = (
-        capped.join(item_hours(fresh), "bill_id", "left")
+        capped.join(hours, "bill_id", "left")
         .join(known, "district_id", "left")
         .withColumn("billed", weighted())
     )
@@ -349,6 +377,7 @@ def generate_attendance_billing(
         bills, items, cycles, course_scenarios, scenarios, districts, legacy_2017, since, cycle["start_date"],
         changed_at=created_at, changed_by=created_by,
     )
+    done = done._replace(bills=settle(done.bills))  # the report, which is sorted by sampled bounds, and the result
     report = attendance_report(
         done.bills, profile, districts, calendar, cycle["program_year"], cycle["start_date"], legacy_2017
     )

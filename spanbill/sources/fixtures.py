@@ -483,7 +483,7 @@ class Domain:
     def course_scenarios(self) -> DataFrame:
         """Scenario per course and term, for the courses that are taught in it."""
         taught = self.items.filter("crn % 10 != 9").join(self.bills.select("bill_id", "term"), "bill_id")
-        return (
+        return settle(
             taught.select("crn", "term").distinct()
             .join(self.scenarios.select("crn", "scenario_name"), "crn")
             .join(self.scenario_dim.select("scenario_name", "scenario_id"), "scenario_name")

@@ -1,3 +1,4 @@
+from datetime import date
 from decimal import Decimal
 
 import pytest
@@ -8,6 +9,7 @@ from spanbill.plans import attendance as A
 from spanbill.plans import status as B
 from spanbill.plans import terms as T
 from spanbill.plans.billing import exit_group_date
+from spanbill.sources.fixtures import Domain
 
 D = Decimal
 
@@ -286,3 +288,17 @@ def test_whole_runs_register_their_report(spark, sf_dir):
     assert run.report.count() > 0 and rows(run.header)[0][0] == 78
     assert run.bills.filter("updated_by = 'clerk'").count() > 0
     assert run.bills.filter("term > 201402 and updated_by is not null").count() == 0
+
+
+def test_items_are_refreshed_along_their_bills(spark, sf_dir):
+    """The looked-up values are those joined by item id, and no item is shuffled by its id."""
+    d = Domain(spark, sf_dir)
+    lookups = d.bills.filter(A.in_scope(since=date(2014, 1, 1))), d.course_scenarios, d.scenario_dim, d.districts
+    want = A.refresh_scenario(d.items, A.scenario_values(d.items, *lookups), by="me")
+    found = A.refreshed_items(d.items, *lookups, by="me")
+    assert "hashpartitioning(item_id" not in found._jdf.queryExecution().executedPlan().toString()
+    found = found.select(*want.columns)
+    assert want.filter("updated_by = 'me'").count() > 0
+    assert found.exceptAll(want).isEmpty() and want.exceptAll(found).isEmpty()
+    billed = A.refreshed_items(d.items, *lookups, billable_only=True)
+    assert billed.join(A.billable(lookups[0], d.districts), "bill_id", "left_anti").isEmpty() and not billed.isEmpty()

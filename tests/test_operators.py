@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from spanbill.operators import ordered as O
 from spanbill.operators.asof import latest_before, next_after
 from spanbill.operators.periods import date_to_period, overlap_join
-from spanbill.operators.snapshots import apply_changes, changed_only
+from spanbill.operators.snapshots import among, apply_changes, changed_only
 from spanbill.plans import intervals as I
 from spanbill.sources.fixtures import Domain
 
@@ -218,3 +218,13 @@ def test_stage_folder_must_be_shared(spark, monkeypatch):
 
     with pytest.raises(RuntimeError):
         stage.ensure_checkpoint_dir(Session())
+
+
+def test_rows_among_many_keys(spark):
+    """The bit map lets few other rows through before the shuffle, and the result is that of the plain join."""
+    df = spark.range(200_000).select(F.concat(F.lit("k"), "id").alias("key"), "id").unionByName(spark.createDataFrame([(None, -1)], "key string, id long"))
+    keys = df.filter("id % 40 = 7").select("key")
+    want = sorted(r.id for r in df.join(keys, "key", "left_semi").collect())
+    for many in (0, 1_000_000):
+        assert sorted(r.id for r in among(df, "key", keys, many).collect()) == want
+    assert among(df, "key", keys.limit(0), -1).isEmpty()
