@@ -113,6 +113,16 @@ def esol_level(subject: Column, title: Column) -> Column:
     return F.when(named, F.substring(title, 7, 1))
 
 
+def char_code(char: Column) -> Column:
+    """A string of at most one character as a number of the same order: smallest and largest of numbers need no sort."""
+    return F.conv(F.hex(F.concat(F.lit("!"), char)), 16, 10).cast("long")
+
+
+def char_of(code: Column) -> Column:
+    """The string of a ``char_code``."""
+    return F.substring(F.unhex(F.hex(code)).cast("string"), 2, 1)
+
+
 def differs(old: Column, new: Column) -> Column:
     """Null-safe inequality."""
     return ~old.eqNullSafe(new)

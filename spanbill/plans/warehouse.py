@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from spanbill.functions import fixed
 from spanbill.functions.exprs import (
     all_of,
+    char_code,
+    char_of,
     esol_level,
     grade_points,
     greatest_if_all,
@@ -113,15 +115,16 @@ def interval_outcome(intervals: DataFrame, passed: DataFrame) -> DataFrame:
 def term_summary(courses: DataFrame) -> DataFrame:
     """Courses of a student in a term, as one row."""
     subject, graded = F.upper("subject"), is_graded(F.col("grade"))
-    level = esol_level(F.col("subject"), F.col("title"))
+    level = F.col("_level")
+    courses = courses.withColumn("_level", char_code(esol_level(F.col("subject"), F.col("title"))))
     return courses.groupBy("student", "term").agg(
         F.count(F.lit(1)).alias("course_count"),
         as_flag(F.max(subject.isin(*fixed.ESL_SUBJECTS))).alias("esl_yn"),
         F.max((is_esol(F.col("subject")) & (F.upper("course_level") == "CR"))).alias("credit_esol"),
         F.max(is_esol(F.col("subject"))).alias("has_esol"),
-        F.max(level).alias("max_esol_level"),
-        F.min(level).alias("min_esol_level"),
-        F.max(F.when(F.upper("passed") == "Y", level)).alias("max_esol_level_passed"),
+        char_of(F.max(level)).alias("max_esol_level"),
+        char_of(F.min(level)).alias("min_esol_level"),
+        char_of(F.max(F.when(F.upper("passed") == "Y", level))).alias("max_esol_level_passed"),
         F.count(F.when(graded, 1)).alias("graded_count"),
         F.coalesce(F.sum(F.when(graded, F.col("credits"))), F.lit(0)).alias("graded_credits"),
         F.coalesce(F.sum(grade_points(F.col("grade"), F.col("credits"))), F.lit(0)).alias("points"),
@@ -505,6 +508,17 @@ def _in_periods(spans: DataFrame, calendar: DataFrame, keys: list[str], more: di
     return rows.withColumn("age_at_entry", whole_years(F.col("dob"), F.col("enrolled_date"))).drop("dob", "_first", "_last", "_person")
 
 
+FIRST_TERM = ["first_term", "first_term_begin"]
+
+
+def _first_taught(spans: DataFrame, taught: DataFrame) -> DataFrame:
+    """One row per student: each person's first term with courses over all programs. Only days and terms are paired; stays within the student's bucket."""
+    days = spans.select("student", "person_id", "start_date", "end_date")
+    pairs = overlap_join(days, taught, "start_date", "end_date", "term_begin", "term_end", _on_terms())
+    people = pairs.groupBy("student", "person_id").agg(F.min("term").alias("first_term"), F.min("term_begin").alias("first_term_begin"))
+    return people.groupBy("student").agg(F.collect_list(F.struct("person_id", *FIRST_TERM)).alias("_firsts"))
+
+
 def _only_when_left(rows: DataFrame) -> DataFrame:
     """Reasons belong to an exit; without one the person is active."""
     left = F.col("exit_date").isNotNull()
@@ -558,14 +572,16 @@ def person_term(
     last one. With ``scores`` (see ``pass_rule``) the row also says whether and
     when the tests were passed, and the results since then.
     """
-    facts = settle(term_facts(courses, calendar))
+    facts = term_facts(courses, calendar)
     spans, students = person_spans(intervals, contact, scores), student_terms(facts, term_results, calendar)
-    taught = facts.select("term").distinct().withColumn("taught", F.lit(True))
-    terms = calendar.select(*TERM_COLUMNS).join(taught, "term", "left")
-    person = Window.partitionBy("student", "person_id")  # at most one row per program and term
-    rows = _in_periods(spans, terms, [*TERM_COLUMNS, "taught"], {})
-    rows = rows.withColumns({f"first_{c}": F.min(F.when(F.col("taught"), F.col(c))).over(person) for c in ("term", "term_begin")})
-    rows = rows.filter(same_text(F.col("program"), F.lit(program))).join(students, "student")
+    terms = calendar.select(*TERM_COLUMNS)
+    taught = terms.join(settle(courses.select("term").distinct()), "term", "left_semi")
+    mine = spans.filter(same_text(F.col("program"), F.lit(program)))
+    rows = _in_periods(mine, terms, TERM_COLUMNS, {}).join(students, "student")
+    first = _first_taught(spans, taught)
+    own = F.get(F.filter("_firsts", lambda f: f["person_id"].eqNullSafe(F.col("person_id"))), F.lit(0))
+    rows = rows.join(first, "student", "left").withColumn("_own", own)
+    rows = rows.withColumns({c: F.col(f"_own.{c}") for c in FIRST_TERM}).drop("_firsts", "_own")
     end = F.col("end_date")
     rows = rows.withColumn("max_term", _last_attended("attended", end)).filter("term <= max_term")
     in_term = F.when(end <= F.col("next_begin"), end)
@@ -580,7 +596,7 @@ def person_term(
     if scores is not None:
         rows = post_pass_gpa(_scored(rows, facts, "term_begin", "term_end", "Term"))
     return rows.withColumn("is_new", (F.col("term") == F.col("first_term")).cast("int")).drop(
-        "program", "taught", "term_begin", "term_end", "next_begin", "end_date", "max_term", "terms", "results", "attended", "_fact", "_result"
+        "program", "term_begin", "term_end", "next_begin", "end_date", "max_term", "terms", "results", "attended", "_fact", "_result"
     )
 
 
@@ -635,7 +651,7 @@ def person_year(
     program: str,
 ) -> DataFrame:
     """One row per person and program year with courses, with scores and demographics."""
-    facts = settle(term_facts(courses, calendar))
+    facts = term_facts(courses, calendar)
     spans, students = person_spans(intervals, contact, scores), student_terms(facts, None, calendar, sis_person)
     terms = calendar.select(*TERM_COLUMNS).join(year_bounds(calendar), "program_year")
     year = ["program_year", "year_begin", "year_end"]
