@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import FractionalType, StringType
 
 from spanbill.functions.exprs import differs
+from spanbill.operators.snapshots import among
 from spanbill.operators.stage import settle
 
 MODES = ("null_safe", "length", "plain")
@@ -144,7 +145,7 @@ def audit_update(
             for side, df in (("old", old), ("new", new))
         )
         moved = settle(before.join(after, key).filter(F.col("old") != F.col("new")).select(key))
-        old, new = old.join(moved, key, "left_semi"), new.join(moved, key, "left_semi")
+        old, new = among(old, key, moved), among(new, key, moved)
     return audit_rows(changes(old, new, key), key, table, names, mode, changed_at, changed_by, ignore_case)
 
 

@@ -63,3 +63,9 @@ def test_reports_per_term_and_year_need_no_exchange(spark, sf_dir):
             finish(result)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_a_stage_is_not_written_again(spark):
+    with job(spark) as stages:
+        stage = settle(spark.range(9))
+        assert settle(stage) is stage and len(stages.readers) == 1
