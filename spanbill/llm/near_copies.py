@@ -27,10 +27,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from spanbill.llm.common import bounded, mix64, text_hash
-from spanbill.operators.stage import settle
+from spanbill.operators.stage import settle, settle_few
 
 BANDS, ROWS = 40, 6
 CACHED = 500_000
+#: Pairs that a task confirms at least, unless there are as few as cores; each brings two whole sets.
+TASK_PAIRS = 250
 
 
 @dataclass(frozen=True)
@@ -136,16 +138,18 @@ def components(links: DataFrame) -> DataFrame:
     """(node, comp) for all ends of links (a, b): the smallest node that can be reached.
 
     Each round takes the least label among the neighbours, then the label's own label. Labels are written
-    after each round; rounds grow with the logarithm of a component's width in the usual case.
+    after each round; rounds grow with the logarithm of a component's width in the usual case. links is a stage.
     """
+    many = 2 * links.count()
     both = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
-    both = settle(both)
-    labels = settle(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("a"), F.min("b")).alias("comp")))
+    both = settle_few(both, many)
+    labels = settle_few(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("a"), F.min("b")).alias("comp")), many)
     while True:
         near = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("comp").alias("near"))
         step = labels.join(near, "node").select("node", F.col("comp").alias("old"), F.least("comp", "near").alias("comp"))
         jump = labels.select(F.col("node").alias("comp"), F.col("comp").alias("far"))
-        new = settle(step.join(jump, "comp", "left").select("node", F.least("comp", F.coalesce("far", "comp")).alias("comp"), "old"))
+        new = step.join(jump, "comp", "left").select("node", F.least("comp", F.coalesce("far", "comp")).alias("comp"), "old")
+        new = settle_few(new, many)
         if new.where("comp <> old").isEmpty():
             return new.select("node", "comp")
         labels = new.select("node", "comp")
@@ -158,11 +162,14 @@ def merged(labels: DataFrame | None, links: DataFrame) -> DataFrame:
     at = [labels.select(F.col("node").alias(k), F.col("comp").alias(f"{k}_comp")) for k in "ab"]
     ends = links.join(at[0], "a", "left").join(at[1], "b", "left")
     ends = ends.select("a", "b", F.coalesce("a_comp", "a").alias("ca"), F.coalesce("b_comp", "b").alias("cb"))
-    ends = settle(ends.select(*["a", "b", F.least("ca", "cb").alias("ca"), F.greatest("ca", "cb").alias("cb")]).where("ca <> cb"))
-    joined = components(ends.select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct())
+    ends = ends.select(F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b")).where("a <> b")
+    ends = settle_few(ends, links.count())
+    if ends.isEmpty():
+        return labels
+    joined = components(ends)
     fresh = joined.select(F.col("node").alias("comp"), F.col("comp").alias("to"))
     every = labels.union(joined.select("node", F.col("node").alias("comp"))).groupBy("node").agg(F.min("comp").alias("comp"))
-    return settle(every.join(fresh, "comp", "left").select("node", F.coalesce("to", "comp").alias("comp")))
+    return settle_few(every.join(fresh, "comp", "left").select("node", F.coalesce("to", "comp").alias("comp")), labels.count() + 2 * ends.count())
 
 
 class Buckets:
@@ -173,21 +180,25 @@ class Buckets:
         named = rows.where("node is not null")
         keys = named.select(F.explode("bands").alias("key"), "node", F.col("n_shingles").alias("n"))
         short = F.xxhash64("node")
-        ends = keys.groupBy("key").agg(F.min(short).alias("lo"), F.max(short).alias("hi")).where("lo <> hi").select("key")
-        crowded = settle(ends)
-        self.members = settle(keys.join(bounded(crowded, F.lit(8)), "key").distinct())
+        texts = rows.count()
+        ends = keys.groupBy("key").agg(F.min(short).alias("lo"), F.max(short).alias("hi"), F.count("*").alias("many")).where("lo <> hi")
+        crowded = settle_few(ends.select("key", "many"), texts * BANDS // 2)
+        most = crowded.agg(F.sum("many")).first()[0] or 0
+        self.members = settle_few(keys.join(bounded(crowded.select("key"), F.lit(8)), "key").distinct(), most)
+        self.n_members = self.members.count()
         nodes = self.members.select("node").distinct()
         held = named.select("node", "doc_id").join(nodes, "node", "left_semi")
-        held = settle(held.groupBy("node").agg(F.min("doc_id").alias("doc_id")))
+        held = settle_few(held.groupBy("node").agg(F.min("doc_id").alias("doc_id")), min(texts, self.n_members))
+        self.n_nodes = held.count()
         self.sets = settle(shingle_sets(docs, like, held).join(nodes, "node", "left_semi").dropDuplicates(["node"]))
         empty = self.members.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
         self.tried, self.links, self.labels = empty, empty, None
 
     def linked(self) -> DataFrame:
         """(node, comp) of all nodes with a link. Links come by the stars, by edges to the hub of a bucket's largest component, and by differences from the hub."""
-        self._test(self._stars())
-        self._test(self._edges(self._outside(self.labels)))
-        held = settle(self._outside(self.labels))
+        self._test(self._stars(), self.n_nodes)
+        self._test(self._edges(self._outside(self.labels)), self.n_members)
+        held = settle_few(self._outside(self.labels), self.n_members)
         self._test(self._edges(held).union(self._across(held)))
         return self.labels
 
@@ -200,7 +211,7 @@ class Buckets:
     def _outside(self, labels: DataFrame) -> DataFrame:
         """(c, c_n, node, n, comp, main): members of the buckets that hold several components. c is the hub of the bucket's
         largest component, the node with most links so far: a text near to many is a short way from each."""
-        known = settle(self.members.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node")))
+        known = settle_few(self.members.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node")), self.n_members)
         shares = known.groupBy("key", "comp").count().groupBy("key")
         main = shares.agg(F.max(F.struct("count", "comp")).alias("m"), F.count("*").alias("comps")).where("comps > 1")
         held = known.join(main.select("key", F.col("m.comp").alias("main")), "key").select("main", "node", "n", "comp").distinct()
@@ -233,7 +244,7 @@ class Buckets:
         own = Window.partitionBy("c", "node")
         rare = own.orderBy("many", "e")
         first = told.join(common, ["c", "e"]).withColumn("at", F.col("dn") - F.count("*").over(own) + F.row_number().over(rare) - 1)
-        first = settle(first.where(F.col("at") <= F.col("n") * (100 - p) / p))
+        first = settle_few(first.where(F.col("at") <= F.col("n") * (100 - p) / p), told.count())
         x = first.where("out").select("c", "e", *[F.col(k).alias(f"x_{k}") for k in ("node", "comp", "n", "dn", "at")])
         y = first.select("c", "e", *[F.col(k).alias(f"y_{k}") for k in ("node", "comp", "n", "dn", "at")])
         most = F.floor((F.col("x_n") + F.col("y_n")) * (100 - p) / (100 + p))
@@ -243,18 +254,20 @@ class Buckets:
         met = x.alias("x").join(y.alias("y"), (F.col("x.c") == F.col("y.c")) & (F.col("x.e") == F.col("y.e")) & (F.col("x_comp") != F.col("y_comp")) & fits & sizes)
         return met.select(*[F.struct(F.col(f"{k}_node").alias("node"), F.col(f"{k}_n").alias("n")).alias(k) for k in "xy"])
 
-    def _test(self, edges: DataFrame) -> None:
-        """Confirms untried edges on the full sets; sets too different in size can't be alike and aren't fetched."""
+    def _test(self, edges: DataFrame, most: int | None = None) -> None:
+        """Confirms untried edges, at most so many, on the full sets; sets too different in size can't be alike and aren't fetched."""
         p = self.like.percent
         ends = edges.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
         ends = ends.select(F.col("x.node").alias("a"), F.col("x.n").alias("na"), F.col("y.node").alias("b"), F.col("y.n").alias("nb"))
         close = ends.where(100 * F.least("na", "nb") >= p * F.greatest("na", "nb"))
-        close = settle(close.join(self.tried, ["a", "b"], "left_anti"))
+        close = close.join(self.tried, ["a", "b"], "left_anti")
+        close = settle(close) if most is None else settle_few(close, most)
         pairs = close.join(self.sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b")
         pairs = pairs.join(self.sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a")
         shared = F.size(F.array_intersect("sa", "sb"))
         found = pairs.select("a", "b", "na", "nb", shared.alias("both"))
-        linked = settle(found.where(100 * F.col("both") >= p * (F.col("na") + F.col("nb") - F.col("both"))).select("a", "b"))
+        found = found.where(100 * F.col("both") >= p * (F.col("na") + F.col("nb") - F.col("both")))
+        linked = settle_few(found.select("a", "b"), close.count(), TASK_PAIRS)
         self.tried = self.tried.union(close.select("a", "b"))
         self.links = self.links.union(linked)
         self.labels = merged(self.labels, linked)
@@ -267,7 +280,7 @@ def near_copies(docs: DataFrame, like: Likeness = Likeness()) -> DataFrame:  # n
     labels = Buckets(docs, rows, like).linked()
     nodes = rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least"))
     named = nodes.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    named = settle(named.select("node", "comp", "least"))
+    named = settle_few(named.select("node", "comp", "least"), rows.count())
     comps = named.groupBy("comp").agg(F.min("least").alias("component_id"))
     ids = named.join(comps, "comp").select("node", "component_id")
     out = rows.select("doc_id", "n_shingles", "node").join(ids, "node", "left")
