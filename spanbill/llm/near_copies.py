@@ -26,13 +26,16 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from spanbill.llm.common import bounded, mix64, text_hash
+from spanbill.llm.common import bounded, mix64, slices, small_batches, text_hash
 from spanbill.operators.stage import settle, settle_few
 
 BANDS, ROWS = 40, 6
-CACHED = 500_000
+#: Words whose hashes a task holds before it forgets them. Hashing a word again costs less than a large store's memory: 50,000 are no slower than 500,000.
+CACHED = 50_000
 #: Pairs that a task confirms at least, unless there are as few as cores; each brings two whole sets.
 TASK_PAIRS = 250
+#: Rows of a file of texts or sketches, and of a file of whole sets, unless there are as few files as cores.
+TEXT_ROWS, SET_ROWS = 20_000, 2_000
 
 
 @dataclass(frozen=True)
@@ -101,16 +104,17 @@ def sketch(docs: DataFrame, like: Likeness) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, bins = ShingleHasher(like.words), Bins()
         for batch in batches:
-            sets = [hasher(x.as_py()) for x in batch.column("_text")]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"),
-                    pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
-                    pa.array([bins(s) if len(s) else None for s in sets], pa.list_(pa.int64())),
-                ],
-                names=["doc_id", "n_shingles", "node", "bands"],
-            )
+            for some in slices(batch, "_text"):
+                sets = [hasher(x.as_py()) for x in some.column("_text")]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        some.column("doc_id"),
+                        pa.array([len(s) for s in sets], pa.int64()),
+                        pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
+                        pa.array([bins(s) if len(s) else None for s in sets], pa.list_(pa.int64())),
+                    ],
+                    names=["doc_id", "n_shingles", "node", "bands"],
+                )
 
     rows = docs.select("doc_id", F.col("text").cast("binary").alias("_text"))
     return rows.mapInArrow(run, f"doc_id {id_type}, n_shingles bigint, node binary, bands array<bigint>")
@@ -122,8 +126,8 @@ def shingle_sets(docs: DataFrame, like: Likeness, wanted: DataFrame) -> DataFram
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = ShingleHasher(like.words)
         for batch in batches:
-            for at in range(0, batch.num_rows, 64):
-                sets = [hasher(x.as_py()) for x in batch.column("_text").slice(at, 64)]
+            for some in slices(batch, "_text", 64):
+                sets = [hasher(x.as_py()) for x in some.column("_text")]
                 nodes = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
                 yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.binary()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], names=["node", "shingles"])
 
@@ -190,7 +194,9 @@ class Buckets:
         held = named.select("node", "doc_id").join(nodes, "node", "left_semi")
         held = settle_few(held.groupBy("node").agg(F.min("doc_id").alias("doc_id")), min(texts, self.n_members))
         self.n_nodes = held.count()
-        self.sets = settle(shingle_sets(docs, like, held).join(nodes, "node", "left_semi").dropDuplicates(["node"]))
+        sets = shingle_sets(docs, like, held).join(nodes, "node", "left_semi").dropDuplicates(["node"])
+        with small_batches(docs.sparkSession):
+            self.sets = settle_few(sets, self.n_nodes, SET_ROWS)
         empty = self.members.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
         self.tried, self.links, self.labels = empty, empty, None
 
@@ -276,7 +282,8 @@ class Buckets:
 def near_copies(docs: DataFrame, like: Likeness = Likeness()) -> DataFrame:  # noqa: B008
     """doc_id, n_shingles, node, component_id and kept for every row."""
     docs = docs.select("doc_id", "text")
-    rows = settle(sketch(docs, like))
+    with small_batches(docs.sparkSession):
+        rows = settle_few(sketch(docs, like), docs.count(), TEXT_ROWS)
     labels = Buckets(docs, rows, like).linked()
     nodes = rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least"))
     named = nodes.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
@@ -294,7 +301,8 @@ def keep_one(docs: DataFrame, like: Likeness = Likeness()) -> DataFrame:  # noqa
     id the one with the least text hash. Rows without words stay, each one. Repeated equal rows of a component
     count as copies, so one stays."""
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")  # texts are written once
-    keyed = settle(docs.select(row, text_hash(F.col("text")).alias("h"), F.monotonically_increasing_id().alias("r")))
+    keyed = docs.select(row, text_hash(F.col("text")).alias("h"), F.monotonically_increasing_id().alias("r"))
+    keyed = settle_few(keyed, docs.count(), TEXT_ROWS)
     doc_id = F.col("row.doc_id")
     found = near_copies(keyed.select(F.struct(doc_id.isNull().alias("z"), doc_id.alias("doc_id"), "h", "r").alias("doc_id"), F.col("row.text").alias("text")), like)
     stay = found.where("kept").select(F.col("doc_id.r").alias("k"))

@@ -24,12 +24,12 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from spanbill.llm.common import slices, small_batches
 from spanbill.llm.textstats import text_stats, voted_labels
 from spanbill.operators.stage import settle
 
@@ -126,12 +126,23 @@ def featured(docs: DataFrame, keep: list[str]) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [document_features(x.as_py()) for x in batch.column("_text")]
-            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in keep), pa.array(rows, pa.list_(pa.float64()))], names=[*keep, "features"])
+            for some in slices(batch, "_text"):
+                rows = [document_features(x.as_py()) for x in some.column("_text")]
+                yield pa.RecordBatch.from_arrays([*(some.column(k) for k in keep), pa.array(rows, pa.list_(pa.float64()))], names=[*keep, "features"])
 
     return docs.select(*keep, F.col("text").cast("binary").alias("_text")).mapInArrow(run, schema)
 
 
+def features_of(texts: pa.Array) -> np.ndarray:
+    """A row of features for each text; texts are looked at one by one."""
+    out = np.empty((0, 0))
+    for i, x in enumerate(texts):
+        row = document_features(x.as_py())
+        out = out if i else np.empty((len(texts), len(row)))
+        out[i] = row
+    return out
+
+
 def _totals(rows: DataFrame, add: Callable[[np.ndarray], np.ndarray], size: int) -> np.ndarray:
     """Sum of `add` over the features of all rows, one vector a task; tasks are added up in their order."""
 
@@ -196,7 +207,9 @@ def fit_featured(rows: DataFrame, labels: DataFrame, most: int = MOST, anchors:
 def fit(docs: DataFrame, labels: DataFrame, most: int = MOST) -> Linear | None:
     """The model, from the features of all documents outside the held-out third."""
     rows = docs.where(_open(F.col("doc_id"))).select("doc_id", "text")
-    return fit_featured(settle(featured(rows, ["doc_id"])), labels, most)
+    with small_batches(docs.sparkSession):
+        rows = settle(featured(rows, ["doc_id"]))
+    return fit_featured(rows, labels, most)
 
 
 def _rated(rows: DataFrame, keep: list[str], score: Column) -> DataFrame:
@@ -204,34 +217,35 @@ def _rated(rows: DataFrame, keep: list[str], score: Column) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
-def _rater(spark, model: Linear | None, features: Callable[[pd.Series], np.ndarray]):
+def _rater(spark, model: Linear | None, features: Callable[[pa.Array], np.ndarray]):
     shared = spark.sparkContext.broadcast(model)
 
-    @F.pandas_udf("double")
-    def rate(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("double")
+    def rate(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for values in batches:
             model = shared.value
             if model is None or not len(values):
-                yield pd.Series(np.full(len(values), 0.5))
+                yield pa.array(np.full(len(values), 0.5))
             else:
-                yield pd.Series(model.score(features(values)))
+                yield pa.array(model.score(features(values)))
 
     return rate
 
 
 def score(docs: DataFrame, model: Linear | None, keep: list[str]) -> DataFrame:
     """The columns to keep, held_out, score and predicted for every row."""
-    rate = _rater(docs.sparkSession, model, lambda texts: np.stack([document_features(x) for x in texts]))
+    rate = _rater(docs.sparkSession, model, features_of)
     return _rated(docs, keep, rate(F.col("text").cast("binary")))
 
 
 def score_featured(rows: DataFrame, model: Linear | None, keep: list[str]) -> DataFrame:
     """As `score`, from a written table of features."""
-    rate = _rater(rows.sparkSession, model, lambda features: np.stack(features.to_numpy()))
+    rate = _rater(rows.sparkSession, model, lambda features: features.flatten().to_numpy().reshape(len(features), -1))
     return _rated(rows, keep, rate("features"))
 
 
 def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score and predicted for every row; each text is read once."""
-    rows = settle(featured(docs.select("doc_id", "text"), ["doc_id"]))
+    with small_batches(docs.sparkSession):
+        rows = settle(featured(docs.select("doc_id", "text"), ["doc_id"]))
     return score_featured(rows, fit_featured(rows, labels), ["doc_id"])

@@ -14,6 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from spanbill.llm import boilerplate, bpe_tree, decontaminate, line_runs, near_copies, pii_bootstrap, pu_quality, quality_rules, secrets_ledger, sharding
+from spanbill.llm.common import small_batches
 from spanbill.llm.queries import PAIRS, VOCABULARY
 from spanbill.operators import stage
 
@@ -379,6 +380,68 @@ def test_small_stages_are_few_files(spark):
     assert len(sizes) > 20 and sum(n > cores for n in sizes) <= 4  # sets, differences, pairs across: of unknown size or weight
 
 
+def test_stages_of_texts_go_to_workers_in_small_batches(spark, docs, labels):
+    """Neither executor nor worker holds 10,000 texts at once while a stage of texts is written; afterwards the setting is as before."""
+    key, write, seen = "spark.sql.execution.arrow.maxBytesPerBatch", stage._written, []
+    before = spark.conf.get(key)
+
+    def written(df, path):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        if "MapInArrow" in plan:
+            seen.append(int(spark.conf.get(key).rstrip("bB")))
+        return write(df, path)
+
+    stage._written = written
+    try:
+        near_copies.keep_one(docs).collect()
+        pu_quality.fit(docs, labels)
+    finally:
+        stage._written = write
+    assert len(seen) == 3 and max(seen) <= 4 << 20 and spark.conf.get(key) == before  # sketches, sets, features
+
+
+def test_texts_and_sketches_are_few_files(spark, docs):
+    """However many partitions the documents come in; the rows' own numbers stay distinct."""
+    sizes, write, cores = [], stage._written, spark.sparkContext.defaultParallelism
+
+    def written(df, path):
+        out = write(df, path)
+        if {"row", "bands"} & set(out.columns):
+            sizes.append(len(out.inputFiles()))
+            assert "r" not in out.columns or out.select("r").distinct().count() == out.count()
+        return out
+
+    stage._written = written
+    try:
+        kept = near_copies.keep_one(docs.repartition(5 * cores + 1))
+        found = Counter(r.doc_id for r in kept.collect())
+    finally:
+        stage._written = write
+    assert found == Counter(r.doc_id for r in near_copies.keep_one(docs).collect())
+    assert len(sizes) == 2 and max(sizes) <= cores
+
+
+def test_small_batches_leave_a_smaller_size(spark):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "1000b")
+        with small_batches(spark):
+            assert spark.conf.get(key) == "1000b"
+        assert spark.conf.get(key) == "1000b"
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_store_of_word_hashes_is_small():
+    """400,000 words, each once or twice, leave no more than the store's size and one text's words; sets don't depend on it."""
+    texts = [" ".join(f"w{i * 400 + k}" for k in range(500)).encode() for i in range(1000)]
+    hasher = near_copies.ShingleHasher(5)
+    sets = [hasher(t) for t in texts]
+    assert len(hasher.known) <= 60_000
+    assert all((near_copies.ShingleHasher(5)(t) == s).all() for t, s in zip(texts[::50], sets[::50], strict=True))
+
+
 def test_one_row_of_a_group_stays(docs):
     out = near_copies.keep_one(docs)
     assert out.columns == docs.columns
